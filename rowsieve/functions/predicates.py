@@ -8,18 +8,15 @@ row: the verdict collector keeps a rule name only when its predicate is TRUE.
 
 from __future__ import annotations
 
-import datetime as _dt
-import re
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.rules import Rule, RuleError, parse_duration
+from rowsieve.rules import Rule, RuleError, parse_date_bound, parse_duration, parse_time_bound
 
 _FLOATING = (T.FloatType, T.DoubleType)
-_TIME_OF_DAY = re.compile(r"^(\d{1,2}):(\d{2})(?::(\d{2}))?$")
 
 
 def _any(conds: list[Column]) -> Column:
@@ -155,35 +152,18 @@ def _as_date(c: Column, dtype: T.DataType | None) -> Column:
     return F.try_to_date(c.cast(T.StringType()))
 
 
-def parse_date_bound(text: str, rule: Rule) -> _dt.date:
-    try:
-        return _dt.date.fromisoformat(text)
-    except (TypeError, ValueError) as exc:
-        raise RuleError(f"Rule {rule.name!r}: date bound {text!r} is not yyyy-MM-dd") from exc
-
-
 def date_range(rule: Rule, schema: T.StructType) -> Column:
     name = rule.require("column")
     d = _as_date(F.col(name), field_type(schema, name))
     conds: list[Column] = []
     if rule.get("min_date") is not None:
-        conds.append(d < F.lit(parse_date_bound(rule.get("min_date"), rule)))
+        conds.append(d < F.lit(parse_date_bound(rule.get("min_date"), rule.name)))
     if rule.get("max_date") is not None:
-        conds.append(d > F.lit(parse_date_bound(rule.get("max_date"), rule)))
+        conds.append(d > F.lit(parse_date_bound(rule.get("max_date"), rule.name)))
     return _any(conds)
 
 
 # --- R12 (extension) ----------------------------------------------------------
-def parse_time_bound(text: str, rule: Rule) -> str:
-    m = _TIME_OF_DAY.match(text or "")
-    if not m:
-        raise RuleError(f"Rule {rule.name!r}: time bound {text!r} is not HH:mm:ss")
-    h, mi, s = int(m.group(1)), int(m.group(2)), int(m.group(3) or 0)
-    if h > 23 or mi > 59 or s > 59:
-        raise RuleError(f"Rule {rule.name!r}: time bound {text!r} is out of range")
-    return f"{h:02d}:{mi:02d}:{s:02d}"
-
-
 def time_of_day(c: Column, dtype: T.DataType | None) -> Column:
     """Zero-padded ``HH:mm:ss`` text, comparable as a string."""
     if isinstance(dtype, T.StringType):
@@ -197,9 +177,9 @@ def time_range(rule: Rule, schema: T.StructType) -> Column:
     tod = time_of_day(F.col(name), field_type(schema, name))
     conds: list[Column] = []
     if rule.get("min_time") is not None:
-        conds.append(tod < F.lit(parse_time_bound(rule.get("min_time"), rule)))
+        conds.append(tod < F.lit(parse_time_bound(rule.get("min_time"), rule.name)))
     if rule.get("max_time") is not None:
-        conds.append(tod > F.lit(parse_time_bound(rule.get("max_time"), rule)))
+        conds.append(tod > F.lit(parse_time_bound(rule.get("max_time"), rule.name)))
     return _any(conds)
 
 

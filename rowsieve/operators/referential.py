@@ -11,8 +11,9 @@ Plan: the distinct non-NULL reference keys (an aggregate, partial on the map
 side) left-joined to the input, plus two scalar subqueries over the
 reference (row count and NULL count) that Catalyst merges into one
 aggregate.  Nothing is collected to the driver and no literal list grows
-with the reference.  Spark picks broadcast or sort-merge from measured
-sizes (AQE); skewed input values are split by AQE's skew-join handling.
+with the reference.  The key set is broadcast only when measured under a
+bound (``rowsieve.plans.joins``); otherwise the sort-merge join is left to
+AQE, which splits skewed input values into several tasks.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowsieve.plans.joins import DEFAULT, JoinPolicy, sized_side
 from rowsieve.rules import RuleError
 
 
@@ -61,11 +63,20 @@ def reference_counts(ref: DataFrame, ref_column: str) -> tuple[Column, Column]:
 
 
 def attach_reference_hit(
-    work: DataFrame, column: str, ref: DataFrame, ref_column: str, flag: str
+    work: DataFrame,
+    column: str,
+    ref: DataFrame,
+    ref_column: str,
+    flag: str,
+    policy: JoinPolicy = DEFAULT,
+    sizes: dict | None = None,
 ) -> DataFrame:
     """``work`` plus boolean ``flag``: TRUE when the value is in the reference."""
     key = f"{flag}_k"
-    keys = reference_keys(ref, ref_column, key).withColumn(flag, F.lit(True))
+    sized = sized_side(reference_keys(ref, ref_column, key).withColumn(flag, F.lit(True)), policy)
+    if sizes is not None:
+        sizes[flag] = sized
+    keys = sized.frame
     probe = f"{flag}_p"
     keyed = work.withColumn(probe, F.col(column))
     return keyed.join(keys, keyed[probe] == keys[key], "left").drop(probe, key)
@@ -82,7 +93,9 @@ def orphan_predicate(value: Column, hit: Column, n: Column, n_null: Column) -> C
     )
 
 
-def orphans(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
+def orphans(
+    df: DataFrame, column: str, ref: DataFrame, ref_column: str, policy: JoinPolicy = DEFAULT
+) -> DataFrame:
     """Rows of ``df`` failing the check (stand-alone form of G2)."""
     check_key_types(
         df.select(column).schema.fields[0].dataType,
@@ -91,5 +104,5 @@ def orphans(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> Data
     )
     flag = "__rs_hit"
     n, n_null = reference_counts(ref, ref_column)
-    joined = attach_reference_hit(df, column, ref, ref_column, flag)
+    joined = attach_reference_hit(df, column, ref, ref_column, flag, policy)
     return joined.where(orphan_predicate(F.col(column), F.col(flag), n, n_null)).drop(flag)

@@ -5,12 +5,10 @@ side collapses a hot key to one row per input partition before the shuffle),
 keep keys seen more than once, and left-join that set back.  A row whose key
 has a NULL part never matches (SQL equality), so it passes.
 
-At scale the join is planned by Spark, not forced: AQE turns it into a
-broadcast join when the duplicate-key set is measured small at run time and
-otherwise keeps a sort-merge join whose skewed partitions (a key holding a
-third of all rows, or the NULL keys) AQE splits into several tasks.  No
-broadcast hint is placed on the duplicate set because its size grows with
-the data.
+The duplicate-key set grows with the data, so it is broadcast only after
+it is measured under a bound (``rowsieve.plans.joins``); beyond the bound
+the join stays a sort-merge join whose skewed partitions (a key holding a
+third of all rows, or the NULL keys) AQE splits into several tasks.
 """
 
 from __future__ import annotations
@@ -21,6 +19,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowsieve.plans.joins import DEFAULT, JoinPolicy, sized_side
+
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], key_aliases: Sequence[str]) -> DataFrame:
     """Distinct keys (all parts non-NULL) that occur more than once, with
@@ -38,18 +38,25 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], key_aliases: Sequence[str
 
 
 def attach_duplicate_flag(
-    work: DataFrame, source: DataFrame, keys: Sequence[str], flag: str
+    work: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    flag: str,
+    policy: JoinPolicy = DEFAULT,
+    sizes: dict | None = None,
 ) -> DataFrame:
     """``work`` plus boolean ``flag`` (TRUE or NULL): the row's key is
     duplicated in ``source``.  ``work`` must have the same rows as
     ``source`` (it is ``source`` with helper columns added)."""
     aliases = [f"{flag}_k{i}" for i in range(len(keys))]
-    dups = duplicate_keys(source, keys, aliases).withColumn(flag, F.lit(True))
+    sized = sized_side(duplicate_keys(source, keys, aliases).withColumn(flag, F.lit(True)), policy)
+    if sizes is not None:
+        sizes[flag] = sized
     keyed = work.withColumns({a: F.col(k) for k, a in zip(keys, aliases)})
-    return keyed.join(dups, on=aliases, how="left").drop(*aliases)
+    return keyed.join(sized.frame, on=aliases, how="left").drop(*aliases)
 
 
-def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def duplicates(df: DataFrame, keys: Sequence[str], policy: JoinPolicy = DEFAULT) -> DataFrame:
     """Rows of ``df`` whose key is duplicated (stand-alone form of G1)."""
     flag = "__rs_dup"
-    return attach_duplicate_flag(df, df, keys, flag).where(F.col(flag)).drop(flag)
+    return attach_duplicate_flag(df, df, keys, flag, policy).where(F.col(flag)).drop(flag)

@@ -34,6 +34,7 @@ from rowsieve.operators.referential import (
     reference_counts,
 )
 from rowsieve.operators.uniqueness import attach_duplicate_flag
+from rowsieve.plans.joins import DEFAULT, JoinPolicy
 from rowsieve.rules import Rule, RuleError, RuleSet, load_rules
 
 HELPER_PREFIX = "__rs_"
@@ -59,11 +60,16 @@ def _type_of(df: DataFrame, name: str) -> T.DataType:
 
 
 def build_flags(
-    df: DataFrame, rules: RuleSet, refs: Mapping[str, DataFrame] | None = None
+    df: DataFrame,
+    rules: RuleSet,
+    refs: Mapping[str, DataFrame] | None = None,
+    policy: JoinPolicy = DEFAULT,
+    sizes: dict | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """``df``'s columns plus one boolean column per rule (TRUE = violated).
 
-    Returns the frame and the flag column names, in rule order.
+    Returns the frame and the flag column names, in rule order.  ``sizes``
+    receives the measured helper sets (see ``rowsieve.plans.joins``).
     """
     clash = [c for c in df.columns if c.startswith(HELPER_PREFIX)]
     if clash:
@@ -79,7 +85,7 @@ def build_flags(
             keys = rule.key_columns
             if keys not in dup_flag:
                 flag = f"{HELPER_PREFIX}dup{len(dup_flag)}"
-                work = attach_duplicate_flag(work, df, keys, flag)
+                work = attach_duplicate_flag(work, df, keys, flag, policy, sizes)
                 dup_flag[keys] = flag
             predicates.append(F.col(dup_flag[keys]).isNotNull())
         elif rule.type == "referential_integrity":
@@ -94,7 +100,7 @@ def build_flags(
             key = (column, rule.require("reference_table"), ref_column, id(ref))
             if key not in ref_flag:
                 flag = f"{HELPER_PREFIX}ref{len(ref_flag)}"
-                work = attach_reference_hit(work, column, ref, ref_column, flag)
+                work = attach_reference_hit(work, column, ref, ref_column, flag, policy, sizes)
                 n, n_null = reference_counts(ref, ref_column)
                 ref_flag[key] = (flag, n, n_null)
             flag, n, n_null = ref_flag[key]
@@ -145,8 +151,10 @@ class ValidationResult:
         flags: DataFrame,
         flag_names: list[str],
         verdict_col: str = "failed_rules",
+        helpers: dict | None = None,
     ) -> None:
         self.source = source
+        self.helpers = helpers or {}
         self.rules = rules
         self.flags = flags
         self.flag_names = flag_names
@@ -196,9 +204,26 @@ class ValidationResult:
 
         ensure_checkpoint_dir(self.source.sparkSession)
         return ValidationResult(
-            self.source, self.rules, self.flags.checkpoint(eager=eager), self.flag_names, self.verdict_col
+            self.source,
+            self.rules,
+            self.flags.checkpoint(eager=eager),
+            self.flag_names,
+            self.verdict_col,
+            self.helpers,
         )
 
+    def join_plan(self) -> dict[str, dict[str, Any]]:
+        """Measured helper sets: rows, bytes and whether each is broadcast."""
+        return {
+            k: {"rows": v.rows, "bytes": v.bytes, "broadcast": v.broadcast} for k, v in self.helpers.items()
+        }
+
+    def unpersist(self) -> None:
+        """Release helper sets persisted while measuring them."""
+        for sized in self.helpers.values():
+            if sized.cached is not None:
+                sized.cached.unpersist()
+
     # Convenience accessors live in rowsieve.operators.stats / report; bound
     # here so a result reads like the reference's engine object.
     @property
@@ -240,15 +265,22 @@ def validate(
     *,
     refs: Mapping[str, DataFrame] | None = None,
     verdict_col: str = "failed_rules",
+    policy: JoinPolicy = DEFAULT,
 ) -> ValidationResult:
     """Compile ``rules`` (path, JSON text, list of dicts or RuleSet) against
     ``df``.  ``refs`` maps reference-table names to DataFrames; names not in
-    it are read with ``spark.table``."""
+    it are read with ``spark.table``.
+
+    Row-local rules and z-scores build a lazy plan.  Duplicate and reference
+    keys are measured first under ``policy`` (a bounded probe, see
+    ``rowsieve.plans.joins``) so they are broadcast only with a proven size;
+    ``policy=LAZY`` builds one lazy plan and leaves join choice to AQE."""
     rule_set = rules if isinstance(rules, RuleSet) else load_rules(rules)
     if verdict_col in df.columns:
         raise RuleError(f"input already has a column named {verdict_col!r}")
-    flags, flag_names = build_flags(df, rule_set, refs)
-    return ValidationResult(df, rule_set, flags, flag_names, verdict_col)
+    helpers: dict = {}
+    flags, flag_names = build_flags(df, rule_set, refs, policy, helpers)
+    return ValidationResult(df, rule_set, flags, flag_names, verdict_col, helpers)
 
 
 def flag_rows(df: DataFrame, rules: Any, verdict_col: str = "failed_rules") -> DataFrame:

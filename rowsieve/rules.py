@@ -7,9 +7,11 @@ data; it only decides which Spark expressions and joins ``validate`` builds.
 
 from __future__ import annotations
 
+import datetime as _dt
 import json
 import math
 import os
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
@@ -102,6 +104,28 @@ class MissingParameterError(RuleError, KeyError):
         return str(self.args[0])
 
 
+_TIME_OF_DAY = re.compile(r"^(\d{1,2}):(\d{2})(?::(\d{2}))?$")
+
+
+def parse_date_bound(text: str, rule_name: str = "") -> _dt.date:
+    """``yyyy-MM-dd`` bound of a date_range rule."""
+    try:
+        return _dt.date.fromisoformat(text)
+    except (TypeError, ValueError) as exc:
+        raise RuleError(f"Rule {rule_name!r}: date bound {text!r} is not yyyy-MM-dd") from exc
+
+
+def parse_time_bound(text: str, rule_name: str = "") -> str:
+    """``H:mm[:ss]`` bound of a time_range rule → zero-padded ``HH:mm:ss``."""
+    m = _TIME_OF_DAY.match(text if isinstance(text, str) else "")
+    if not m:
+        raise RuleError(f"Rule {rule_name!r}: time bound {text!r} is not HH:mm:ss")
+    h, mi, s = int(m.group(1)), int(m.group(2)), int(m.group(3) or 0)
+    if h > 23 or mi > 59 or s > 59:
+        raise RuleError(f"Rule {rule_name!r}: time bound {text!r} is out of range")
+    return f"{h:02d}:{mi:02d}:{s:02d}"
+
+
 def parse_duration(text: str) -> float:
     """``"<number> <UNIT>"`` → seconds.  Units: SECONDS, MINUTES, HOURS, DAYS
     (case-insensitive).  The number must be finite and not negative."""
@@ -258,10 +282,17 @@ def _check_type_fields(rule: Rule) -> None:
         need_column()
         if "min_date" not in p and "max_date" not in p:
             raise RuleError(f"Rule {rule.name!r}: date_range needs 'min_date' and/or 'max_date'")
+        lo = parse_date_bound(p["min_date"], rule.name) if "min_date" in p else None
+        hi = parse_date_bound(p["max_date"], rule.name) if "max_date" in p else None
+        if lo and hi and lo > hi:
+            raise RuleError(f"Rule {rule.name!r}: min_date after max_date")
     elif t == "time_range":
         need_column()
         if "min_time" not in p and "max_time" not in p:
             raise RuleError(f"Rule {rule.name!r}: time_range needs 'min_time' and/or 'max_time'")
+        for k in ("min_time", "max_time"):
+            if k in p:
+                parse_time_bound(p[k], rule.name)
 
 
 def rule_from_dict(raw: Mapping[str, Any]) -> Rule:
