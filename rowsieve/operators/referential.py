@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.plans.joins import DEFAULT, JoinPolicy, sized_side
+from rowsieve.plans.joins import DEFAULT, JoinPolicy, Sized, sized_side, skew_split_join
 from rowsieve.rules import RuleError
 
 
@@ -70,16 +70,50 @@ def attach_reference_hit(
     flag: str,
     policy: JoinPolicy = DEFAULT,
     sizes: dict | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
-    """``work`` plus boolean ``flag``: TRUE when the value is in the reference."""
-    key = f"{flag}_k"
-    sized = sized_side(reference_keys(ref, ref_column, key).withColumn(flag, F.lit(True)), policy)
-    if sizes is not None:
-        sizes[flag] = sized
-    keys = sized.frame
+    """``work`` plus boolean ``flag``: TRUE when the value is in the reference.
+
+    ``source`` (default ``work``) is the input the values come from; it is
+    scanned for hot values only when the reference is too large to
+    broadcast."""
     probe = f"{flag}_p"
+    sized = sized_side(reference_keys(ref, ref_column, probe), policy)
     keyed = work.withColumn(probe, F.col(column))
-    return keyed.join(keys, keyed[probe] == keys[key], "left").drop(probe, key)
+    keys = sized.frame.withColumn(flag, F.lit(True))
+    if not policy.probe or sized.broadcast:
+        joined = keyed.join(sized.side(keys), on=[probe], how="left")
+    else:
+        # large reference: shuffle join; values holding many input rows are
+        # resolved on the map side so no task receives a hot value's rows
+        marker, hot_hit = f"{flag}_h", f"{flag}_hh"
+        src = source if source is not None else work
+        hot_values = (
+            src.select(F.col(column).alias(probe))
+            .where(F.col(probe).isNotNull())
+            .groupBy(probe)
+            .agg(F.count(F.lit(1)).alias("__rs_n"))
+            .where(F.col("__rs_n") > policy.heavy_key_rows)
+            .select(probe)
+        )
+        hot = sized_side(hot_values, policy)
+        heavy = None
+        if hot.broadcast and hot.rows > 0:
+            hits = keys.join(F.broadcast(hot.frame), on=[probe], how="inner").select(
+                probe, F.lit(True).alias(hot_hit)
+            )
+            heavy = hot.frame.join(F.broadcast(hits), on=[probe], how="left").select(
+                probe, F.lit(True).alias(marker), F.col(hot_hit)
+            )
+        joined = skew_split_join(keyed, [probe], keys, heavy, marker, f"{flag}_s")
+        if heavy is not None:
+            joined = joined.withColumn(
+                flag, F.when(F.col(marker).isNotNull(), F.col(hot_hit)).otherwise(F.col(flag))
+            ).drop(marker, hot_hit)
+        sized = Sized(sized.frame, False, sized.rows, sized.bytes, sized.cached, "shuffle+split" if heavy is not None else "shuffle")
+    if sizes is not None:
+        sizes[flag] = sized
+    return joined.drop(probe)
 
 
 def orphan_predicate(value: Column, hit: Column, n: Column, n_null: Column) -> Column:

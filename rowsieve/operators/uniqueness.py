@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.plans.joins import DEFAULT, JoinPolicy, sized_side
+from rowsieve.plans.joins import DEFAULT, JoinPolicy, Sized, sized_side, skew_split_join
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], key_aliases: Sequence[str]) -> DataFrame:
@@ -33,7 +33,6 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], key_aliases: Sequence[str
         .groupBy(*key_aliases)
         .agg(F.count(F.lit(1)).alias("__rs_n"))
         .where(F.col("__rs_n") > 1)
-        .drop("__rs_n")
     )
 
 
@@ -49,11 +48,36 @@ def attach_duplicate_flag(
     duplicated in ``source``.  ``work`` must have the same rows as
     ``source`` (it is ``source`` with helper columns added)."""
     aliases = [f"{flag}_k{i}" for i in range(len(keys))]
-    sized = sized_side(duplicate_keys(source, keys, aliases).withColumn(flag, F.lit(True)), policy)
+    sized = sized_side(duplicate_keys(source, keys, aliases), policy)
+    keyed = work.withColumns({a: F.col(k) for k, a in zip(keys, aliases)})
+    dups = sized.frame
+    if not policy.probe or sized.broadcast:
+        side = sized.side(dups.select(*aliases, F.lit(True).alias(flag)))
+        joined = keyed.join(side, on=aliases, how="left")
+    else:
+        # too many duplicate keys to broadcast: shuffle join, hot keys split off
+        marker = f"{flag}_h"
+        heavy_set = dups.where(F.col("__rs_n") > policy.heavy_key_rows).select(
+            *aliases, F.lit(True).alias(marker)
+        )
+        heavy = sized_side(heavy_set, policy, materialize=False)
+        split = heavy.broadcast and heavy.rows > 0  # no hot key: nothing to split off
+        light = dups.where(F.col("__rs_n") <= policy.heavy_key_rows) if split else dups
+        joined = skew_split_join(
+            keyed,
+            aliases,
+            light.select(*aliases, F.lit(True).alias(flag)),
+            heavy.frame if split else None,
+            marker,
+            f"{flag}_s",
+        )
+        if split:
+            joined = joined.withColumn(flag, F.when(F.col(marker).isNotNull(), F.lit(True)).otherwise(F.col(flag)))
+            joined = joined.drop(marker)
+        sized = Sized(dups, False, sized.rows, sized.bytes, sized.cached, "shuffle+split" if split else "shuffle")
     if sizes is not None:
         sizes[flag] = sized
-    keyed = work.withColumns({a: F.col(k) for k, a in zip(keys, aliases)})
-    return keyed.join(sized.frame, on=aliases, how="left").drop(*aliases)
+    return joined.drop(*aliases)
 
 
 def duplicates(df: DataFrame, keys: Sequence[str], policy: JoinPolicy = DEFAULT) -> DataFrame:

@@ -100,7 +100,7 @@ def build_flags(
             key = (column, rule.require("reference_table"), ref_column, id(ref))
             if key not in ref_flag:
                 flag = f"{HELPER_PREFIX}ref{len(ref_flag)}"
-                work = attach_reference_hit(work, column, ref, ref_column, flag, policy, sizes)
+                work = attach_reference_hit(work, column, ref, ref_column, flag, policy, sizes, source=df)
                 n, n_null = reference_counts(ref, ref_column)
                 ref_flag[key] = (flag, n, n_null)
             flag, n, n_null = ref_flag[key]
@@ -215,7 +215,8 @@ class ValidationResult:
     def join_plan(self) -> dict[str, dict[str, Any]]:
         """Measured helper sets: rows, bytes and whether each is broadcast."""
         return {
-            k: {"rows": v.rows, "bytes": v.bytes, "broadcast": v.broadcast} for k, v in self.helpers.items()
+            k: {"rows": v.rows, "bytes": v.bytes, "broadcast": v.broadcast, "path": v.path}
+            for k, v in self.helpers.items()
         }
 
     def unpersist(self) -> None:

@@ -12,10 +12,20 @@ it is broadcast only after it is measured:
 2. probe it with a bounded read (``limit(max_rows + 1)``) that returns its
    row count and key bytes;
 3. under both bounds → ``broadcast`` (the input is never shuffled);
-   otherwise → an ordinary join left to Spark: sort-merge with AQE, which
-   splits skewed partitions (a hot key, or NULL keys) into several tasks.
-
-``LAZY`` skips the probe and leaves everything to AQE in a single plan.
+   otherwise → a shuffle join made skew-safe by ``skew_split_join``.
+
+Skew: one key may hold a third of all rows, and NULL keys all hash to one
+partition.  AQE's skew-join split does not apply here (it needs both join
+inputs to be plain shuffle stages; the helper side is an aggregate), so the
+split is explicit.  Keys with more than ``heavy_key_rows`` rows — at most
+N / heavy_key_rows of them, and measured under the same broadcast bound —
+are answered by a broadcast join on the map side.  Rows whose key is heavy
+or NULL then get a unique salt so they scatter over all shuffle partitions
+and match nothing in the shuffle join, which only carries light keys (at
+most ``heavy_key_rows`` rows each).
+
+``LAZY`` skips all probes and builds one lazy plan (no job at build time);
+joins are then left entirely to Spark/AQE, without the explicit skew split.
 """
 
 from __future__ import annotations
@@ -35,6 +45,7 @@ class JoinPolicy:
     materialize: bool = True
     broadcast_max_rows: int = 2_000_000
     broadcast_max_bytes: int = 32 << 20
+    heavy_key_rows: int = 1_000_000
 
 
 DEFAULT = JoinPolicy()
@@ -63,28 +74,76 @@ def checkpoint_dir(df: DataFrame) -> str | None:
 
 @dataclass(frozen=True)
 class Sized:
+    """A measured helper set.  ``frame`` carries no hint; use ``side()``."""
+
     frame: DataFrame
     broadcast: bool
     rows: int | None = None
     bytes: int | None = None
     cached: DataFrame | None = None  # persisted helper set, to unpersist later
+    path: str = "lazy"  # lazy | broadcast | shuffle | shuffle+split
+
+    def side(self, df: DataFrame | None = None) -> DataFrame:
+        df = self.frame if df is None else df
+        return F.broadcast(df) if self.broadcast else df
+
+
+def _materialize(side: DataFrame, policy: JoinPolicy) -> tuple[DataFrame, DataFrame | None]:
+    if not policy.materialize:
+        return side, None
+    if checkpoint_dir(side):
+        if not side.sparkSession.sparkContext.getCheckpointDir():
+            side.sparkSession.sparkContext.setCheckpointDir(checkpoint_dir(side))
+        return side.checkpoint(eager=True), None
+    cached = side.persist(StorageLevel.MEMORY_AND_DISK)
+    return cached, cached
 
 
-def sized_side(side: DataFrame, policy: JoinPolicy = DEFAULT) -> Sized:
-    """The helper set, broadcast-hinted only under the policy's bounds."""
+def sized_side(side: DataFrame, policy: JoinPolicy = DEFAULT, materialize: bool = True) -> Sized:
+    """Materialize (optionally) and measure a helper set under the bounds."""
     if not policy.probe:
         return Sized(side, False)
     cached = None
-    if policy.materialize:
-        if checkpoint_dir(side):
-            if not side.sparkSession.sparkContext.getCheckpointDir():
-                side.sparkSession.sparkContext.setCheckpointDir(checkpoint_dir(side))
-            side = side.checkpoint(eager=True)
-        else:
-            side = cached = side.persist(StorageLevel.MEMORY_AND_DISK)
+    if materialize:
+        side, cached = _materialize(side, policy)
     probe = side.limit(policy.broadcast_max_rows + 1).agg(
         F.count(F.lit(1)).alias("n"), F.sum(row_bytes(side)).alias("b")
     ).first()
     n, nbytes = int(probe["n"]), int(probe["b"] or 0)
     small = n <= policy.broadcast_max_rows and nbytes <= policy.broadcast_max_bytes
-    return Sized(F.broadcast(side) if small else side, small, n, nbytes, cached)
+    return Sized(side, small, n, nbytes, cached, "broadcast" if small else "shuffle")
+
+
+def salt_expr(spread: Column, keys: list[str]) -> Column:
+    """0 for rows that must meet the light join; a unique positive value for
+    rows to scatter (``spread`` or any NULL key part).  The value of a
+    scattered row never matters for the result, only where it lands."""
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return F.when(spread | any_null, F.monotonically_increasing_id() + F.lit(1)).otherwise(F.lit(0).cast("bigint"))
+
+
+def skew_split_join(
+    work: DataFrame,
+    keys: list[str],
+    light: DataFrame,
+    heavy: DataFrame | None,
+    heavy_marker: str,
+    salt: str,
+) -> DataFrame:
+    """Left-join ``light`` on ``keys`` without a hot partition.
+
+    ``heavy`` (same key names, a non-NULL ``heavy_marker`` column, bounded)
+    is broadcast-joined first; rows it marks, and rows with a NULL key part,
+    get a unique non-zero salt, spreading them evenly over the shuffle
+    partitions, while ``light`` rows carry salt 0 — so those rows pass
+    through the shuffle join unmatched and no key sends more than
+    ``heavy_key_rows`` rows to one task.
+    """
+    if heavy is not None:
+        work = work.join(F.broadcast(heavy), on=keys, how="left")
+        spread = F.col(heavy_marker).isNotNull()
+    else:
+        spread = F.lit(False)
+    work = work.withColumn(salt, salt_expr(spread, keys))
+    light = light.withColumn(salt, F.lit(0).cast("bigint"))
+    return work.join(light, on=[*keys, salt], how="left").drop(salt)
