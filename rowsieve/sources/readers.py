@@ -26,6 +26,15 @@ def schema_from_json(source: Any) -> T.StructType:
         return T.StructType.fromJson(json.load(fh))
 
 
+def as_schema(schema: Any) -> T.StructType | str:
+    """StructType, JSON dict / text / file → StructType; other text is DDL."""
+    if isinstance(schema, str):
+        text = schema.lstrip()
+        if not text.startswith("{") and not os.path.isfile(schema):
+            return schema  # DDL, e.g. "a int, b string"
+    return schema_from_json(schema)
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -39,7 +48,7 @@ def read_csv(
     JSON schema) wins; else ``infer_schema`` (an extra pass) or all strings."""
     reader = spark.read.option("header", header)
     if schema is not None:
-        reader = reader.schema(schema if isinstance(schema, str) else schema_from_json(schema))
+        reader = reader.schema(as_schema(schema))
     else:
         reader = reader.option("inferSchema", infer_schema)
     for key, value in options.items():
@@ -51,7 +60,7 @@ def read_parquet(spark: SparkSession, path: str, *, schema: Any = None) -> DataF
     """Parquet (column pruning and filter push-down reach the scan)."""
     reader = spark.read
     if schema is not None:
-        reader = reader.schema(schema if isinstance(schema, str) else schema_from_json(schema))
+        reader = reader.schema(as_schema(schema))
     return reader.parquet(path)
 
 
