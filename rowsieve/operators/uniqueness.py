@@ -18,22 +18,44 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowsieve.plans.joins import DEFAULT, JoinPolicy, Sized, sized_side, skew_split_join
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str], key_aliases: Sequence[str]) -> DataFrame:
+_WIDE = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+
+
+def duplicate_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    key_aliases: Sequence[str],
+    policy: JoinPolicy = DEFAULT,
+    sizes: dict | None = None,
+) -> DataFrame:
     """Distinct keys (all parts non-NULL) that occur more than once, with
-    their row count ``__rs_n``; key columns renamed to ``key_aliases``."""
+    their row count ``__rs_n``; key columns renamed to ``key_aliases``.
+
+    Wide keys (text, binary, nested) are not shuffled whole when duplicates
+    are rare: an aggregate of their 8-byte ``xxhash64`` finds the hashes seen
+    more than once; when that set is measured small it is broadcast and only
+    rows with such a hash reach the exact aggregation on the full key.  A
+    hash collision only adds candidates, so the result stays exact.
+    """
     key_cols = [F.col(k).alias(a) for k, a in zip(keys, key_aliases)]
     not_null = reduce(lambda a, b: a & b, [F.col(a).isNotNull() for a in key_aliases])
-    return (
-        df.select(*key_cols)
-        .where(not_null)
-        .groupBy(*key_aliases)
-        .agg(F.count(F.lit(1)).alias("__rs_n"))
-        .where(F.col("__rs_n") > 1)
-    )
+    base = df.select(*key_cols).where(not_null)
+    if policy.probe and any(isinstance(f.dataType, _WIDE) for f in base.schema.fields):
+        hashed = base.withColumn("__rs_h", F.xxhash64(*key_aliases))
+        seen_twice = (
+            hashed.groupBy("__rs_h").agg(F.count(F.lit(1)).alias("__rs_n")).where(F.col("__rs_n") > 1).select("__rs_h")
+        )
+        candidates = sized_side(seen_twice, policy)
+        if sizes is not None:
+            sizes[f"{key_aliases[0]}_hash"] = candidates
+        if candidates.broadcast:
+            base = hashed.join(candidates.side(), on="__rs_h", how="left_semi").drop("__rs_h")
+    return base.groupBy(*key_aliases).agg(F.count(F.lit(1)).alias("__rs_n")).where(F.col("__rs_n") > 1)
 
 
 def attach_duplicate_flag(
@@ -48,7 +70,7 @@ def attach_duplicate_flag(
     duplicated in ``source``.  ``work`` must have the same rows as
     ``source`` (it is ``source`` with helper columns added)."""
     aliases = [f"{flag}_k{i}" for i in range(len(keys))]
-    sized = sized_side(duplicate_keys(source, keys, aliases), policy)
+    sized = sized_side(duplicate_keys(source, keys, aliases, policy, sizes), policy)
     keyed = work.withColumns({a: F.col(k) for k, a in zip(keys, aliases)})
     dups = sized.frame
     if not policy.probe or sized.broadcast:

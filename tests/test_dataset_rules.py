@@ -201,3 +201,27 @@ def test_zscore_rows_failed_by_other_rules_still_count(spark):
 def test_outliers_standalone(spark):
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate([1, 2, 3, 4, 100])], "k int, x double")
     assert [r.k for r in outliers(df, "x", 1.5).collect()] == [4]
+
+
+def test_unique_wide_key_prefilters_by_hash(spark):
+    from conftest import SF01
+    from rowsieve.catalog.queries import table
+    from rowsieve.plans import LAZY
+    from rowsieve.plans import inspect as pi
+
+    docs = table(spark, SF01, "documents")
+    rule = [{"name": "u", "type": "unique_check", "column": "text", "priority": 1}]
+    r = validate(docs, rule)
+    assert r.helpers["__rs_dup0_k0_hash"].broadcast  # hashes of whole texts measured first
+    lazy = validate(docs, rule, policy=LAZY)
+    assert "xxhash64" not in pi.optimized(lazy.flagged)
+    got = sorted((x.doc_id, tuple(x.failed_rules)) for x in r.flagged.collect())
+    assert got == sorted((x.doc_id, tuple(x.failed_rules)) for x in lazy.flagged.collect())
+    assert sum(1 for _, f in got if f) == 135
+
+
+def test_unique_wide_key_composite_with_nulls(spark):
+    rows = [(1, "a", "x"), (2, "a", "x"), (3, "a", None), (4, "a", None), (5, "b", "x")]
+    df = spark.createDataFrame(rows, "k int, s string, t string")
+    r = validate(df, [{"name": "u", "type": "unique_check", "columns": ["s", "t"], "priority": 1}])
+    assert fails(r) == {1: True, 2: True, 3: False, 4: False, 5: False}
