@@ -116,8 +116,10 @@ def test_byte_bound_applies(spark):
     docs = table(spark, SF001, "documents")
     rule = [{"name": "u", "type": "unique_check", "column": "text", "priority": 1}]
     r = validate(docs, rule, policy=JoinPolicy(broadcast_max_bytes=10))
-    (info,) = r.join_plan().values()
-    assert info["bytes"] > 10 and not info["broadcast"]
+    plan = r.join_plan()
+    assert plan["__rs_dup0_k0_hash"]["bytes"] > 10 and not plan["__rs_dup0_k0_hash"]["broadcast"]
+    assert plan["__rs_dup0"]["bytes"] > 10 and not plan["__rs_dup0"]["broadcast"]
+    assert r.bad.count() == validate(docs, rule).bad.count()
 
 
 @pytest.fixture
