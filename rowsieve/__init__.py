@@ -7,10 +7,12 @@ counts violations per rule in one aggregate and writes rejected rows out.
 
 from rowsieve.operators.validate import ValidationResult, flag_rows, validate
 from rowsieve.rules import Rule, RuleError, RuleSet, load_rules, parse_duration, validate_rules
+from rowsieve.runner import RuleRunner
 
 __all__ = [
     "Rule",
     "RuleError",
+    "RuleRunner",
     "RuleSet",
     "ValidationResult",
     "flag_rows",
