@@ -160,6 +160,7 @@ class ValidationResult:
         self.flag_names = flag_names
         self.verdict_col = verdict_col
         self.columns = list(source.columns)
+        self.observed_stats: dict[str, Any] | None = None  # set by one-pass writes
 
     # -- A1 / A2 ---------------------------------------------------------------
     @property
@@ -240,6 +241,9 @@ class ValidationResult:
         return summary(self)
 
     def quality_stats(self) -> dict[str, Any]:
+        """A7 as a dict: from a one-pass write when one ran, else one job."""
+        if self.observed_stats is not None:
+            return self.observed_stats
         from rowsieve.operators.stats import quality_stats
 
         return quality_stats(self)
@@ -255,9 +259,19 @@ class ValidationResult:
         return exploded(self, keys)
 
     def save_rejected(self, base_path: str, mode: str = "errorifexists") -> str:
-        from rowsieve.sources.sinks import save_rejected
+        """K1; the counts are observed during the write and kept, so a later
+        ``quality_stats()`` costs no job."""
+        from rowsieve.sources.sinks import save_rejected_with_stats
 
-        return save_rejected(self, base_path, mode=mode)
+        path, self.observed_stats = save_rejected_with_stats(self, base_path, mode=mode)
+        return path
+
+    def write_split(self, path: str, mode: str = "errorifexists") -> str:
+        """Good and rejected rows in one partitioned write, counts observed."""
+        from rowsieve.sources.sinks import write_split
+
+        out, self.observed_stats = write_split(self, path, mode=mode)
+        return out
 
 
 def validate(

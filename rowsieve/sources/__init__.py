@@ -7,7 +7,14 @@ from rowsieve.sources.readers import (
     register_view,
     schema_from_json,
 )
-from rowsieve.sources.sinks import save_good, save_rejected, timestamped_path, write_parquet
+from rowsieve.sources.sinks import (
+    save_good,
+    save_rejected,
+    save_rejected_with_stats,
+    timestamped_path,
+    write_parquet,
+    write_split,
+)
 
 __all__ = [
     "read_csv",
@@ -16,7 +23,9 @@ __all__ = [
     "register_view",
     "save_good",
     "save_rejected",
+    "save_rejected_with_stats",
     "schema_from_json",
     "timestamped_path",
     "write_parquet",
+    "write_split",
 ]

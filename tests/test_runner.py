@@ -47,3 +47,18 @@ def test_html_report(spark, rules_file, tmp_out):
         assert name in text
     assert text.count("<tr>") >= 1 + 5  # header + top-5 rows (4 rules here) + sample
     assert "http" not in text  # self-contained
+
+
+def test_stats_free_after_save(spark, rules_file, tmp_out):
+    docs = table(spark, SF001, "documents")
+    runner = RuleRunner(docs, refs={"labels": table(spark, SF001, "labels")}, keys=["doc_id"])
+    runner.apply_rules(rules_file)
+    runner.save_rejected(tmp_out)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("stats-after-save", "x")
+    stats = runner.get_quality_stats()
+    spark.sparkContext.setJobGroup("", "")
+    assert tracker.getJobIdsForGroup("stats-after-save") == []
+    from rowsieve.operators.stats import quality_stats
+
+    assert stats == quality_stats(runner.result)

@@ -91,3 +91,44 @@ def test_save_rejected_and_good(spark, tmp_out):
 def test_timestamped_path_format():
     p = timestamped_path("/base/", "rejected")
     assert p.startswith("/base/rejected_") and len(os.path.basename(p)) == len("rejected_20250101_000000_000000")
+
+
+def _jobs(spark, group, fn):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = fn()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    return out, len(tracker.getJobIdsForGroup(group))
+
+
+def test_save_rejected_with_stats_one_pass(spark, tmp_out):
+    from rowsieve.sources import save_rejected_with_stats
+
+    r = validate(table(spark, SF001, "customer"), CUSTOMER_RULES)
+    (path, stats), jobs = _jobs(spark, "rejected-with-stats", lambda: save_rejected_with_stats(r, tmp_out))
+    assert jobs == 1  # the write job; the counts came with it
+    assert stats == r.quality_stats()
+    assert spark.read.parquet(path).count() == stats["rejected_records"]
+
+
+def test_write_split_one_pass(spark, tmp_out):
+    from rowsieve.sources import write_split
+
+    r = validate(table(spark, SF001, "events"), [
+        {"name": "v", "type": "value_range", "column": "value", "min": 1, "max": 20, "priority": 1},
+        {"name": "u", "type": "unique_check", "column": "user_id", "priority": 2},
+    ])
+    out = os.path.join(tmp_out, "split")
+    (path, stats), jobs = _jobs(spark, "split", lambda: write_split(r, out))
+    # the same jobs as writing the verdicts alone (the write + the broadcast
+    # of the measured duplicate set): the counts add no pass
+    _, plain = _jobs(spark, "plain", lambda: r.flagged.write.format("noop").mode("overwrite").save())
+    assert jobs == plain
+    assert stats == r.quality_stats()
+    back = spark.read.parquet(path)
+    counts = {row.dq_status: row["count"] for row in back.groupBy("dq_status").count().collect()}
+    assert counts.get("rejected", 0) == stats["rejected_records"]
+    assert counts.get("passed", 0) == stats["passed_records"]
+    assert back.where("dq_status = 'passed'").where(F.size("failed_rules") > 0).count() == 0
