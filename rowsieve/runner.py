@@ -39,6 +39,8 @@ class RuleRunner:
         return [r.to_dict() for r in load_rules(rules_path)]
 
     def apply_rules(self, rules: Any) -> tuple[DataFrame, DataFrame]:
+        if self.result is not None:
+            self.result.unpersist()
         self.result = validate(self.df, rules, refs=self.refs, policy=self.policy)
         return self.result.good, self.result.bad
 
@@ -67,4 +69,10 @@ class RuleRunner:
     def generate_report(self, output_path: str, title: str = "Data Quality Report", keys: Sequence[str] | None = None) -> str:
         from rowsieve.operators.report import write_html_report
 
-        return write_html_report(self._validated(), output_path, keys=list(keys) if keys else self.keys, title=title)
+        chosen = list(keys) if keys else self.keys
+        return write_html_report(self._validated(), output_path, keys=chosen, title=title)
+
+    def generate_report_data(self) -> dict[str, Any]:
+        from rowsieve.operators.report import report_data
+
+        return report_data(self._validated(), self.keys)

@@ -62,3 +62,32 @@ def test_stats_free_after_save(spark, rules_file, tmp_out):
     from rowsieve.operators.stats import quality_stats
 
     assert stats == quality_stats(runner.result)
+
+
+def test_command_line(spark, tmp_out, capsys):
+    from rowsieve.__main__ import main
+
+    csv = os.path.join(tmp_out, "events_csv")
+    table(spark, SF001, "events").write.option("header", True).csv(csv)
+    rules = os.path.join(tmp_out, "rules.json")
+    with open(rules, "w") as fh:
+        json.dump(
+            [
+                {"name": "value_in_range", "type": "value_range", "column": "value", "min": 1, "max": 20, "priority": 1},
+                {"name": "user_known", "type": "referential_integrity", "column": "user_id",
+                 "reference_table": "customers", "reference_column": "c_custkey", "priority": 2},
+            ],
+            fh,
+        )
+    report = os.path.join(tmp_out, "r.html")
+    code = main([
+        "--input", csv, "--format", "csv", "--infer-schema", "--rules", rules,
+        "--ref", f"customers={SF001}/customer.parquet", "--rejected", tmp_out,
+        "--split", os.path.join(tmp_out, "split"), "--report", report, "--keys", "event_id",
+    ])
+    assert code == 0
+    stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert stats["total_records"] == table(spark, SF001, "events").count()
+    assert os.path.exists(report)
+    back = spark.read.parquet(os.path.join(tmp_out, "split"))
+    assert back.where("dq_status = 'rejected'").count() == stats["rejected_records"]
