@@ -281,6 +281,7 @@ def validate(
     refs: Mapping[str, DataFrame] | None = None,
     verdict_col: str = "failed_rules",
     policy: JoinPolicy = DEFAULT,
+    materialize_input: bool = False,
 ) -> ValidationResult:
     """Compile ``rules`` (path, JSON text, list of dicts or RuleSet) against
     ``df``.  ``refs`` maps reference-table names to DataFrames; names not in
@@ -289,10 +290,20 @@ def validate(
     Row-local rules and z-scores build a lazy plan.  Duplicate and reference
     keys are measured first under ``policy`` (a bounded probe, see
     ``rowsieve.plans.joins``) so they are broadcast only with a proven size;
-    ``policy=LAZY`` builds one lazy plan and leaves join choice to AQE."""
+    ``policy=LAZY`` builds one lazy plan and leaves join choice to AQE.
+
+    ``materialize_input=True`` first writes ``df`` to the session's
+    ``spark.checkpoint.dir`` (a lineage cut): worth it when ``df`` is an
+    expensive derived plan that dataset rules would otherwise recompute
+    (once for each helper aggregate, once for the z-score moments)."""
     rule_set = rules if isinstance(rules, RuleSet) else load_rules(rules)
     if verdict_col in df.columns:
         raise RuleError(f"input already has a column named {verdict_col!r}")
+    if materialize_input:
+        from rowsieve.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     helpers: dict = {}
     flags, flag_names = build_flags(df, rule_set, refs, policy, helpers)
     return ValidationResult(df, rule_set, flags, flag_names, verdict_col, helpers)

@@ -194,3 +194,13 @@ def test_random_frames_single_pass_equals_rule_by_rule(spark, rows):
         for r in validate(df, [rule]).bad.select("k").collect():
             separate[r.k].append(rule["name"])
     assert together == separate
+
+
+def test_materialize_input_cuts_lineage(spark):
+    small_parts = table(spark, SF001, "part").where(F.col("p_size") <= 40)
+    refs = {"small_parts": small_parts}
+    cut = validate(full_input(spark, SF001), FULL_RULES, refs=refs, materialize_input=True)
+    plan = cut.flags._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem.parquet" not in plan and "LogicalRDD" in plan  # the join is not recomputed
+    plain = validate(full_input(spark, SF001), FULL_RULES, refs=refs)
+    assert cut.quality_stats() == plain.quality_stats()
