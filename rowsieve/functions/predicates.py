@@ -139,8 +139,17 @@ def time_difference(rule: Rule, schema: T.StructType) -> Column:
 
 # --- R10 (extension) ----------------------------------------------------------
 def data_type(rule: Rule, schema: T.StructType) -> Column:
-    c = F.col(rule.require("column"))
-    return c.isNotNull() & c.try_cast(rule.require("expected_type")).isNull()
+    """Non-NULL values whose text does not parse as ``expected_type``.
+
+    Text columns are cast directly; other columns through their string
+    form, so a cast Spark forbids between the types (int → date) is a
+    per-row verdict instead of an analysis error."""
+    name = rule.require("column")
+    c = F.col(name)
+    dtype = field_type(schema, name)
+    textual = dtype is None or isinstance(dtype, (T.StringType, T.VarcharType, T.CharType))
+    source = c if textual else c.cast(T.StringType())
+    return c.isNotNull() & source.try_cast(rule.require("expected_type")).isNull()
 
 
 # --- R11 (extension) ----------------------------------------------------------

@@ -246,3 +246,26 @@ def test_nan_float_column(spark, nan):
     v = verdicts(spark, [(1, x)], "k int, x float", {"type": "value_range", "column": "x", "min": 0, "max": 2})
     assert v[1] is nan
     assert math.isnan(x) is nan
+
+
+def test_data_type_on_typed_columns(spark):
+    rows = [(1, 12345, 3.0, dt.date(2024, 1, 5)), (2, None, 3.5, None)]
+    schema = "k int, zip int, x double, d date"
+    # int -> boolean is not a cast Spark allows on the types; judged on the text instead
+    assert verdicts(spark, rows, schema, {"type": "data_type", "column": "zip", "expected_type": "boolean"}) == {1: True, 2: False}
+    # (Spark's text-to-date cast reads a bare year, so '12345' is a date)
+    assert verdicts(spark, rows, schema, {"type": "data_type", "column": "zip", "expected_type": "date"}) == {1: False, 2: False}
+    assert verdicts(spark, rows, schema, {"type": "data_type", "column": "x", "expected_type": "int"}) == {1: True, 2: True}
+    assert verdicts(spark, rows, schema, {"type": "data_type", "column": "x", "expected_type": "double"}) == {1: False, 2: False}
+    assert verdicts(spark, rows, schema, {"type": "data_type", "column": "d", "expected_type": "timestamp"}) == {1: False, 2: False}
+
+
+def test_rules_on_inferred_csv_types(spark):
+    """Columns a CSV reader infers as int / date / timestamp still validate."""
+    rows = [(1, 12345, dt.date(2024, 1, 5), dt.datetime(2024, 1, 5, 8, 30)), (2, None, None, None)]
+    schema = "k int, zip int, d date, t timestamp"
+    assert verdicts(spark, rows, schema, {"type": "regex_match", "column": "zip", "pattern": "^\\d{5}$"}) == {1: False, 2: False}
+    assert verdicts(spark, rows, schema, {"type": "length_check", "column": "zip", "min_length": 5, "max_length": 5}) == {1: False, 2: True}
+    assert verdicts(spark, rows, schema, {"type": "date_format", "column": "d", "format": "yyyy-MM-dd"}) == {1: False, 2: True}
+    assert verdicts(spark, rows, schema, {"type": "time_difference", "columns": ["d", "t"], "max_duration": "8 HOURS"}) == {1: True, 2: True}
+    assert verdicts(spark, rows, schema, {"type": "time_range", "column": "t", "min_time": "09:00:00"}) == {1: True, 2: False}
