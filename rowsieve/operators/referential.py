@@ -79,6 +79,10 @@ def attach_reference_hit(
     broadcast."""
     probe = f"{flag}_p"
     sized = sized_side(reference_keys(ref, ref_column, probe), policy)
+    if policy.probe and sized.rows == 0:  # no non-NULL reference value: nothing to join
+        if sizes is not None:
+            sizes[flag] = Sized(sized.frame, False, 0, 0, sized.cached, "empty")
+        return work.withColumn(flag, F.lit(None).cast("boolean"))
     keyed = work.withColumn(probe, F.col(column))
     keys = sized.frame.withColumn(flag, F.lit(True))
     if not policy.probe or sized.broadcast:

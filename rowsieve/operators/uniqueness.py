@@ -71,6 +71,10 @@ def attach_duplicate_flag(
     ``source`` (it is ``source`` with helper columns added)."""
     aliases = [f"{flag}_k{i}" for i in range(len(keys))]
     sized = sized_side(duplicate_keys(source, keys, aliases, policy, sizes), policy)
+    if policy.probe and sized.rows == 0:  # no duplicates: nothing to join
+        if sizes is not None:
+            sizes[flag] = Sized(sized.frame, False, 0, 0, sized.cached, "empty")
+        return work.withColumn(flag, F.lit(None).cast("boolean"))
     keyed = work.withColumns({a: F.col(k) for k, a in zip(keys, aliases)})
     dups = sized.frame
     if not policy.probe or sized.broadcast:
