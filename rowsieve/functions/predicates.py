@@ -50,9 +50,18 @@ def regex_match(rule: Rule, schema: T.StructType) -> Column:
 
 
 # --- R3 ---------------------------------------------------------------------
+_TEXT = (T.StringType, T.VarcharType, T.CharType)
+
+
 def value_range(rule: Rule, schema: T.StructType) -> Column:
     name = rule.require("column")
     c = F.col(name)
+    dtype = field_type(schema, name)
+    if isinstance(dtype, _TEXT):
+        # numbers kept as text (an all-string CSV read): compare the parsed
+        # value; text that is no number gives NULL and passes instead of an
+        # ANSI cast error aborting the run
+        c, dtype = c.try_cast(T.DoubleType()), T.DoubleType()
     conds: list[Column] = []
     if rule.get("min") is not None:
         conds.append(c < F.lit(rule.get("min")))
@@ -61,7 +70,7 @@ def value_range(rule: Rule, schema: T.StructType) -> Column:
     # An absent bound means -inf / +inf: NaN compares greater than +inf in
     # Spark, so NaN always fails.  Emit that directly instead of casting the
     # column to double against infinite bounds.
-    if isinstance(field_type(schema, name), _FLOATING):
+    if isinstance(dtype, _FLOATING):
         conds.append(F.isnan(c))
     return _any(conds) if conds else F.lit(False)
 
@@ -69,7 +78,19 @@ def value_range(rule: Rule, schema: T.StructType) -> Column:
 # --- R4 ---------------------------------------------------------------------
 def allowed_values(rule: Rule, schema: T.StructType) -> Column:
     # SQL NOT IN: a NULL in the list makes the rule never fire, NULL input passes
-    return ~F.col(rule.require("column")).isin(list(rule.require("allowed_values")))
+    name = rule.require("column")
+    values = list(rule.require("allowed_values"))
+    c = F.col(name)
+    numbers = [v for v in values if v is not None]
+    if (
+        isinstance(field_type(schema, name), _TEXT)
+        and numbers
+        and all(isinstance(v, (int, float)) and not isinstance(v, bool) for v in numbers)
+    ):
+        # numeric list against text: compare parsed numbers (no ANSI error)
+        c = c.try_cast(T.DoubleType())
+        values = [None if v is None else float(v) for v in values]
+    return ~c.isin(values)
 
 
 # --- R5 ---------------------------------------------------------------------

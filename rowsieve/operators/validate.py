@@ -299,6 +299,12 @@ def validate(
     rule_set = rules if isinstance(rules, RuleSet) else load_rules(rules)
     if verdict_col in df.columns:
         raise RuleError(f"input already has a column named {verdict_col!r}")
+    if df.isStreaming and not rule_set.row_local_only:
+        bad = [r.name for r in rule_set if not r.is_row_local]
+        raise RuleError(
+            f"rules {bad} need the whole dataset and cannot run on a stream; "
+            "use rowsieve.streaming.route_stream (per micro-batch) or row-local rules"
+        )
     if materialize_input:
         from rowsieve.session import ensure_checkpoint_dir
 

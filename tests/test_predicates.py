@@ -269,3 +269,15 @@ def test_rules_on_inferred_csv_types(spark):
     assert verdicts(spark, rows, schema, {"type": "date_format", "column": "d", "format": "yyyy-MM-dd"}) == {1: False, 2: True}
     assert verdicts(spark, rows, schema, {"type": "time_difference", "columns": ["d", "t"], "max_duration": "8 HOURS"}) == {1: True, 2: True}
     assert verdicts(spark, rows, schema, {"type": "time_range", "column": "t", "min_time": "09:00:00"}) == {1: True, 2: False}
+
+
+def test_numeric_rules_on_text_columns_never_abort(spark):
+    """All-string inputs (CSV without inference): bad text passes, no ANSI error."""
+    rows = [(1, "5"), (2, "12.5"), (3, "abc"), (4, None), (5, " 7 ")]
+    schema = "k int, s string"
+    assert verdicts(spark, rows, schema, {"type": "value_range", "column": "s", "min": 6, "max": 10}) == {
+        1: True, 2: True, 3: False, 4: False, 5: False}
+    assert verdicts(spark, rows, schema, {"type": "allowed_values", "column": "s", "allowed_values": [5, 7]}) == {
+        1: False, 2: True, 3: False, 4: False, 5: False}
+    assert verdicts(spark, rows, schema, {"type": "allowed_values", "column": "s", "allowed_values": ["5", "abc"]}) == {
+        1: False, 2: True, 3: False, 4: False, 5: True}

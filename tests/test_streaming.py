@@ -58,3 +58,14 @@ def test_route_stream_per_batch(spark):
     row_local = validate(table(spark, SF01, "events"), EVENT_RULES).bad.select("event_id")
     flagged_ids = bad.where(F.exists("failed_rules", lambda x: x != "user_unique_in_batch")).select("event_id")
     assert flagged_ids.exceptAll(row_local).count() == 0 and row_local.exceptAll(flagged_ids).count() == 0
+
+
+def test_dataset_rules_refused_on_stream(spark):
+    import pytest
+
+    from rowsieve import RuleError
+
+    base = tempfile.mkdtemp(prefix="rowsieve-refuse-", dir="/tmp")
+    stream = events_stream(spark, os.path.join(base, "in"))
+    with pytest.raises(RuleError, match="route_stream"):
+        validate(stream, [{"name": "u", "type": "unique_check", "column": "user_id", "priority": 1}])
