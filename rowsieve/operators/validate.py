@@ -78,6 +78,7 @@ def build_flags(
     schema = df.schema
     dup_flag: dict[tuple[str, ...], str] = {}
     ref_flag: dict[tuple[Any, ...], tuple[str, Column, Column]] = {}
+    resolved: dict[str, DataFrame] = {}  # each reference name read once
     predicates: list[Column] = []
 
     for rule in rules:
@@ -90,14 +91,17 @@ def build_flags(
             predicates.append(F.col(dup_flag[keys]).isNotNull())
         elif rule.type == "referential_integrity":
             column = rule.require("column")
-            ref = _resolve_reference(df, rule, refs)
+            table = rule.require("reference_table")
+            if table not in resolved:
+                resolved[table] = _resolve_reference(df, rule, refs)
+            ref = resolved[table]
             ref_column = rule.require("reference_column")
             check_key_types(
                 _type_of(df, column),
                 _type_of(ref, ref_column),
                 f"Rule {rule.name!r}",
             )
-            key = (column, rule.require("reference_table"), ref_column, id(ref))
+            key = (column, table, ref_column)
             if key not in ref_flag:
                 flag = f"{HELPER_PREFIX}ref{len(ref_flag)}"
                 work = attach_reference_hit(work, column, ref, ref_column, flag, policy, sizes, source=df)

@@ -225,3 +225,12 @@ def test_unique_wide_key_composite_with_nulls(spark):
     df = spark.createDataFrame(rows, "k int, s string, t string")
     r = validate(df, [{"name": "u", "type": "unique_check", "columns": ["s", "t"], "priority": 1}])
     assert fails(r) == {1: True, 2: True, 3: False, 4: False, 5: False}
+
+
+def test_same_catalog_reference_shares_one_join(spark):
+    spark.createDataFrame([("a",)], "r string").createOrReplaceTempView("shared_ref_t")
+    df = spark.createDataFrame(VALS, "k int, v string")
+    base = {"type": "referential_integrity", "column": "v", "reference_table": "shared_ref_t", "reference_column": "r"}
+    r = validate(df, [{**base, "name": "a", "priority": 1}, {**base, "name": "b", "priority": 2}])
+    assert r.flags._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
+    assert len(r.helpers) == 1
