@@ -753,3 +753,49 @@ def q21_summary(spark, sf_dir):
     """Key and failed rules of every rejected row."""
     fr = validate_full(spark, sf_dir).failed_rules_summary(FULL_KEYS)
     return fr.select(*FULL_KEYS, verdict_text())
+
+
+# ---------------------------------------------------------------------------
+# Sources in the registry: references by catalog name, explicit schemas
+# ---------------------------------------------------------------------------
+@query(
+    "q29_reference_by_view",
+    """SELECT doc_id, 'doc_labelled' AS failed_rules FROM documents
+       WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+)
+def q29(spark, sf_dir):
+    """The reference is a temporary view resolved by name (no refs)."""
+    from rowsieve.sources.readers import register_view
+
+    register_view(table(spark, sf_dir, "labels"), "rowsieve_labels_view")
+    rules = [dict(DOCUMENT_RULES[2], reference_table="rowsieve_labels_view", priority=1)]
+    return rejected(validate(table(spark, sf_dir, "documents"), rules), "doc_id")
+
+
+EVENTS_SCHEMA_JSON = {
+    "type": "struct",
+    "fields": [
+        {"name": "event_id", "type": "long", "nullable": True, "metadata": {}},
+        {"name": "ts", "type": "timestamp_ntz", "nullable": True, "metadata": {}},
+        {"name": "user_id", "type": "long", "nullable": True, "metadata": {}},
+        {"name": "event_type", "type": "string", "nullable": True, "metadata": {}},
+        {"name": "value", "type": "double", "nullable": True, "metadata": {}},
+        {"name": "props", "type": "string", "nullable": True, "metadata": {}},
+    ],
+}
+
+
+@query(
+    "q30_explicit_schema_scan",
+    """SELECT event_id, 'business_hours' AS failed_rules FROM events
+       WHERE strftime(ts, '%H:%M:%S') < '09:00:00' OR strftime(ts, '%H:%M:%S') > '20:59:59'""",
+)
+def q30(spark, sf_dir):
+    """Parquet read with an explicit schema given as JSON."""
+    from rowsieve.sources.readers import read_parquet
+
+    df = read_parquet(spark, f"{sf_dir.rstrip('/')}/events.parquet", schema=EVENTS_SCHEMA_JSON)
+    rules = [
+        {"name": "business_hours", "type": "time_range", "column": "ts", "min_time": "09:00:00", "max_time": "20:59:59", "priority": 1}
+    ]
+    return rejected(validate(df, rules), "event_id")
