@@ -59,6 +59,17 @@ def _type_of(df: DataFrame, name: str) -> T.DataType:
     return dtype
 
 
+def _check_columns(df: DataFrame, rules: RuleSet) -> None:
+    """Every column a rule names exists (cross_column SQL is left to Spark)."""
+    for rule in rules:
+        if rule.type == "cross_column":
+            continue
+        names = list(rule.get("columns") or []) or [rule.get("column")]
+        missing = [n for n in names if n is not None and field_type(df.schema, n) is None]
+        if missing:
+            raise RuleError(f"Rule {rule.name!r}: column(s) {missing} not in the input {df.columns}")
+
+
 def build_flags(
     df: DataFrame,
     rules: RuleSet,
@@ -74,6 +85,7 @@ def build_flags(
     clash = [c for c in df.columns if c.startswith(HELPER_PREFIX)]
     if clash:
         raise RuleError(f"input columns may not start with {HELPER_PREFIX!r}: {clash}")
+    _check_columns(df, rules)
     work = df
     schema = df.schema
     dup_flag: dict[tuple[str, ...], str] = {}
@@ -96,6 +108,8 @@ def build_flags(
                 resolved[table] = _resolve_reference(df, rule, refs)
             ref = resolved[table]
             ref_column = rule.require("reference_column")
+            if field_type(ref.schema, ref_column) is None:
+                raise RuleError(f"Rule {rule.name!r}: reference column {ref_column!r} not in {table!r} {ref.columns}")
             check_key_types(
                 _type_of(df, column),
                 _type_of(ref, ref_column),

@@ -204,3 +204,15 @@ def test_materialize_input_cuts_lineage(spark):
     assert "lineitem.parquet" not in plan and "LogicalRDD" in plan  # the join is not recomputed
     plain = validate(full_input(spark, SF001), FULL_RULES, refs=refs)
     assert cut.quality_stats() == plain.quality_stats()
+
+
+def test_missing_columns_named_in_error(spark):
+    ev = table(spark, SF001, "events")
+    with pytest.raises(RuleError, match="nope"):
+        validate(ev, [{"name": "x", "type": "null_check", "column": "nope", "priority": 1}])
+    with pytest.raises(RuleError, match="'k'"):
+        validate(ev, [{"name": "x", "type": "completeness_check", "columns": ["value", "k"], "priority": 1}])
+    with pytest.raises(RuleError, match="no_such"):
+        validate(ev, [{"name": "x", "type": "referential_integrity", "column": "user_id",
+                       "reference_table": "c", "reference_column": "no_such", "priority": 1}],
+                 refs={"c": table(spark, SF001, "customer")})
