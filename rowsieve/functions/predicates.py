@@ -108,7 +108,7 @@ def length_check(rule: Rule, schema: T.StructType) -> Column:
     if rule.get("max_length") is not None:
         conds.append(F.length(c) > F.lit(rule.get("max_length")))
     if len(conds) == 1:
-        raise RuleError("length_check rule requires at least one of 'min_length' or 'max_length'")
+        raise RuleError(f"Rule {rule.name!r}: give min_length, max_length or both")
     return _any(conds)
 
 

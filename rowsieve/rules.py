@@ -134,18 +134,18 @@ def parse_duration(text: str) -> float:
     parts = text.split()
     if len(parts) != 2:
         raise RuleError(
-            f"Invalid duration format: {text!r}. Expected 'number unit', e.g. '72 HOURS'"
+            f"duration {text!r} should be an amount and a unit separated by a space, like '30 DAYS'"
         )
     number_text, unit = parts
     try:
         number = float(number_text)
     except ValueError as exc:
-        raise RuleError(f"Invalid number in duration: {number_text!r}") from exc
+        raise RuleError(f"duration amount {number_text!r} is not a number") from exc
     if not math.isfinite(number) or number < 0:
         raise RuleError(f"Duration must be finite and >= 0: {text!r}")
     unit = unit.upper()
     if unit not in DURATION_UNITS:
-        raise RuleError(f"Unsupported unit: {unit}. Supported units: {list(DURATION_UNITS)}")
+        raise RuleError(f"duration unit {unit!r} is not one of {', '.join(DURATION_UNITS)}")
     return number * DURATION_UNITS[unit]
 
 
@@ -166,7 +166,7 @@ class Rule:
     def require(self, key: str) -> Any:
         if self.params.get(key) is None:
             raise MissingParameterError(
-                f"Missing required parameter '{key}' for {self.type} rule {self.name!r}"
+                f"Rule {self.name!r} ({self.type}) needs the field '{key}'"
             )
         return self.params[key]
 
@@ -244,7 +244,7 @@ def _check_type_fields(rule: Rule) -> None:
     elif t == "length_check":
         need_column()
         if "min_length" not in p and "max_length" not in p:
-            raise RuleError("length_check rule requires at least one of 'min_length' or 'max_length'")
+            raise RuleError(f"Rule {rule.name!r}: give min_length, max_length or both")
         for k in ("min_length", "max_length"):
             if k in p and p[k] < 0:
                 raise RuleError(f"Rule {rule.name!r}: {k} must be >= 0")
@@ -260,7 +260,7 @@ def _check_type_fields(rule: Rule) -> None:
     elif t == "time_difference":
         need_columns()
         if len(p["columns"]) != 2:
-            raise RuleError("time_difference rule requires exactly two columns")
+            raise RuleError(f"Rule {rule.name!r}: time_difference compares a start and an end column, got {len(p['columns'])}")
         parse_duration(rule.require("max_duration"))
     elif t == "unique_check":
         if not has_cols:

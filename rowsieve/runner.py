@@ -46,7 +46,7 @@ class RuleRunner:
 
     def _validated(self) -> ValidationResult:
         if self.result is None:
-            raise ValueError("Data has not been validated yet; call apply_rules() first")
+            raise ValueError("no rules applied yet: call apply_rules() first")
         return self.result
 
     @property

@@ -83,7 +83,7 @@ def test_duplicate_names_refused():
 def test_missing_parameter_is_key_error_too():
     with pytest.raises(KeyError):
         load_rules([r(type="date_format")])
-    with pytest.raises(MissingParameterError, match="Missing required parameter 'format'"):
+    with pytest.raises(MissingParameterError, match="needs the field 'format'"):
         load_rules([r(type="date_format")])
 
 
