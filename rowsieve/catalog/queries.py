@@ -357,9 +357,9 @@ def q16(spark, sf_dir):
 @query(
     "q17_rule_counts",
     f"""SELECT 'value_in_range' AS rule, 'value_range' AS rule_type, 1 AS priority,
-              count_if(f_value) AS failed_count FROM ({_EVENT_FLAGS})
+              CAST(count_if(f_value) AS BIGINT) AS failed_count FROM ({_EVENT_FLAGS})
        UNION ALL
-       SELECT 'known_event_type', 'allowed_values', 2, count_if(f_type) FROM ({_EVENT_FLAGS})""",
+       SELECT 'known_event_type', 'allowed_values', 2, CAST(count_if(f_type) AS BIGINT) FROM ({_EVENT_FLAGS})""",
 )
 def q17(spark, sf_dir):
     """Violations per rule from one aggregate."""
@@ -368,12 +368,11 @@ def q17(spark, sf_dir):
 
 @query(
     "q18_summary",
-    """WITH f AS (SELECT (value < 1 OR value > 20 OR isnan(value)) AS v FROM events)
-       SELECT count(*) AS total_records,
-              count(*) - count_if(v) AS passed_records,
-              count_if(v) AS rejected_records,
-              round(CASE WHEN count(*) > 0 THEN (count(*) - count_if(v)) / count(*) * 100.0 ELSE 0.0 END, 4) AS quality_pct
-       FROM f""",
+    """WITH f AS (SELECT (value < 1 OR value > 20 OR isnan(value)) AS v FROM events),
+            c AS (SELECT count(*) AS n, CAST(count_if(v) AS BIGINT) AS bad FROM f)
+       SELECT n AS total_records, n - bad AS passed_records, bad AS rejected_records,
+              round(CASE WHEN n > 0 THEN (n - bad) / n * 100.0 ELSE 0.0 END, 4) AS quality_pct
+       FROM c""",
 )
 def q18(spark, sf_dir):
     """Total / passed / rejected / quality % for value within 1..20."""
@@ -663,8 +662,8 @@ _FULL_TEXT = "concat_ws(',', " + ", ".join(
 _FULL_ANY = "coalesce(" + " OR ".join(f"f{i + 1:02d}" for i in range(len(_FULL_ORDER))) + ", false)"
 _FULL_COUNTS = _FULL_FLAGS_SQL + (
     "SELECT "
-    + ", ".join(f"count_if(f{i + 1:02d}) AS c{i + 1:02d}" for i in range(len(_FULL_ORDER)))
-    + f", count(*) AS total, count_if({_FULL_ANY}) AS rejected FROM fl"
+    + ", ".join(f"CAST(count_if(f{i + 1:02d}) AS BIGINT) AS c{i + 1:02d}" for i in range(len(_FULL_ORDER)))
+    + f", count(*) AS total, CAST(count_if({_FULL_ANY}) AS BIGINT) AS rejected FROM fl"
 )
 _FULL_VIOLATIONS = (
     "WITH agg AS ("

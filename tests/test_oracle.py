@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF01
-from tools.oracle_check import canon, duck
+from tools.oracle_check import canon, duck, type_mismatches
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
@@ -25,10 +25,11 @@ def test_query_matches_oracle(spark, con, name):
     sdf = QUERIES[name](spark, SF01)
     cols = sdf.columns
     rows = [tuple(r) for r in sdf.collect()]
-    cur = con.execute(ORACLE[name])
-    dcols = [d[0] for d in cur.description]
-    drows = cur.fetchall()
+    rel = con.sql(ORACLE[name])
+    dcols, dtypes = rel.columns, [str(t) for t in rel.types]
+    drows = rel.fetchall()
     assert sorted(cols) == sorted(dcols)
+    assert not type_mismatches(sdf.dtypes, dcols, dtypes)
     assert len(rows) == len(drows)
     assert canon(rows, cols) == canon(drows, dcols)
 
