@@ -68,7 +68,13 @@ def row_bytes(df: DataFrame) -> Column:
 
 
 def checkpoint_dir(df: DataFrame) -> str | None:
-    sc = df.sparkSession.sparkContext
+    """The session's checkpoint folder, or None (then helper sets are
+    persisted instead)."""
+    spark = df.sparkSession
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a driver-side context (Spark Connect)
+        return spark.conf.get("spark.checkpoint.dir", None)
     return sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
 
 
@@ -91,9 +97,14 @@ class Sized:
 def _materialize(side: DataFrame, policy: JoinPolicy) -> tuple[DataFrame, DataFrame | None]:
     if not policy.materialize:
         return side, None
-    if checkpoint_dir(side):
-        if not side.sparkSession.sparkContext.getCheckpointDir():
-            side.sparkSession.sparkContext.setCheckpointDir(checkpoint_dir(side))
+    target = checkpoint_dir(side)
+    if target:
+        try:
+            sc = side.sparkSession.sparkContext
+            if not sc.getCheckpointDir():
+                sc.setCheckpointDir(target)
+        except Exception:  # the server side reads spark.checkpoint.dir itself
+            pass
         return side.checkpoint(eager=True), None
     cached = side.persist(StorageLevel.MEMORY_AND_DISK)
     return cached, cached
