@@ -9,8 +9,8 @@ it is broadcast only after it is measured:
    (``spark.checkpoint.dir``) when the session names one, else persisted
    MEMORY_AND_DISK (blocks lost with an executor are recomputed from
    lineage);
-2. probe it with a bounded read (``limit(max_rows + 1)``) that returns its
-   row count and key bytes;
+2. measure its row count and key bytes in that same job (observed metrics),
+   or with a bounded read (``limit(max_rows + 1)``) when not materialized;
 3. under both bounds → ``broadcast`` (the input is never shuffled);
    otherwise → a shuffle join made skew-safe by ``skew_split_join``.
 
@@ -34,7 +34,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,9 +94,17 @@ class Sized:
         return F.broadcast(df) if self.broadcast else df
 
 
-def _materialize(side: DataFrame, policy: JoinPolicy) -> tuple[DataFrame, DataFrame | None]:
-    if not policy.materialize:
-        return side, None
+def _size_columns(side: DataFrame) -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), F.sum(row_bytes(side)).alias("b")]
+
+
+def _materialize(side: DataFrame, policy: JoinPolicy) -> tuple[DataFrame, DataFrame | None, dict]:
+    """Write the helper set once and measure it in the same job: the row
+    count and key bytes are observed (``DataFrame.observe``) while the set is
+    checkpointed — or persisted and counted when no checkpoint folder is
+    set."""
+    obs = Observation()
+    observed = side.observe(obs, *_size_columns(side))
     target = checkpoint_dir(side)
     if target:
         try:
@@ -105,22 +113,24 @@ def _materialize(side: DataFrame, policy: JoinPolicy) -> tuple[DataFrame, DataFr
                 sc.setCheckpointDir(target)
         except Exception:  # the server side reads spark.checkpoint.dir itself
             pass
-        return side.checkpoint(eager=True), None
-    cached = side.persist(StorageLevel.MEMORY_AND_DISK)
-    return cached, cached
+        return observed.checkpoint(eager=True), None, obs.get
+    cached = observed.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.count()
+    return cached, cached, obs.get
 
 
 def sized_side(side: DataFrame, policy: JoinPolicy = DEFAULT, materialize: bool = True) -> Sized:
-    """Materialize (optionally) and measure a helper set under the bounds."""
+    """Measure a helper set under the bounds; materialize it first (and
+    measure while writing) unless ``materialize`` is off, in which case a
+    bounded read (``limit(max_rows + 1)``) measures it."""
     if not policy.probe:
         return Sized(side, False)
     cached = None
-    if materialize:
-        side, cached = _materialize(side, policy)
-    probe = side.limit(policy.broadcast_max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(row_bytes(side)).alias("b")
-    ).first()
-    n, nbytes = int(probe["n"]), int(probe["b"] or 0)
+    if materialize and policy.materialize:
+        side, cached, metrics = _materialize(side, policy)
+    else:
+        metrics = side.limit(policy.broadcast_max_rows + 1).agg(*_size_columns(side)).first()
+    n, nbytes = int(metrics["n"]), int(metrics["b"] or 0)
     small = n <= policy.broadcast_max_rows and nbytes <= policy.broadcast_max_bytes
     return Sized(side, small, n, nbytes, cached, "broadcast" if small else "shuffle")
 
