@@ -798,3 +798,88 @@ def q30(spark, sf_dir):
         {"name": "business_hours", "type": "time_range", "column": "ts", "min_time": "09:00:00", "max_time": "20:59:59", "priority": 1}
     ]
     return rejected(validate(df, rules), "event_id")
+
+
+# ---------------------------------------------------------------------------
+# More of the schema: conversations, suppliers by region, nation -> region
+# ---------------------------------------------------------------------------
+CONVERSATION_RULES = [
+    {"name": "turn_unique", "type": "unique_check", "columns": ["conv_id", "turn"], "priority": 1},
+    {"name": "role_known", "type": "allowed_values", "column": "role", "allowed_values": ["user", "assistant", "system"], "priority": 1},
+    {"name": "text_min_50", "type": "length_check", "column": "text", "min_length": 50, "priority": 2},
+    {
+        "name": "assistant_never_first",
+        "type": "cross_column",
+        "columns": ["role", "turn"],
+        "expect": "NOT (role = 'assistant' AND turn = 0)",
+        "priority": 3,
+    },
+]
+
+
+@query(
+    "q31_conversation_turns",
+    """WITH d AS (SELECT conv_id AS k1, turn AS k2 FROM conversations
+                 WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1),
+            f AS (
+              SELECT c.conv_id, c.turn,
+                     d.k1 IS NOT NULL AS f1,
+                     c.role NOT IN ('user', 'assistant', 'system') AS f2,
+                     (c.text IS NULL OR length(c.text) < 50) AS f3,
+                     NOT (NOT (c.role = 'assistant' AND c.turn = 0)) AS f4
+              FROM conversations c LEFT JOIN d ON c.conv_id = d.k1 AND c.turn = d.k2)
+       SELECT conv_id, turn,
+              concat_ws(',', CASE WHEN f1 THEN 'turn_unique' END, CASE WHEN f2 THEN 'role_known' END,
+                             CASE WHEN f3 THEN 'text_min_50' END, CASE WHEN f4 THEN 'assistant_never_first' END) AS failed_rules
+       FROM f WHERE coalesce(f1 OR f2 OR f3 OR f4, false)""",
+)
+def q31(spark, sf_dir):
+    """Conversation turns: composite unique key, known roles, minimum text
+    length (whole texts) and an expectation across columns."""
+    r = validate(table(spark, sf_dir, "conversations"), CONVERSATION_RULES)
+    return rejected(r, "conv_id", "turn")
+
+
+@query(
+    "q32_supplier_in_region",
+    """SELECT l_orderkey, l_linenumber, l_suppkey, 'supplier_in_region_0' AS failed_rules FROM lineitem
+       WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey
+                               WHERE n_regionkey = 0)""",
+)
+def q32(spark, sf_dir):
+    """G2 against a reference derived by a join (suppliers of region 0)."""
+    supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
+    region0 = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).where(F.col("n_regionkey") == 0)
+    rules = [
+        {
+            "name": "supplier_in_region_0",
+            "type": "referential_integrity",
+            "column": "l_suppkey",
+            "reference_table": "region0_suppliers",
+            "reference_column": "s_suppkey",
+            "priority": 1,
+        }
+    ]
+    r = validate(table(spark, sf_dir, "lineitem"), rules, refs={"region0_suppliers": region0})
+    return rejected(r, "l_orderkey", "l_linenumber", "l_suppkey")
+
+
+@query(
+    "q33_nation_region_fk",
+    """SELECT n_nationkey, 'region_exists' AS failed_rules FROM nation
+       WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region)""",
+)
+def q33(spark, sf_dir):
+    """Control: every nation's region exists."""
+    rules = [
+        {
+            "name": "region_exists",
+            "type": "referential_integrity",
+            "column": "n_regionkey",
+            "reference_table": "region",
+            "reference_column": "r_regionkey",
+            "priority": 1,
+        }
+    ]
+    r = validate(table(spark, sf_dir, "nation"), rules, refs={"region": table(spark, sf_dir, "region")})
+    return rejected(r, "n_nationkey")
