@@ -119,6 +119,12 @@ def _materialize(side: DataFrame, policy: JoinPolicy) -> tuple[DataFrame, DataFr
     return cached, cached, obs.get
 
 
+def broadcast_disabled(side: DataFrame) -> bool:
+    """The session turned broadcast joins off (threshold -1): honour it."""
+    value = side.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    return value is not None and value.strip().startswith("-")
+
+
 def sized_side(side: DataFrame, policy: JoinPolicy = DEFAULT, materialize: bool = True) -> Sized:
     """Measure a helper set under the bounds; materialize it first (and
     measure while writing) unless ``materialize`` is off, in which case a
@@ -132,6 +138,7 @@ def sized_side(side: DataFrame, policy: JoinPolicy = DEFAULT, materialize: bool
         metrics = side.limit(policy.broadcast_max_rows + 1).agg(*_size_columns(side)).first()
     n, nbytes = int(metrics["n"]), int(metrics["b"] or 0)
     small = n <= policy.broadcast_max_rows and nbytes <= policy.broadcast_max_bytes
+    small = small and not broadcast_disabled(side)
     return Sized(side, small, n, nbytes, cached, "broadcast" if small else "shuffle")
 
 

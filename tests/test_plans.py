@@ -230,3 +230,18 @@ def test_salt_spreads_hot_and_null_keys(spark):
     total = ev.count()
     assert max(unsalted) > 4 * total / parts  # without the salt one task gets several shares
     assert max(sizes) < 2.5 * total / parts  # with it, every task gets about its share
+
+
+def test_session_without_broadcast_joins_is_honoured(spark):
+    docs = table(spark, SF001, "documents")
+    refs = {"labels": table(spark, SF001, "labels")}
+    expected = validate(docs, DOCUMENT_RULES, refs=refs)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = validate(docs, DOCUMENT_RULES, refs=refs)
+        assert not any(v["broadcast"] for v in r.join_plan().values())
+        assert "strategy=broadcast" not in pi.optimized(r.bad)
+        assert sorted(map(tuple, r.flagged.collect())) == sorted(map(tuple, expected.flagged.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
