@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from rowsieve.operators.validate import ValidationResult, validate
 from rowsieve.plans.joins import DEFAULT, JoinPolicy
-from rowsieve.rules import load_rules, parse_duration
+from rowsieve.rules import RuleError, load_rules, parse_duration
 
 
 class RuleRunner:
@@ -63,16 +63,24 @@ class RuleRunner:
     def get_quality_stats(self) -> dict[str, Any]:
         return self._validated().quality_stats()
 
+    def _keys(self, keys: Sequence[str] | None, required: bool) -> list[str]:
+        chosen = list(keys) if keys else self.keys
+        missing = [k for k in chosen if k not in self.df.columns]
+        if missing and required:
+            raise RuleError(f"key column(s) {missing} not in the input {self.df.columns}")
+        return [] if missing else chosen
+
     def get_failed_rules_summary(self, keys: Sequence[str] | None = None) -> DataFrame:
-        return self._validated().failed_rules_summary(list(keys) if keys else self.keys)
+        return self._validated().failed_rules_summary(self._keys(keys, required=True))
 
     def generate_report(self, output_path: str, title: str = "Data Quality Report", keys: Sequence[str] | None = None) -> str:
+        """HTML report; the rejected-row sample needs key columns and is left
+        out when the input lacks them."""
         from rowsieve.operators.report import write_html_report
 
-        chosen = list(keys) if keys else self.keys
-        return write_html_report(self._validated(), output_path, keys=chosen, title=title)
+        return write_html_report(self._validated(), output_path, keys=self._keys(keys, required=False), title=title)
 
     def generate_report_data(self) -> dict[str, Any]:
         from rowsieve.operators.report import report_data
 
-        return report_data(self._validated(), self.keys)
+        return report_data(self._validated(), self._keys(None, required=False))

@@ -91,3 +91,17 @@ def test_command_line(spark, tmp_out, capsys):
     assert os.path.exists(report)
     back = spark.read.parquet(os.path.join(tmp_out, "split"))
     assert back.where("dq_status = 'rejected'").count() == stats["rejected_records"]
+
+
+def test_default_keys_missing(spark, rules_file, tmp_out):
+    from rowsieve import RuleError
+
+    docs = table(spark, SF001, "documents")
+    runner = RuleRunner(docs, refs={"labels": table(spark, SF001, "labels")})  # default key order_id
+    runner.apply_rules(rules_file)
+    with pytest.raises(RuleError, match="order_id"):
+        runner.get_failed_rules_summary()
+    out = runner.generate_report(os.path.join(tmp_out, "nokeys.html"))
+    text = open(out, encoding="utf-8").read()
+    assert "Top 5 rule violations" in text and "Sample rejected records" not in text
+    assert runner.get_failed_rules_summary(["doc_id"]).count() == runner.bad_df.count()
