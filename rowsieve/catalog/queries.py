@@ -883,3 +883,30 @@ def q33(spark, sf_dir):
     ]
     r = validate(table(spark, sf_dir, "nation"), rules, refs={"region": table(spark, sf_dir, "region")})
     return rejected(r, "n_nationkey")
+
+
+# ---------------------------------------------------------------------------
+# Q21 on the flagship events rules (the survey's pilot numbers)
+# ---------------------------------------------------------------------------
+@query(
+    "q21_events_exploded",
+    f"""SELECT event_id, 'value_in_range' AS rule FROM ({_EVENT_FLAGS}) WHERE f_value
+       UNION ALL
+       SELECT event_id, 'known_event_type' AS rule FROM ({_EVENT_FLAGS}) WHERE f_type""",
+)
+def q21_events_exploded(spark, sf_dir):
+    """A9 on the flagship: one row per (event, violated rule)."""
+    return validate_events(spark, sf_dir).exploded(["event_id"])
+
+
+@query(
+    "q21_events_sample",
+    f"""SELECT event_id,
+         concat_ws(',', CASE WHEN f_value THEN 'value_in_range' END,
+                        CASE WHEN f_type THEN 'known_event_type' END) AS failed_rules
+       FROM ({_EVENT_FLAGS}) WHERE coalesce(f_value OR f_type, false)
+       ORDER BY event_id, failed_rules LIMIT 10""",
+)
+def q21_events_sample(spark, sf_dir):
+    """P5 on the flagship: the first ten rejected events by key."""
+    return report.rejected_sample(validate_events(spark, sf_dir), ["event_id"], 10)
