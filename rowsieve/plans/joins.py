@@ -173,5 +173,10 @@ def skew_split_join(
     else:
         spread = F.lit(False)
     work = work.withColumn(salt, salt_expr(spread, keys))
-    light = light.withColumn(salt, F.lit(0).cast("bigint"))
+    # The light side's salt is 0, but must not be a literal: Catalyst would
+    # propagate the constant, turn the salt equality into a plain filter and
+    # hash the shuffle on the key alone (every hot row back on one task).
+    # spark_partition_id() is not foldable, so (key, salt) stays the
+    # equi-join key and the shuffle is partitioned by both.
+    light = light.withColumn(salt, (F.spark_partition_id() * F.lit(0)).cast("bigint"))
     return work.join(light, on=[*keys, salt], how="left").drop(salt)

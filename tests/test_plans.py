@@ -184,7 +184,9 @@ def test_duplicate_join_splits_hot_key(spark):
     # hot keys answered by a broadcast join; the rest by a shuffle join on (key, salt)
     assert "BroadcastHashJoin" in plan
     smj = [line for line in plan.splitlines() if "SortMergeJoin" in line]
-    assert smj and "__rs_dup0_s" in smj[0]
+    assert smj and "__rs_dup0_s" in smj[0].split("LeftOuter")[0]  # an equi-join key
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(__rs_dup0_k0" in line]
+    assert len(shuffles) == 2 and all("__rs_dup0_s" in line for line in shuffles)  # salt spreads rows
     ref = validate(ev, rule)  # broadcast path
     assert ref.join_plan()["__rs_dup0"]["path"] == "broadcast"
     assert sorted(map(tuple, split.flagged.collect())) == sorted(map(tuple, ref.flagged.collect()))
@@ -206,6 +208,14 @@ def test_referential_join_splits_hot_value(spark):
     split = validate(ev, rule, refs={"c": ref}, policy=SPLIT)
     (info,) = split.join_plan().values()
     assert info["path"] == "shuffle+split"
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(1 << 10))
+    try:
+        plan = pi.physical(split.flagged)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(__rs_ref0_p" in line]
+    assert len(shuffles) == 2 and all("__rs_ref0_s" in line for line in shuffles)
     expected = validate(ev, rule, refs={"c": ref})
     assert expected.join_plan()["__rs_ref0"]["path"] == "broadcast"
     assert sorted(map(tuple, split.flagged.collect())) == sorted(map(tuple, expected.flagged.collect()))
