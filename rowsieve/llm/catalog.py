@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from rowsieve.llm import packing, quality, toxicity
 from rowsieve.llm.near_dedup import near_duplicates
 from rowsieve.llm.tables import read
 
@@ -11,7 +12,37 @@ def op1_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup,)}
+def tokenizer_path(name="word_bpe_49k.json"):
+    """Where a public vocabulary file lies; it is never copied."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_sum_of_squares_packing(spark, sf_dir):
+    """Whole ``documents`` as pieces of packed sequences."""
+    return packing.digests(packing.pack(read(spark, sf_dir, "documents"), tokenizer_path()))
+
+
+def op7_quality_factorisation_machine(spark, sf_dir):
+    """Quality score of every whole text of ``documents``."""
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op10_toxicity_compression_distance(spark, sf_dir):
+    """Toxicity score of every whole text of ``documents``."""
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_minhash_near_dedup,
+        op4_sum_of_squares_packing,
+        op7_quality_factorisation_machine,
+        op10_toxicity_compression_distance,
+    )
+}
 
 #: Links of shingle sets and their closure, from scratch.
 _OP1_SQL = """
@@ -20,7 +51,7 @@ WITH RECURSIVE words AS (
          '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
-    ELSE list_transform(range(1, greatest(len(w) - 4, 1) + 1), i -> array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+    ELSE list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
 rows AS (SELECT doc_id, len(s) AS n, s FROM sets),
 items AS (SELECT doc_id, n, unnest(s) AS x FROM rows),
 links AS (
