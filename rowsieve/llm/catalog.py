@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rowsieve.llm import packing, quality, toxicity
+from rowsieve.llm import decontaminate, packing, quality, toxicity
 from rowsieve.llm.near_dedup import near_duplicates
 from rowsieve.llm.tables import read
 
@@ -29,6 +29,11 @@ def op7_quality_factorisation_machine(spark, sf_dir):
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_template_decontamination(spark, sf_dir):
+    """Every document of ``documents``: benchmark passages that it holds."""
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op10_toxicity_compression_distance(spark, sf_dir):
     """Toxicity score of every whole text of ``documents``."""
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -40,6 +45,7 @@ QUERIES = {
         op1_minhash_near_dedup,
         op4_sum_of_squares_packing,
         op7_quality_factorisation_machine,
+        op9_template_decontamination,
         op10_toxicity_compression_distance,
     )
 }
