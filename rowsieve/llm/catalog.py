@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rowsieve.llm import decontaminate, packing, quality, toxicity
+from rowsieve.llm import decontaminate, packing, pii, quality, toxicity
 from rowsieve.llm.near_dedup import near_duplicates
 from rowsieve.llm.tables import read
 
@@ -24,6 +24,11 @@ def op4_sum_of_squares_packing(spark, sf_dir):
     return packing.digests(packing.pack(read(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op6_disclosure_pii(spark, sf_dir):
+    """Personal data in every whole text of ``documents``."""
+    return pii.find(read(spark, sf_dir, "documents"))
+
+
 def op7_quality_factorisation_machine(spark, sf_dir):
     """Quality score of every whole text of ``documents``."""
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -44,6 +49,7 @@ QUERIES = {
     for f in (
         op1_minhash_near_dedup,
         op4_sum_of_squares_packing,
+        op6_disclosure_pii,
         op7_quality_factorisation_machine,
         op9_template_decontamination,
         op10_toxicity_compression_distance,
