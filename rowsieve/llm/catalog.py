@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rowsieve.llm import decontaminate, packing, pii, quality, toxicity
+from rowsieve.llm import decontaminate, fingerprints, packing, pii, quality, sharding, toxicity
 from rowsieve.llm.near_dedup import near_duplicates
 from rowsieve.llm.tables import read
 
@@ -19,9 +19,19 @@ def tokenizer_path(name="word_bpe_49k.json"):
     return public_tokenizers.path(name)
 
 
+def op2_imatch_fingerprints(spark, sf_dir):
+    """Fingerprints of every whole text of ``documents`` and its edited text."""
+    return fingerprints.compare_neighbours(read(spark, sf_dir, "documents"))
+
+
 def op4_sum_of_squares_packing(spark, sf_dir):
     """Whole ``documents`` as pieces of packed sequences."""
-    return packing.digests(packing.pack(read(spark, sf_dir, "documents"), tokenizer_path()))
+    return packing.with_digests(packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())).drop("ids")
+
+
+def op5_weighted_hash_tree_sharding(spark, sf_dir):
+    """All ``documents`` in eight shards of equal weight, and in nine."""
+    return sharding.assign(read(spark, sf_dir, "documents"), sharding.even_tree(8))
 
 
 def op6_disclosure_pii(spark, sf_dir):
@@ -48,7 +58,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup,
+        op2_imatch_fingerprints,
         op4_sum_of_squares_packing,
+        op5_weighted_hash_tree_sharding,
         op6_disclosure_pii,
         op7_quality_factorisation_machine,
         op9_template_decontamination,

@@ -13,12 +13,19 @@ from pyspark.sql import functions as F
 MAX_BROADCAST = 2_000_000
 
 
+def _keys(keyed: DataFrame, key: str) -> DataFrame:
+    keys = keyed.select(key).distinct()
+    return F.broadcast(keys) if keys.count() <= MAX_BROADCAST else keys
+
+
 def among(df: DataFrame, keyed: DataFrame, key: str = "id") -> DataFrame:
     """The rows of ``df`` whose ``key`` is in ``keyed`` (a written table)."""
-    keys = keyed.select(key).distinct()
-    if keys.count() <= MAX_BROADCAST:
-        keys = F.broadcast(keys)
-    return df.join(keys, key, "left_semi")
+    return df.join(_keys(keyed, key), key, "left_semi")
+
+
+def without(df: DataFrame, keyed: DataFrame, key: str = "id") -> DataFrame:
+    """The rows of ``df`` whose ``key`` is null or not in ``keyed`` (a written table)."""
+    return df.join(_keys(keyed, key), key, "left_anti")
 
 
 def by_group(df: DataFrame, keys: list[str], func: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:

@@ -223,14 +223,7 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
     return docs.mapInArrow(_pack_batches(tokenizer, window, end_id), PIECES)
 
 
-def digests(pieces: DataFrame) -> DataFrame:
-    """The pieces with a checksum instead of their ids."""
-    return pieces.select(
-        "doc_id",
-        "start",
-        (F.octet_length("ids") / 4).cast("long").alias("length"),
-        F.crc32("ids").alias("ids_crc32"),
-        "doc_tokens",
-        "sequence_id",
-        "offset",
-    )
+def with_digests(pieces: DataFrame) -> DataFrame:
+    """The pieces with the length and checksum of their ids."""
+    length = (F.octet_length("ids") / 4).cast("long").alias("length")
+    return pieces.select("doc_id", "start", length, F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "ids")
