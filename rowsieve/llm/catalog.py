@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rowsieve.llm import decontaminate, fingerprints, packing, pii, quality, sharding, toxicity
+from rowsieve.llm import chat, decontaminate, fingerprints, packing, pii, quality, sharding, toxicity, warc
 from rowsieve.llm.near_dedup import near_duplicates
 from rowsieve.llm.tables import read
 
@@ -24,6 +24,16 @@ def op2_imatch_fingerprints(spark, sf_dir):
     return fingerprints.compare_neighbours(read(spark, sf_dir, "documents"))
 
 
+def op3_offset_aligned_chat(spark, sf_dir):
+    """All ``conversations`` and conversation -1, whose texts look like another
+    template's control strings, formatted and read back."""
+    odd = spark.sql(
+        "SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
+    )
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
+    return chat.digests(chat.format_chats(rows, tokenizer_path("byte_bpe_50k.json")))
+
+
 def op4_sum_of_squares_packing(spark, sf_dir):
     """Whole ``documents`` as pieces of packed sequences."""
     return packing.with_digests(packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())).drop("ids")
@@ -44,6 +54,11 @@ def op7_quality_factorisation_machine(spark, sf_dir):
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_seekable_warc(spark, sf_dir):
+    """A record per row of ``pages``, written to bundles and read back."""
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 def op9_template_decontamination(spark, sf_dir):
     """Every document of ``documents``: benchmark passages that it holds."""
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -59,10 +74,12 @@ QUERIES = {
     for f in (
         op1_minhash_near_dedup,
         op2_imatch_fingerprints,
+        op3_offset_aligned_chat,
         op4_sum_of_squares_packing,
         op5_weighted_hash_tree_sharding,
         op6_disclosure_pii,
         op7_quality_factorisation_machine,
+        op8_seekable_warc,
         op9_template_decontamination,
         op10_toxicity_compression_distance,
     )
