@@ -910,3 +910,153 @@ def q21_events_exploded(spark, sf_dir):
 def q21_events_sample(spark, sf_dir):
     """P5 on the flagship: the first ten rejected events by key."""
     return report.rejected_sample(validate_events(spark, sf_dir), ["event_id"], 10)
+
+
+# ---------------------------------------------------------------------------
+# NOT IN semantics, text values, and names in another case
+# ---------------------------------------------------------------------------
+def _market_rule(reference: str) -> list[dict]:
+    return [
+        {
+            "name": "market_known",
+            "type": "referential_integrity",
+            "column": "c_mktsegment",
+            "reference_table": reference,
+            "reference_column": "segment",
+            "priority": 1,
+        }
+    ]
+
+
+@query(
+    "q34_null_in_reference",
+    """SELECT c_custkey, c_mktsegment, 'market_known' AS failed_rules FROM customer
+       WHERE c_mktsegment NOT IN (SELECT nullif(c_mktsegment, 'BUILDING') FROM customer WHERE c_nationkey < 5)""",
+)
+def q34(spark, sf_dir):
+    """A NULL in the reference means that no row can fail."""
+    df = table(spark, sf_dir, "customer")
+    ref = df.where("c_nationkey < 5").select(F.expr("nullif(c_mktsegment, 'BUILDING')").alias("segment"))
+    return rejected(validate(df, _market_rule("segments"), refs={"segments": ref}), "c_custkey", "c_mktsegment")
+
+
+@query(
+    "q35_empty_reference",
+    """SELECT c_custkey, c_mktsegment, 'market_known' AS failed_rules FROM customer
+       WHERE (nullif(c_mktsegment, 'BUILDING') NOT IN (SELECT c_mktsegment FROM customer WHERE c_custkey < 0))""",
+)
+def q35(spark, sf_dir):
+    """With an empty reference every row fails, NULL values too."""
+    df = table(spark, sf_dir, "customer")
+    seen = df.withColumn("segment", F.expr("nullif(c_mktsegment, 'BUILDING')"))
+    ref = df.where("c_custkey < 0").select(F.col("c_mktsegment").alias("segment"))
+    rules = [{**_market_rule("segments")[0], "column": "segment"}]
+    return rejected(validate(seen, rules, refs={"segments": ref}), "c_custkey", "c_mktsegment")
+
+
+@query(
+    "q36_null_input",
+    """SELECT c_custkey, segment, 'market_known' AS failed_rules
+       FROM (SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS segment FROM customer)
+       WHERE segment NOT IN (SELECT c_mktsegment FROM customer WHERE c_mktsegment LIKE 'A%' OR c_mktsegment LIKE 'M%')""",
+)
+def q36(spark, sf_dir):
+    """A NULL value passes, unknown values fail."""
+    df = table(spark, sf_dir, "customer")
+    ref = df.where("c_mktsegment LIKE 'A%' OR c_mktsegment LIKE 'M%'").select(F.col("c_mktsegment").alias("segment"))
+    seen = df.select("c_custkey", F.expr("nullif(c_mktsegment, 'BUILDING')").alias("segment"))
+    rules = [{**_market_rule("segments")[0], "column": "segment"}]
+    return rejected(validate(seen, rules, refs={"segments": ref}), "c_custkey", "segment")
+
+
+@query(
+    "q37_time_difference_null_end",
+    """SELECT l_orderkey, l_linenumber, 'shipped_in_time' AS failed_rules FROM (
+         SELECT l_orderkey, l_linenumber, o_orderdate,
+                CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_shipdate END AS shipped
+         FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+       WHERE o_orderdate IS NULL OR shipped IS NULL
+          OR epoch(CAST(shipped AS TIMESTAMP)) - epoch(CAST(o_orderdate AS TIMESTAMP)) > 60 * 86400""",
+)
+def q37(spark, sf_dir):
+    """A missing end fails."""
+    df = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+    df = df.withColumn("shipped", F.expr("CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_shipdate END"))
+    rules = [
+        {"name": "shipped_in_time", "type": "time_difference", "columns": ["o_orderdate", "shipped"], "max_duration": "60 DAYS", "priority": 1}
+    ]
+    return rejected(validate(df, rules), "l_orderkey", "l_linenumber")
+
+
+@query(
+    "q38_time_difference_offsets",
+    """SELECT event_id, 'within_five_hours' AS failed_rules FROM (SELECT event_id, CAST(event_id % 13 AS INTEGER) AS hours FROM events)
+       WHERE hours * 3600 > 5 * 3600""",
+)
+def q38(spark, sf_dir):
+    """R9 on ISO text: both ends say the same clock time, the second one in a
+    zone ``event_id % 13`` hours west."""
+    clock = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    west = F.lpad((F.col("event_id") % 13).cast("string"), 2, "0")
+    df = table(spark, sf_dir, "events").select(
+        "event_id", F.concat(clock, F.lit("Z")).alias("sent"), F.concat(clock, F.lit("-"), west, F.lit(":00")).alias("received")
+    )
+    rules = [
+        {"name": "within_five_hours", "type": "time_difference", "columns": ["sent", "received"], "max_duration": "5 HOURS", "priority": 1}
+    ]
+    return rejected(validate(df, rules), "event_id")
+
+
+@query(
+    "q39_long_ids_as_text",
+    """SELECT event_id, id, concat_ws(',', CASE WHEN id > 9007199254740992 + 5000 THEN 'id_range' END,
+                                          CASE WHEN id <> 9007199254740993 THEN 'id_known' END) AS failed_rules
+       FROM (SELECT event_id, 9007199254740992 + event_id AS id FROM events)
+       WHERE id > 9007199254740992 + 5000 OR id <> 9007199254740993""",
+)
+def q39(spark, sf_dir):
+    """R3 and R4 on numbers kept as text that a DOUBLE cannot tell apart."""
+    number = F.lit(2**53) + F.col("event_id")
+    df = table(spark, sf_dir, "events").select("event_id", number.alias("id"), number.cast("string").alias("text_id"))
+    rules = [
+        {"name": "id_range", "type": "value_range", "column": "text_id", "max": 2**53 + 5000, "priority": 1},
+        {"name": "id_known", "type": "allowed_values", "column": "text_id", "allowed_values": [2**53 + 1], "priority": 2},
+    ]
+    return rejected(validate(df, rules), "event_id", "id")
+
+
+@query(
+    "q40_reference_as_text",
+    """SELECT o_orderkey, o_custkey, 'customer_exists' AS failed_rules FROM orders
+       WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
+)
+def q40(spark, sf_dir):
+    """Numeric keys against a reference read as text."""
+    ref = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").cast("string").alias("id"))
+    rules = [
+        {
+            "name": "customer_exists",
+            "type": "referential_integrity",
+            "column": "o_custkey",
+            "reference_table": "customers",
+            "reference_column": "id",
+            "priority": 1,
+        }
+    ]
+    return rejected(validate(table(spark, sf_dir, "orders"), rules, refs={"customers": ref}), "o_orderkey", "o_custkey")
+
+
+@query(
+    "q41_names_in_another_case",
+    """SELECT l_orderkey, l_linenumber, concat_ws(',', CASE WHEN l_quantity > 45 THEN 'quantity' END,
+                                                     CASE WHEN l_returnflag <> 'N' THEN 'flag' END) AS failed_rules
+       FROM lineitem WHERE l_quantity > 45 OR l_returnflag <> 'N'""",
+)
+def q41(spark, sf_dir):
+    """Columns resolve as Spark resolves them: another case, backticks, a struct's field."""
+    df = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.struct("l_returnflag").alias("flags"))
+    rules = [
+        {"name": "quantity", "type": "value_range", "column": "L_QUANTITY", "max": 45, "priority": 1},
+        {"name": "flag", "type": "allowed_values", "column": "flags.`L_ReturnFlag`", "allowed_values": ["N"], "priority": 2},
+    ]
+    return rejected(validate(df, rules), "l_orderkey", "l_linenumber")

@@ -8,14 +8,18 @@ row: the verdict collector keeps a rule name only when its predicate is TRUE.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowsieve.functions.columns import TEXT, column_ref, column_type
 from rowsieve.rules import Rule, RuleError, parse_date_bound, parse_duration, parse_time_bound
 
+Source = DataFrame | T.StructType
+
 _FLOATING = (T.FloatType, T.DoubleType)
 
 
@@ -23,50 +27,50 @@ def _any(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conds)
 
 
-def field_type(schema: T.StructType, name: str) -> T.DataType | None:
-    """Type of a (possibly dotted, struct-nested) column name, or None."""
-    current: T.DataType = schema
-    for part in name.split("."):
-        if not isinstance(current, T.StructType):
-            return None
-        match = [f for f in current.fields if f.name == part]
-        if not match:
-            # a top-level name that itself contains dots
-            direct = [f for f in schema.fields if f.name == name]
-            return direct[0].dataType if direct else None
-        current = match[0].dataType
-    return current
-
-
 # --- R1 ---------------------------------------------------------------------
-def null_check(rule: Rule, schema: T.StructType) -> Column:
-    return F.col(rule.require("column")).isNull()
+def null_check(rule: Rule, schema: Source) -> Column:
+    return F.col(column_ref(schema, rule.require("column"))).isNull()
 
 
 # --- R2 ---------------------------------------------------------------------
-def regex_match(rule: Rule, schema: T.StructType) -> Column:
+def regex_match(rule: Rule, schema: Source) -> Column:
     # unanchored Java regex (find anywhere); users anchor with ^...$
-    return ~F.col(rule.require("column")).rlike(rule.require("pattern"))
+    return ~F.col(column_ref(schema, rule.require("column"))).rlike(rule.require("pattern"))
 
 
 # --- R3 ---------------------------------------------------------------------
-_TEXT = (T.StringType, T.VarcharType, T.CharType)
+def _exact(c: Column) -> Column:
+    """Numeric text as a decimal; NULL where it is no number or too long."""
+    return c.try_cast("decimal(38,10)")
+
+
+def _decimal(value: float) -> Column:
+    return F.lit(Decimal(str(value))).cast("decimal(38,10)")
 
 
-def value_range(rule: Rule, schema: T.StructType) -> Column:
+def value_range(rule: Rule, schema: Source) -> Column:
     name = rule.require("column")
-    c = F.col(name)
-    dtype = field_type(schema, name)
-    if isinstance(dtype, _TEXT):
+    c = F.col(column_ref(schema, name))
+    dtype = column_type(schema, name)
+    low, high = rule.get("min"), rule.get("max")
+    conds: list[Column] = []
+    if isinstance(dtype, TEXT):
         # numbers kept as text (an all-string CSV read): compare the parsed
         # value; text that is no number gives NULL and passes instead of an
-        # ANSI cast error aborting the run
-        c, dtype = c.try_cast(T.DoubleType()), T.DoubleType()
-    conds: list[Column] = []
-    if rule.get("min") is not None:
-        conds.append(c < F.lit(rule.get("min")))
-    if rule.get("max") is not None:
-        conds.append(c > F.lit(rule.get("max")))
+        # ANSI cast error aborting the run.  Parsing to DOUBLE rounds, and
+        # rounding keeps order, so only values that meet a bound can be
+        # judged wrongly: those compare as decimals.
+        d, dtype = c.try_cast(T.DoubleType()), T.DoubleType()
+        if low is not None:
+            conds.append((d < F.lit(float(low))) | ((d == F.lit(float(low))) & (_exact(c) < _decimal(low))))
+        if high is not None:
+            conds.append((d > F.lit(float(high))) | ((d == F.lit(float(high))) & (_exact(c) > _decimal(high))))
+        c = d
+    else:
+        if low is not None:
+            conds.append(c < F.lit(low))
+        if high is not None:
+            conds.append(c > F.lit(high))
     # An absent bound means -inf / +inf: NaN compares greater than +inf in
     # Spark, so NaN always fails.  Emit that directly instead of casting the
     # column to double against infinite bounds.
@@ -76,32 +80,38 @@ def value_range(rule: Rule, schema: T.StructType) -> Column:
 
 
 # --- R4 ---------------------------------------------------------------------
-def allowed_values(rule: Rule, schema: T.StructType) -> Column:
+def allowed_values(rule: Rule, schema: Source) -> Column:
     # SQL NOT IN: a NULL in the list makes the rule never fire, NULL input passes
     name = rule.require("column")
     values = list(rule.require("allowed_values"))
-    c = F.col(name)
+    c = F.col(column_ref(schema, name))
     numbers = [v for v in values if v is not None]
     if (
-        isinstance(field_type(schema, name), _TEXT)
+        isinstance(column_type(schema, name), TEXT)
         and numbers
         and all(isinstance(v, (int, float)) and not isinstance(v, bool) for v in numbers)
     ):
-        # numeric list against text: compare parsed numbers (no ANSI error)
-        c = c.try_cast(T.DoubleType())
-        values = [None if v is None else float(v) for v in values]
+        # numeric list against text: compare parsed numbers (no ANSI error),
+        # those beyond the whole numbers a DOUBLE holds as decimals too
+        d = c.try_cast(T.DoubleType())
+        missing = ~d.isin([None if v is None else float(v) for v in values])
+        large = [v for v in numbers if abs(v) >= 2**53]
+        if large and len(numbers) == len(values):
+            other = ~reduce(lambda a, b: a | b, [_exact(c) == _decimal(v) for v in large])
+            missing = missing | (d.isin([float(v) for v in large]) & other)
+        return missing
     return ~c.isin(values)
 
 
 # --- R5 ---------------------------------------------------------------------
-def date_format(rule: Rule, schema: T.StructType) -> Column:
+def date_format(rule: Rule, schema: Source) -> Column:
     # try_to_date: malformed text is a violation, never an ANSI exception
-    return F.try_to_date(F.col(rule.require("column")), rule.require("format")).isNull()
+    return F.try_to_date(F.col(column_ref(schema, rule.require("column"))), rule.require("format")).isNull()
 
 
 # --- R6 ---------------------------------------------------------------------
-def length_check(rule: Rule, schema: T.StructType) -> Column:
-    c = F.col(rule.require("column"))
+def length_check(rule: Rule, schema: Source) -> Column:
+    c = F.col(column_ref(schema, rule.require("column")))
     conds = [c.isNull()]
     if rule.get("min_length") is not None:
         conds.append(F.length(c) < F.lit(rule.get("min_length")))
@@ -113,7 +123,7 @@ def length_check(rule: Rule, schema: T.StructType) -> Column:
 
 
 # --- R7 ---------------------------------------------------------------------
-def cross_column(rule: Rule, schema: T.StructType) -> Column:
+def cross_column(rule: Rule, schema: Source) -> Column:
     # 'condition' is the violation itself (TRUE fails); 'expect' is the
     # expectation (FALSE fails).  NULL passes either way.
     if rule.get("condition") is not None:
@@ -122,17 +132,17 @@ def cross_column(rule: Rule, schema: T.StructType) -> Column:
 
 
 # --- R8 ---------------------------------------------------------------------
-def completeness_check(rule: Rule, schema: T.StructType) -> Column:
-    return _any([F.col(c).isNull() for c in rule.require("columns")])
+def completeness_check(rule: Rule, schema: Source) -> Column:
+    return _any([F.col(column_ref(schema, c)).isNull() for c in rule.require("columns")])
 
 
 # --- R9 ---------------------------------------------------------------------
 def epoch_seconds(c: Column, dtype: T.DataType | None, fmt: str | None = None) -> Column:
     """Whole seconds since the epoch for a temporal column.
 
-    TIMESTAMP is absolute.  TIMESTAMP_NTZ, DATE and ISO strings are wall-clock
-    values read as UTC, so differences do not depend on the session time
-    zone.  Strings with an explicit ``fmt`` are parsed in the session zone.
+    TIMESTAMP and ISO strings with a zone or offset are instants.
+    TIMESTAMP_NTZ, DATE and other ISO strings are wall-clock values read as
+    UTC, so differences do not depend on the session time zone.  Strings with an explicit ``fmt`` are parsed in the session zone.
     Unparsable strings give NULL (the difference is unknown → the row passes).
     """
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -142,32 +152,36 @@ def epoch_seconds(c: Column, dtype: T.DataType | None, fmt: str | None = None) -
     if isinstance(dtype, T.StringType):
         if fmt:
             return F.unix_timestamp(F.try_to_timestamp(c, F.lit(fmt)))
-        return F.unix_timestamp(c.try_cast(T.TimestampNTZType()))
+        # text that names a zone or offset is an instant; text without is wall-clock time
+        zoned = c.rlike(r"[0-9]:[0-9]{2}.*(?:[zZ]|[+-][0-9:]+|[A-Za-z][A-Za-z_/]+)\s*$")
+        instant = F.unix_timestamp(c.try_cast(T.TimestampType()))
+        return F.when(zoned, instant).otherwise(F.unix_timestamp(c.try_cast(T.TimestampNTZType())))
     if isinstance(dtype, T.NumericType):
         return F.floor(c)  # already epoch seconds
     raise RuleError(f"time_difference needs timestamp, date, string or numeric columns, got {dtype}")
 
 
-def time_difference(rule: Rule, schema: T.StructType) -> Column:
+def time_difference(rule: Rule, schema: Source) -> Column:
     start, end = rule.require("columns")
     limit = parse_duration(rule.require("max_duration"))
     fmt = rule.get("format")
-    s = epoch_seconds(F.col(start), field_type(schema, start), fmt)
-    e = epoch_seconds(F.col(end), field_type(schema, end), fmt)
+    first, last = F.col(column_ref(schema, start)), F.col(column_ref(schema, end))
+    s = epoch_seconds(first, column_type(schema, start), fmt)
+    e = epoch_seconds(last, column_type(schema, end), fmt)
     # signed: a negative gap passes
-    return F.col(start).isNull() | F.col(end).isNull() | ((e - s) > F.lit(limit))
+    return first.isNull() | last.isNull() | ((e - s) > F.lit(limit))
 
 
 # --- R10 (extension) ----------------------------------------------------------
-def data_type(rule: Rule, schema: T.StructType) -> Column:
+def data_type(rule: Rule, schema: Source) -> Column:
     """Non-NULL values whose text does not parse as ``expected_type``.
 
     Text columns are cast directly; other columns through their string
     form, so a cast Spark forbids between the types (int → date) is a
     per-row verdict instead of an analysis error."""
     name = rule.require("column")
-    c = F.col(name)
-    dtype = field_type(schema, name)
+    c = F.col(column_ref(schema, name))
+    dtype = column_type(schema, name)
     textual = dtype is None or isinstance(dtype, (T.StringType, T.VarcharType, T.CharType))
     source = c if textual else c.cast(T.StringType())
     return c.isNotNull() & source.try_cast(rule.require("expected_type")).isNull()
@@ -182,9 +196,9 @@ def _as_date(c: Column, dtype: T.DataType | None) -> Column:
     return F.try_to_date(c.cast(T.StringType()))
 
 
-def date_range(rule: Rule, schema: T.StructType) -> Column:
+def date_range(rule: Rule, schema: Source) -> Column:
     name = rule.require("column")
-    d = _as_date(F.col(name), field_type(schema, name))
+    d = _as_date(F.col(column_ref(schema, name)), column_type(schema, name))
     conds: list[Column] = []
     if rule.get("min_date") is not None:
         conds.append(d < F.lit(parse_date_bound(rule.get("min_date"), rule.name)))
@@ -195,21 +209,25 @@ def date_range(rule: Rule, schema: T.StructType) -> Column:
 
 # --- R12 (extension) ----------------------------------------------------------
 def time_of_day(c: Column, dtype: T.DataType | None) -> Column:
-    """Zero-padded ``HH:mm:ss`` text, comparable as a string."""
+    """Whole seconds since midnight."""
     if isinstance(dtype, T.StringType):
-        ts = F.coalesce(F.try_to_timestamp(c, F.lit("H:mm:ss")), c.try_cast(T.TimestampNTZType()))
-        return F.date_format(ts, "HH:mm:ss")
-    return F.date_format(c, "HH:mm:ss")
+        c = F.coalesce(F.try_to_timestamp(c, F.lit("H:mm:ss")), c.try_cast(T.TimestampNTZType()))
+    return F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+
+
+def _seconds(bound: str, rule: Rule) -> Column:
+    hour, minute, second = map(int, parse_time_bound(bound, rule.name).split(":"))
+    return F.lit(hour * 3600 + minute * 60 + second)
 
 
-def time_range(rule: Rule, schema: T.StructType) -> Column:
+def time_range(rule: Rule, schema: Source) -> Column:
     name = rule.require("column")
-    tod = time_of_day(F.col(name), field_type(schema, name))
+    tod = time_of_day(F.col(column_ref(schema, name)), column_type(schema, name))
     conds: list[Column] = []
     if rule.get("min_time") is not None:
-        conds.append(tod < F.lit(parse_time_bound(rule.get("min_time"), rule.name)))
+        conds.append(tod < _seconds(rule.get("min_time"), rule))
     if rule.get("max_time") is not None:
-        conds.append(tod > F.lit(parse_time_bound(rule.get("max_time"), rule.name)))
+        conds.append(tod > _seconds(rule.get("max_time"), rule))
     return _any(conds)
 
 
@@ -229,7 +247,7 @@ ROW_LOCAL = {
 }
 
 
-def violation(rule: Rule, schema: T.StructType) -> Column:
+def violation(rule: Rule, schema: Source) -> Column:
     """Violation predicate of a row-local rule."""
     try:
         builder = ROW_LOCAL[rule.type]

@@ -13,16 +13,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowsieve.functions.columns import TEXT, column_ref, column_type
+
+def numeric_value(df: DataFrame, column: str) -> Column:
+    """The column as a number; numbers kept as text are parsed, and text that
+    is no number is NULL (it takes no part in the moments and passes)."""
+    c = F.col(column_ref(df, column))
+    return c.try_cast("double") if isinstance(column_type(df, column), TEXT) else c
+
 
 def column_moments(df: DataFrame, column: str) -> tuple[Column, Column]:
-    mean = df.select(F.avg(F.col(column))).scalar()
-    sd = df.select(F.stddev_samp(F.col(column))).scalar()
-    return mean, sd
+    x = numeric_value(df, column)
+    return df.select(F.avg(x)).scalar(), df.select(F.stddev_samp(x)).scalar()
 
 
 def zscore_predicate(df: DataFrame, column: str, threshold: float) -> Column:
     mean, sd = column_moments(df, column)
-    return F.abs(F.try_divide(F.col(column) - mean, sd)) > F.lit(float(threshold))
+    return F.abs(F.try_divide(numeric_value(df, column) - mean, sd)) > F.lit(float(threshold))
 
 
 def outliers(df: DataFrame, column: str, threshold: float) -> DataFrame:

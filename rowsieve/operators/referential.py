@@ -7,59 +7,66 @@ reference column, with SQL ``NOT IN`` semantics kept exactly:
 * reference holds a NULL → no row can fail (unknown instead of FALSE)
 * otherwise              → fails
 
-Plan: the distinct non-NULL reference keys (an aggregate, partial on the map
-side) left-joined to the input, plus two scalar subqueries over the
-reference (row count and NULL count) that Catalyst merges into one
-aggregate.  Nothing is collected to the driver and no literal list grows
-with the reference.  The key set is broadcast only when measured under a
-bound (``rowsieve.plans.joins``); otherwise the sort-merge join is left to
-AQE, which splits skewed input values into several tasks.
+Plan: the distinct reference keys, NULL among them (an aggregate, partial on
+the map side), left-joined to the input.  Whether the reference has any row
+or any NULL follows from that set, so the reference is scanned once.  Nothing
+is collected to the driver and no literal list grows with the reference.  The
+key set is broadcast only when measured under a bound
+(``rowsieve.plans.joins``); otherwise the join is a shuffle join with hot and
+NULL input values split off.
+
+Keys of different simple types are matched by value: numbers with numeric
+text as decimals (or doubles), dates and timestamps with their text.  Text
+that is no such value equals nothing.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.plans.joins import DEFAULT, JoinPolicy, Sized, sized_side, skew_split_join
+from rowsieve.functions.columns import TEXT, column_ref, column_type
+from rowsieve.plans.joins import DEFAULT, JoinPolicy, Sized, hot_keys, sized_side, skew_split_join
 from rowsieve.rules import RuleError
 
-
-def _comparable(left: T.DataType, right: T.DataType) -> bool:
-    if left == right:
-        return True
-    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    if isinstance(left, integral) and isinstance(right, integral):
-        return True
-    numeric = (T.NumericType,)
-    if isinstance(left, numeric) and isinstance(right, numeric):
-        return True
-    if isinstance(left, (T.StringType, T.VarcharType, T.CharType)) and isinstance(
-        right, (T.StringType, T.VarcharType, T.CharType)
-    ):
-        return True
-    return False
-
-
-def check_key_types(left: T.DataType, right: T.DataType, what: str) -> None:
-    if not _comparable(left, right):
-        raise RuleError(
-            f"{what}: column type {left.simpleString()} cannot be matched against "
-            f"reference type {right.simpleString()}; cast one side first"
-        )
+_EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
+_TIMED = (T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
+def match_type(left: T.DataType, right: T.DataType, what: str) -> str | None:
+    """The type to compare two key types in, None to compare them as they
+    are; ``RuleError`` if they cannot be compared."""
+    if left == right or isinstance(left, TEXT) and isinstance(right, TEXT):
+        return None
+    if isinstance(left, T.NumericType) and isinstance(right, T.NumericType):
+        return None
+    for a, b in ((left, right), (right, left)):
+        if isinstance(a, TEXT) and isinstance(b, _EXACT):
+            return "decimal(38,10)"
+        if isinstance(a, TEXT) and isinstance(b, T.NumericType):
+            return "double"
+        if isinstance(a, TEXT) and isinstance(b, _TIMED):
+            return b.simpleString()
+    raise RuleError(
+        f"{what}: column type {left.simpleString()} cannot be matched against "
+        f"reference type {right.simpleString()}; cast one side first"
+    )
 
 
-def reference_keys(ref: DataFrame, ref_column: str, alias: str) -> DataFrame:
-    """Distinct non-NULL reference values, renamed to ``alias``."""
-    return ref.select(F.col(ref_column).alias(alias)).where(F.col(alias).isNotNull()).distinct()
+def _value(df: DataFrame, column: str, kind: str | None) -> Column:
+    c = F.col(column_ref(df, column))
+    return c if kind is None else c.try_cast(kind)
 
 
-def reference_counts(ref: DataFrame, ref_column: str) -> tuple[Column, Column]:
-    """(rows, NULL rows) of the reference as scalar-subquery columns."""
-    n = ref.select(F.count(F.lit(1))).scalar()
-    n_null = ref.select(F.count_if(F.col(ref_column).isNull())).scalar()
-    return n, n_null
+def reference_keys(ref: DataFrame, ref_column: str, alias: str, kind: str | None = None) -> DataFrame:
+    """Distinct reference values as ``alias``; a NULL in the reference is a
+    row of NULL, text of no such value is left out."""
+    c, value = F.col(column_ref(ref, ref_column)), _value(ref, ref_column, kind)
+    keys = ref.select(value.alias(alias), c.isNull().alias("__rs_null"))
+    return keys.where(F.col(alias).isNotNull() | F.col("__rs_null")).select(alias).distinct()
 
 
 def attach_reference_hit(
@@ -71,76 +78,78 @@ def attach_reference_hit(
     policy: JoinPolicy = DEFAULT,
     sizes: dict | None = None,
     source: DataFrame | None = None,
-) -> DataFrame:
-    """``work`` plus boolean ``flag``: TRUE when the value is in the reference.
+) -> tuple[DataFrame, Column, Column]:
+    """``work`` plus boolean ``flag``: TRUE when the value is in the
+    reference; and whether the reference has any row, and any NULL.
 
     ``source`` (default ``work``) is the input the values come from; it is
     scanned for hot values only when the reference is too large to
     broadcast."""
-    probe = f"{flag}_p"
-    sized = sized_side(reference_keys(ref, ref_column, probe), policy)
-    if policy.probe and sized.rows == 0:  # no non-NULL reference value: nothing to join
-        if sizes is not None:
-            sizes[flag] = Sized(sized.frame, False, 0, 0, sized.cached, "empty")
-        return work.withColumn(flag, F.lit(None).cast("boolean"))
-    keyed = work.withColumn(probe, F.col(column))
-    keys = sized.frame.withColumn(flag, F.lit(True))
+    probe, src = f"{flag}_p", work if source is None else source
+    kind = match_type(column_type(src, column), column_type(ref, ref_column), f"referential check {column} -> {ref_column}")
+    everything = reference_keys(ref, ref_column, probe, kind)
+    if not policy.probe:
+        present = ref.select(F.count(F.lit(1)) > 0).scalar()
+        has_null = everything.select(F.coalesce(F.bool_or(F.col(probe).isNull()), F.lit(False))).scalar()
+        sized = Sized(everything, False)
+    else:
+        sized = sized_side(everything, policy, sizes=sizes)
+        nulls = bool(sized.rows) and not sized.frame.where(F.col(probe).isNull()).isEmpty()
+        # text of no value is left out of the set, so an empty set may have had rows
+        present, has_null = F.lit(bool(sized.rows) or (kind is not None and not ref.isEmpty())), F.lit(nulls)
+        if sized.rows == int(nulls):  # no non-NULL reference value: nothing to join
+            if sizes is not None:
+                sizes[flag] = Sized(sized.frame, False, 0, 0, sized.cached, "empty")
+            return work.withColumn(flag, F.lit(None).cast("boolean")), present, has_null
+    keyed = work.withColumn(probe, _value(src, column, kind))
+    keys = sized.frame.where(F.col(probe).isNotNull()).withColumn(flag, F.lit(True))
     if not policy.probe or sized.broadcast:
         joined = keyed.join(sized.side(keys), on=[probe], how="left")
     else:
         # large reference: shuffle join; values holding many input rows are
         # resolved on the map side so no task receives a hot value's rows
         marker, hot_hit = f"{flag}_h", f"{flag}_hh"
-        src = source if source is not None else work
-        hot_values = (
-            src.select(F.col(column).alias(probe))
-            .where(F.col(probe).isNotNull())
-            .groupBy(probe)
-            .agg(F.count(F.lit(1)).alias("__rs_n"))
-            .where(F.col("__rs_n") > policy.heavy_key_rows)
-            .select(probe)
-        )
-        hot = sized_side(hot_values, policy)
+        values = src.select(_value(src, column, kind).alias(probe)).where(F.col(probe).isNotNull())
+        counted = values.groupBy(probe).agg(F.count(F.lit(1)).alias("__rs_n")).where(F.col("__rs_n") > policy.heavy_key_rows)
+        counted = sized_side(counted, policy, sizes=sizes)
+        hot = hot_keys(counted.frame, "__rs_n", policy, sizes)
         heavy = None
-        if hot.broadcast and hot.rows > 0:
-            hits = keys.join(F.broadcast(hot.frame), on=[probe], how="inner").select(
-                probe, F.lit(True).alias(hot_hit)
-            )
+        if hot is not None:
+            hot = replace(hot, frame=hot.frame.select(probe), cached=counted.cached)
+            hits = keys.join(F.broadcast(hot.frame), on=[probe], how="inner").select(probe, F.lit(True).alias(hot_hit))
             heavy = hot.frame.join(F.broadcast(hits), on=[probe], how="left").select(
                 probe, F.lit(True).alias(marker), F.col(hot_hit)
             )
-        joined = skew_split_join(keyed, [probe], keys, heavy, marker, f"{flag}_s")
+        elif counted.cached is not None:
+            counted.cached.unpersist()
+        joined = skew_split_join(keyed, [probe], keys, heavy, marker, f"{flag}_s", src.columns)
         if heavy is not None:
             joined = joined.withColumn(
                 flag, F.when(F.col(marker).isNotNull(), F.col(hot_hit)).otherwise(F.col(flag))
             ).drop(marker, hot_hit)
-        sized = Sized(sized.frame, False, sized.rows, sized.bytes, sized.cached, "shuffle+split" if heavy is not None else "shuffle")
+        sized = Sized(sized.frame, False, sized.rows, sized.bytes, sized.cached, "shuffle" if hot is None else "shuffle+split", hot)
     if sizes is not None:
         sizes[flag] = sized
-    return joined.drop(probe)
+    return joined.drop(probe), present, has_null
 
 
-def orphan_predicate(value: Column, hit: Column, n: Column, n_null: Column) -> Column:
-    """Violation predicate from the join flag and the reference counts."""
+def orphan_predicate(value: Column, hit: Column, present: Column, has_null: Column) -> Column:
+    """Violation predicate from the join flag and the reference's contents."""
     return (
-        F.when(n == 0, F.lit(True))
+        F.when(~present, F.lit(True))
         .when(value.isNull(), F.lit(False))
         .when(hit.isNotNull(), F.lit(False))
-        .when(n_null > 0, F.lit(False))
+        .when(has_null, F.lit(False))
         .otherwise(F.lit(True))
     )
 
 
 def orphans(
-    df: DataFrame, column: str, ref: DataFrame, ref_column: str, policy: JoinPolicy = DEFAULT
+    df: DataFrame, column: str, ref: DataFrame, ref_column: str, policy: JoinPolicy = DEFAULT, sizes: dict | None = None
 ) -> DataFrame:
-    """Rows of ``df`` failing the check (stand-alone form of G2)."""
-    check_key_types(
-        df.select(column).schema.fields[0].dataType,
-        ref.select(ref_column).schema.fields[0].dataType,
-        f"referential check {column} -> {ref_column}",
-    )
+    """Rows of ``df`` failing the check (stand-alone form of G2).  ``sizes``
+    receives the measured helper set, as in ``duplicates``."""
     flag = "__rs_hit"
-    n, n_null = reference_counts(ref, ref_column)
-    joined = attach_reference_hit(df, column, ref, ref_column, flag, policy)
-    return joined.where(orphan_predicate(F.col(column), F.col(flag), n, n_null)).drop(flag)
+    joined, present, has_null = attach_reference_hit(df, column, ref, ref_column, flag, policy, sizes)
+    value = F.col(column_ref(df, column))
+    return joined.where(orphan_predicate(value, F.col(flag), present, has_null)).drop(flag)

@@ -75,7 +75,11 @@ def report_data(result: ValidationResult, keys: Sequence[str], sample_rows: int
         ((name, v["failed_count"]) for name, v in stats["rule_violations"].items()),
         key=lambda kv: (-kv[1], kv[0]),
     )
-    sample = [row.asDict() for row in rejected_sample(result, keys, sample_rows).collect()] if keys else []
+    sample = []
+    if keys:
+        first = failed_rules_summary(result, keys).orderBy(*[qcol(k) for k in keys], F.array_join(qcol(result.verdict_col), ","))
+        for row in first.limit(sample_rows).collect():
+            sample.append({k: row[k] for k in keys} | {"failed_rules": list(row[result.verdict_col])})
     return {"stats": stats, "ranking": ranking, "worst": ranking[:5], "sample": sample, "keys": list(keys)}
 
 
@@ -129,7 +133,7 @@ def render_html(data: dict, title: str = "Data Quality Report") -> str:
         parts.append("<h2>Sample rejected records</h2><table><tr>")
         parts.append("".join(f"<th>{esc(k)}</th>" for k in keys) + "<th>Failed rules</th></tr>")
         for row in data["sample"]:
-            rules = "<br>".join(esc(r) for r in (row.get("failed_rules") or "").split(","))
+            rules = "<br>".join(esc(r) for r in row["failed_rules"])
             parts.append("<tr>" + "".join(f"<td>{esc(str(row[k]))}</td>" for k in keys) + f"<td>{rules}</td></tr>")
         parts.append("</table>")
     parts.append("</body></html>")

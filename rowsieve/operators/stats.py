@@ -73,9 +73,11 @@ def failed_rules_summary(result: ValidationResult, keys: Sequence[str]) -> DataF
 
 
 def exploded(result: ValidationResult, keys: Sequence[str]) -> DataFrame:
-    """One row per (key, violated rule) — the long form of A8."""
+    """One row per (key, violated rule) — the long form of A8.  Arrays of
+    rejected rows are never empty; ``explode`` would make Catalyst add a
+    ``size > 0`` filter that evaluates the whole verdict again."""
     return result.bad.select(
-        *[qcol(k) for k in keys], F.explode(F.col(result.verdict_col)).alias("rule")
+        *[qcol(k) for k in keys], F.explode_outer(F.col(result.verdict_col)).alias("rule")
     )
 
 

@@ -5,10 +5,13 @@ side collapses a hot key to one row per input partition before the shuffle),
 keep keys seen more than once, and left-join that set back.  A row whose key
 has a NULL part never matches (SQL equality), so it passes.
 
+Text and binary keys are replaced by their SHA-256 digest and length before
+anything is shuffled, at every size, so an exchange carries 32 bytes per key
+instead of the text.  Equal digests of equal length are taken as equal texts.
+
 The duplicate-key set grows with the data, so it is broadcast only after
 it is measured under a bound (``rowsieve.plans.joins``); beyond the bound
-the join stays a sort-merge join whose skewed partitions (a key holding a
-third of all rows, or the NULL keys) AQE splits into several tasks.
+the join is a shuffle join with hot and NULL keys split off.
 """
 
 from __future__ import annotations
@@ -16,46 +19,32 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.plans.joins import DEFAULT, JoinPolicy, Sized, sized_side, skew_split_join
+from rowsieve.functions.columns import column_ref, column_type
+from rowsieve.plans.joins import DEFAULT, JoinPolicy, Sized, hot_keys, sized_side, skew_split_join
 
+_LONG = (T.StringType, T.VarcharType, T.CharType, T.BinaryType)
 
-_WIDE = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
 
+def key_value(df: DataFrame, key: str) -> Column:
+    """What a key column is grouped and joined on."""
+    c = F.col(column_ref(df, key))
+    if isinstance(column_type(df, key), _LONG):
+        raw = c.cast("binary")
+        return F.concat(F.unhex(F.sha2(raw, 256)), F.unhex(F.hex(F.octet_length(raw))))
+    return c
 
-def duplicate_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    key_aliases: Sequence[str],
-    policy: JoinPolicy = DEFAULT,
-    sizes: dict | None = None,
-) -> DataFrame:
+
+def duplicate_keys(df: DataFrame, keys: Sequence[str], key_aliases: Sequence[str]) -> DataFrame:
     """Distinct keys (all parts non-NULL) that occur more than once, with
-    their row count ``__rs_n``; key columns renamed to ``key_aliases``.
-
-    Wide keys (text, binary, nested) are not shuffled whole when duplicates
-    are rare: an aggregate of their 8-byte ``xxhash64`` finds the hashes seen
-    more than once; when that set is measured small it is broadcast and only
-    rows with such a hash reach the exact aggregation on the full key.  A
-    hash collision only adds candidates, so the result stays exact.
-    """
-    key_cols = [F.col(k).alias(a) for k, a in zip(keys, key_aliases)]
+    their row count ``__rs_n``; key columns renamed to ``key_aliases``, long
+    ones as digests."""
+    base = df.select(*[key_value(df, k).alias(a) for k, a in zip(keys, key_aliases)])
     not_null = reduce(lambda a, b: a & b, [F.col(a).isNotNull() for a in key_aliases])
-    base = df.select(*key_cols).where(not_null)
-    if policy.probe and any(isinstance(f.dataType, _WIDE) for f in base.schema.fields):
-        hashed = base.withColumn("__rs_h", F.xxhash64(*key_aliases))
-        seen_twice = (
-            hashed.groupBy("__rs_h").agg(F.count(F.lit(1)).alias("__rs_n")).where(F.col("__rs_n") > 1).select("__rs_h")
-        )
-        candidates = sized_side(seen_twice, policy)
-        if sizes is not None:
-            sizes[f"{key_aliases[0]}_hash"] = candidates
-        if candidates.broadcast:
-            base = hashed.join(candidates.side(), on="__rs_h", how="left_semi").drop("__rs_h")
-    return base.groupBy(*key_aliases).agg(F.count(F.lit(1)).alias("__rs_n")).where(F.col("__rs_n") > 1)
+    return base.where(not_null).groupBy(*key_aliases).agg(F.count(F.lit(1)).alias("__rs_n")).where(F.col("__rs_n") > 1)
 
 
 def attach_duplicate_flag(
@@ -70,12 +59,12 @@ def attach_duplicate_flag(
     duplicated in ``source``.  ``work`` must have the same rows as
     ``source`` (it is ``source`` with helper columns added)."""
     aliases = [f"{flag}_k{i}" for i in range(len(keys))]
-    sized = sized_side(duplicate_keys(source, keys, aliases, policy, sizes), policy)
+    sized = sized_side(duplicate_keys(source, keys, aliases), policy, sizes=sizes)
     if policy.probe and sized.rows == 0:  # no duplicates: nothing to join
         if sizes is not None:
             sizes[flag] = Sized(sized.frame, False, 0, 0, sized.cached, "empty")
         return work.withColumn(flag, F.lit(None).cast("boolean"))
-    keyed = work.withColumns({a: F.col(k) for k, a in zip(keys, aliases)})
+    keyed = work.withColumns({a: key_value(source, k) for k, a in zip(keys, aliases)})
     dups = sized.frame
     if not policy.probe or sized.broadcast:
         side = sized.side(dups.select(*aliases, F.lit(True).alias(flag)))
@@ -83,30 +72,22 @@ def attach_duplicate_flag(
     else:
         # too many duplicate keys to broadcast: shuffle join, hot keys split off
         marker = f"{flag}_h"
-        heavy_set = dups.where(F.col("__rs_n") > policy.heavy_key_rows).select(
-            *aliases, F.lit(True).alias(marker)
-        )
-        heavy = sized_side(heavy_set, policy, materialize=False)
-        split = heavy.broadcast and heavy.rows > 0  # no hot key: nothing to split off
-        light = dups.where(F.col("__rs_n") <= policy.heavy_key_rows) if split else dups
+        hot = hot_keys(dups, "__rs_n", policy, sizes)
+        heavy = None if hot is None else hot.frame.select(*aliases, F.lit(True).alias(marker))
         joined = skew_split_join(
-            keyed,
-            aliases,
-            light.select(*aliases, F.lit(True).alias(flag)),
-            heavy.frame if split else None,
-            marker,
-            f"{flag}_s",
+            keyed, aliases, dups.select(*aliases, F.lit(True).alias(flag)), heavy, marker, f"{flag}_s", source.columns
         )
-        if split:
-            joined = joined.withColumn(flag, F.when(F.col(marker).isNotNull(), F.lit(True)).otherwise(F.col(flag)))
-            joined = joined.drop(marker)
-        sized = Sized(dups, False, sized.rows, sized.bytes, sized.cached, "shuffle+split" if split else "shuffle")
+        if heavy is not None:
+            joined = joined.withColumn(flag, F.coalesce(F.col(marker), F.col(flag))).drop(marker)
+        sized = Sized(dups, False, sized.rows, sized.bytes, sized.cached, "shuffle" if hot is None else "shuffle+split", hot)
     if sizes is not None:
         sizes[flag] = sized
     return joined.drop(*aliases)
 
 
-def duplicates(df: DataFrame, keys: Sequence[str], policy: JoinPolicy = DEFAULT) -> DataFrame:
-    """Rows of ``df`` whose key is duplicated (stand-alone form of G1)."""
+def duplicates(df: DataFrame, keys: Sequence[str], policy: JoinPolicy = DEFAULT, sizes: dict | None = None) -> DataFrame:
+    """Rows of ``df`` whose key is duplicated (stand-alone form of G1).
+    ``sizes`` receives the measured helper set; unpersist its ``cached`` frame,
+    if it has one, when the result is no longer needed."""
     flag = "__rs_dup"
-    return attach_duplicate_flag(df, df, keys, flag, policy).where(F.col(flag)).drop(flag)
+    return attach_duplicate_flag(df, df, keys, flag, policy, sizes).where(F.col(flag)).drop(flag)

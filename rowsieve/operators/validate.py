@@ -25,14 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.functions.predicates import field_type, violation
+from rowsieve.functions.columns import column_ref, column_type
+from rowsieve.functions.predicates import violation
 from rowsieve.operators.outliers import zscore_predicate
-from rowsieve.operators.referential import (
-    attach_reference_hit,
-    check_key_types,
-    orphan_predicate,
-    reference_counts,
-)
+from rowsieve.operators.referential import attach_reference_hit, match_type, orphan_predicate
 from rowsieve.operators.uniqueness import attach_duplicate_flag
 from rowsieve.plans.joins import DEFAULT, JoinPolicy
 from rowsieve.rules import Rule, RuleError, RuleSet, load_rules
@@ -52,20 +48,13 @@ def _resolve_reference(df: DataFrame, rule: Rule, refs: Mapping[str, DataFrame]
     return df.sparkSession.table(table)
 
 
-def _type_of(df: DataFrame, name: str) -> T.DataType:
-    dtype = field_type(df.schema, name)
-    if dtype is None:
-        dtype = df.select(F.col(name)).schema.fields[0].dataType
-    return dtype
-
-
 def _check_columns(df: DataFrame, rules: RuleSet) -> None:
     """Every column a rule names exists (cross_column SQL is left to Spark)."""
     for rule in rules:
         if rule.type == "cross_column":
             continue
         names = list(rule.get("columns") or []) or [rule.get("column")]
-        missing = [n for n in names if n is not None and field_type(df.schema, n) is None]
+        missing = [n for n in names if n is not None and column_type(df, n) is None]
         if missing:
             raise RuleError(f"Rule {rule.name!r}: column(s) {missing} not in the input {df.columns}")
 
@@ -87,7 +76,6 @@ def build_flags(
         raise RuleError(f"input columns may not start with {HELPER_PREFIX!r}: {clash}")
     _check_columns(df, rules)
     work = df
-    schema = df.schema
     dup_flag: dict[tuple[str, ...], str] = {}
     ref_flag: dict[tuple[Any, ...], tuple[str, Column, Column]] = {}
     resolved: dict[str, DataFrame] = {}  # each reference name read once
@@ -108,27 +96,22 @@ def build_flags(
                 resolved[table] = _resolve_reference(df, rule, refs)
             ref = resolved[table]
             ref_column = rule.require("reference_column")
-            if field_type(ref.schema, ref_column) is None:
+            if column_type(ref, ref_column) is None:
                 raise RuleError(f"Rule {rule.name!r}: reference column {ref_column!r} not in {table!r} {ref.columns}")
-            check_key_types(
-                _type_of(df, column),
-                _type_of(ref, ref_column),
-                f"Rule {rule.name!r}",
-            )
+            match_type(column_type(df, column), column_type(ref, ref_column), f"Rule {rule.name!r}")
             key = (column, table, ref_column)
             if key not in ref_flag:
                 flag = f"{HELPER_PREFIX}ref{len(ref_flag)}"
-                work = attach_reference_hit(work, column, ref, ref_column, flag, policy, sizes, source=df)
-                n, n_null = reference_counts(ref, ref_column)
-                ref_flag[key] = (flag, n, n_null)
-            flag, n, n_null = ref_flag[key]
-            predicates.append(orphan_predicate(F.col(column), F.col(flag), n, n_null))
+                work, present, has_null = attach_reference_hit(work, column, ref, ref_column, flag, policy, sizes, source=df)
+                ref_flag[key] = (flag, present, has_null)
+            flag, present, has_null = ref_flag[key]
+            predicates.append(orphan_predicate(F.col(column_ref(df, column)), F.col(flag), present, has_null))
         elif rule.type == "statistical":
             predicates.append(
                 zscore_predicate(df, rule.require("column"), rule.require("threshold"))
             )
         else:
-            predicates.append(violation(rule, schema))
+            predicates.append(violation(rule, df))
 
     flag_names = [f"{HELPER_PREFIX}f{i}" for i in range(len(predicates))]
     flags = work.select(
@@ -241,8 +224,9 @@ class ValidationResult:
     def unpersist(self) -> None:
         """Release helper sets persisted while measuring them."""
         for sized in self.helpers.values():
-            if sized.cached is not None:
-                sized.cached.unpersist()
+            for part in (sized, sized.hot):
+                if part is not None and part.cached is not None:
+                    part.cached.unpersist()
 
     # Convenience accessors live in rowsieve.operators.stats / report; bound
     # here so a result reads like the reference's engine object.

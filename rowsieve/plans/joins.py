@@ -17,15 +17,21 @@ it is broadcast only after it is measured:
 Skew: one key may hold a third of all rows, and NULL keys all hash to one
 partition.  AQE's skew-join split does not apply here (it needs both join
 inputs to be plain shuffle stages; the helper side is an aggregate), so the
-split is explicit.  Keys with more than ``heavy_key_rows`` rows — at most
-N / heavy_key_rows of them, and measured under the same broadcast bound —
-are answered by a broadcast join on the map side.  Rows whose key is heavy
-or NULL then get a unique salt so they scatter over all shuffle partitions
-and match nothing in the shuffle join, which only carries light keys (at
-most ``heavy_key_rows`` rows each).
+split is explicit.  Keys with many rows are answered by a broadcast join on
+the map side: all keys over ``heavy_key_rows`` rows, or, if these are too
+many to broadcast, those over the smallest doubling of it whose keys fit, so
+the hottest keys are always split off.  Rows whose key is hot or NULL then
+get a salt from their own content, so they scatter over the shuffle
+partitions and match nothing in the shuffle join, which only carries light
+keys.  The salt is the same whenever a task runs again, whatever order its
+rows come in.
+
+All helper sets of one validation share one broadcast budget
+(``broadcast_max_bytes``).
 
 ``LAZY`` skips all probes and builds one lazy plan (no job at build time);
-joins are then left entirely to Spark/AQE, without the explicit skew split.
+joins are then left entirely to Spark, without the explicit skew split: a
+hot key's rows meet in one task.
 """
 
 from __future__ import annotations
@@ -88,6 +94,7 @@ class Sized:
     bytes: int | None = None
     cached: DataFrame | None = None  # persisted helper set, to unpersist later
     path: str = "lazy"  # lazy | broadcast | shuffle | shuffle+split
+    hot: Sized | None = None  # measured hot keys of a shuffle join
 
     def side(self, df: DataFrame | None = None) -> DataFrame:
         df = self.frame if df is None else df
@@ -125,29 +132,64 @@ def broadcast_disabled(side: DataFrame) -> bool:
     return value is not None and value.strip().startswith("-")
 
 
-def sized_side(side: DataFrame, policy: JoinPolicy = DEFAULT, materialize: bool = True) -> Sized:
+def budget_left(policy: JoinPolicy, sizes: dict | None) -> int:
+    """Bytes that the helper sets measured so far leave to broadcast."""
+    spent = 0
+    for sized in (sizes or {}).values():
+        spent += sized.bytes if sized.broadcast and sized.bytes else 0
+        spent += sized.hot.bytes if sized.hot is not None and sized.hot.bytes else 0
+    return max(0, policy.broadcast_max_bytes - spent)
+
+
+def sized_side(side: DataFrame, policy: JoinPolicy = DEFAULT, materialize: bool = True, sizes: dict | None = None) -> Sized:
     """Measure a helper set under the bounds; materialize it first (and
-    measure while writing) unless ``materialize`` is off, in which case a
-    bounded read (``limit(max_rows + 1)``) measures it."""
+    measure while writing) unless ``materialize`` is off, in which case an
+    aggregate measures it.  ``sizes`` holds the sets measured before."""
     if not policy.probe:
         return Sized(side, False)
     cached = None
     if materialize and policy.materialize:
         side, cached, metrics = _materialize(side, policy)
     else:
-        metrics = side.limit(policy.broadcast_max_rows + 1).agg(*_size_columns(side)).first()
+        metrics = side.agg(*_size_columns(side)).first()
     n, nbytes = int(metrics["n"]), int(metrics["b"] or 0)
-    small = n <= policy.broadcast_max_rows and nbytes <= policy.broadcast_max_bytes
+    small = n <= policy.broadcast_max_rows and nbytes <= budget_left(policy, sizes)
     small = small and not broadcast_disabled(side)
     return Sized(side, small, n, nbytes, cached, "broadcast" if small else "shuffle")
 
 
-def salt_expr(spread: Column, keys: list[str]) -> Column:
-    """0 for rows that must meet the light join; a unique positive value for
-    rows to scatter (``spread`` or any NULL key part).  The value of a
-    scattered row never matters for the result, only where it lands."""
+def hot_keys(counted: DataFrame, count: str, policy: JoinPolicy, sizes: dict | None = None) -> Sized | None:
+    """The keys of ``counted`` to split off a shuffle join, or None if there
+    are none: those with more than ``heavy_key_rows`` rows, or more than the
+    smallest doubling of it whose keys fit the broadcast bounds."""
+    over = counted.where(F.col(count) > policy.heavy_key_rows)
+    step = F.floor(F.log2((F.col(count) - 1) / F.lit(max(policy.heavy_key_rows, 1)))).cast("int")
+    measured = over.groupBy(step.alias("step")).agg(*_size_columns(over)).collect()  # a row per doubling
+    rows, nbytes, least = 0, 0, None
+    for r in sorted(measured, key=lambda r: -r["step"]):
+        if rows + r["n"] > policy.broadcast_max_rows or nbytes + r["b"] > budget_left(policy, sizes):
+            break
+        rows, nbytes, least = rows + r["n"], nbytes + r["b"], r["step"]
+    if least is None:
+        return None
+    return Sized(over.where(step >= least), True, rows, nbytes, path="hot")
+
+
+def content_hash(df: DataFrame, columns: list[str]) -> Column:
+    """A hash of a row's values; maps, which have no hash, as JSON."""
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    plain = [F.to_json(F.struct(f"`{c}`")) if "map<" in fields[c].simpleString() else F.col(f"`{c}`") for c in columns]
+    return F.xxhash64(*plain)
+
+
+def salt_expr(spread: Column, keys: list[str], content: Column) -> Column:
+    """0 for rows that must meet the light join; a positive number made of
+    the row's ``content`` for rows to scatter (``spread`` or any NULL key
+    part).  A scattered row's salt never matters for the result, only where
+    the row lands, and it lands there again when its task is run again."""
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    return F.when(spread | any_null, F.monotonically_increasing_id() + F.lit(1)).otherwise(F.lit(0).cast("bigint"))
+    positive = F.pmod(content, F.lit(2**62)) + F.lit(1)
+    return F.when(spread | any_null, positive).otherwise(F.lit(0).cast("bigint"))
 
 
 def skew_split_join(
@@ -157,22 +199,23 @@ def skew_split_join(
     heavy: DataFrame | None,
     heavy_marker: str,
     salt: str,
+    content: list[str],
 ) -> DataFrame:
     """Left-join ``light`` on ``keys`` without a hot partition.
 
     ``heavy`` (same key names, a non-NULL ``heavy_marker`` column, bounded)
     is broadcast-joined first; rows it marks, and rows with a NULL key part,
-    get a unique non-zero salt, spreading them evenly over the shuffle
-    partitions, while ``light`` rows carry salt 0 — so those rows pass
-    through the shuffle join unmatched and no key sends more than
-    ``heavy_key_rows`` rows to one task.
+    get a non-zero salt from their ``content`` columns, spreading them over
+    the shuffle partitions, while ``light`` rows carry salt 0 — so those rows
+    pass through the shuffle join unmatched and no split-off key gathers in
+    one task.
     """
     if heavy is not None:
         work = work.join(F.broadcast(heavy), on=keys, how="left")
         spread = F.col(heavy_marker).isNotNull()
     else:
         spread = F.lit(False)
-    work = work.withColumn(salt, salt_expr(spread, keys))
+    work = work.withColumn(salt, salt_expr(spread, keys, content_hash(work, content)))
     # The light side's salt is 0, but must not be a literal: Catalyst would
     # propagate the constant, turn the salt equality into a plain filter and
     # hash the shuffle on the key alone (every hot row back on one task).

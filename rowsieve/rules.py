@@ -126,27 +126,18 @@ def parse_time_bound(text: str, rule_name: str = "") -> str:
     return f"{h:02d}:{mi:02d}:{s:02d}"
 
 
+_DURATION = re.compile(r"\s*(?P<amount>(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d{1,3})?)\s+(?P<unit>[A-Za-z]+)\s*")
+
+
 def parse_duration(text: str) -> float:
-    """``"<number> <UNIT>"`` → seconds.  Units: SECONDS, MINUTES, HOURS, DAYS
-    (case-insensitive).  The number must be finite and not negative."""
-    if not isinstance(text, str):
-        raise RuleError(f"duration must be a string, got {text!r}")
-    parts = text.split()
-    if len(parts) != 2:
-        raise RuleError(
-            f"duration {text!r} should be an amount and a unit separated by a space, like '30 DAYS'"
-        )
-    number_text, unit = parts
-    try:
-        number = float(number_text)
-    except ValueError as exc:
-        raise RuleError(f"duration amount {number_text!r} is not a number") from exc
-    if not math.isfinite(number) or number < 0:
-        raise RuleError(f"Duration must be finite and >= 0: {text!r}")
-    unit = unit.upper()
-    if unit not in DURATION_UNITS:
-        raise RuleError(f"duration unit {unit!r} is not one of {', '.join(DURATION_UNITS)}")
-    return number * DURATION_UNITS[unit]
+    """Seconds of a duration such as ``"72 HOURS"``: a plain non-negative
+    amount, white space, and one of the units in any case."""
+    match = _DURATION.fullmatch(text) if isinstance(text, str) else None
+    scale = DURATION_UNITS.get(match["unit"].upper()) if match else None
+    seconds = float(match["amount"]) * scale if scale else math.inf
+    if math.isinf(seconds):
+        raise RuleError(f"{text!r} is no duration; write an amount and one of {', '.join(DURATION_UNITS)}, like '30 DAYS'")
+    return seconds
 
 
 @dataclass(frozen=True)
@@ -353,6 +344,18 @@ class RuleSet:
         return all(r.is_row_local for r in self.rules)
 
 
+def read_text(path: str) -> str:
+    """A small text file: local, or by Spark from any store it reads when the
+    path names a scheme (``hdfs://``, ``s3a://``, ...)."""
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]+://", path):
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+        return spark.read.text(path, wholetext=True).first()["value"]
+    with open(path, encoding="utf-8") as fh:
+        return fh.read()
+
+
 def _read_source(source: Any) -> list[Any]:
     if isinstance(source, RuleSet):
         return list(source.rules)
@@ -360,8 +363,7 @@ def _read_source(source: Any) -> list[Any]:
         text = os.fspath(source)
         if text.lstrip().startswith("["):
             return json.loads(text)
-        with open(text, encoding="utf-8") as fh:
-            return json.load(fh)
+        return json.loads(read_text(text))
     if isinstance(source, Mapping):
         return [source]
     if isinstance(source, Iterable):

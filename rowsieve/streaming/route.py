@@ -4,9 +4,10 @@
   DataFrame gets its ``failed_rules`` column with no state at all.
 * ``route_stream`` — every micro-batch is validated with the full rule set
   (duplicates, references and z-scores are judged within the batch) and its
-  good and rejected rows are written to ``<path>/batch_id=<n>``.  A replayed
-  batch overwrites its own folder, so with the query checkpoint the sinks
-  are exactly-once per batch.
+  rows are written in one pass, good and rejected ones to
+  ``<path>/batch_id=<n>/dq_status=passed|rejected``.  A replayed batch
+  overwrites its own folder, so with the query checkpoint the sink is
+  exactly-once per batch.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from rowsieve.operators.validate import flag_rows, validate
-from rowsieve.plans.joins import LAZY, JoinPolicy
+from rowsieve.plans.joins import DEFAULT, JoinPolicy
 from rowsieve.rules import RuleSet, load_rules
 
 
@@ -31,21 +32,19 @@ def route_stream(
     stream: DataFrame,
     rules: Any,
     *,
-    good_path: str,
-    bad_path: str,
+    path: str,
     checkpoint_location: str,
     refs: Mapping[str, DataFrame] | None = None,
-    policy: JoinPolicy = LAZY,
+    policy: JoinPolicy = DEFAULT,
     trigger: Mapping[str, Any] | None = None,
 ) -> StreamingQuery:
-    """Start a query that validates each micro-batch and writes good / bad
-    rows as Parquet under ``batch_id=<n>`` folders."""
+    """Start a query that validates each micro-batch and writes its rows, with
+    ``failed_rules``, as Parquet: one partitioned write per batch."""
     rule_set: RuleSet = rules if isinstance(rules, RuleSet) else load_rules(rules)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         result = validate(batch, rule_set, refs=refs, policy=policy)
-        result.bad.write.mode("overwrite").parquet(f"{bad_path.rstrip('/')}/batch_id={batch_id}")
-        result.good.write.mode("overwrite").parquet(f"{good_path.rstrip('/')}/batch_id={batch_id}")
+        result.write_split(f"{path.rstrip('/')}/batch_id={batch_id}", mode="overwrite")
         result.unpersist()
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)

@@ -117,7 +117,6 @@ def test_byte_bound_applies(spark):
     rule = [{"name": "u", "type": "unique_check", "column": "text", "priority": 1}]
     r = validate(docs, rule, policy=JoinPolicy(broadcast_max_bytes=10))
     plan = r.join_plan()
-    assert plan["__rs_dup0_k0_hash"]["bytes"] > 10 and not plan["__rs_dup0_k0_hash"]["broadcast"]
     assert plan["__rs_dup0"]["bytes"] > 10 and not plan["__rs_dup0"]["broadcast"]
     assert r.bad.count() == validate(docs, rule).bad.count()
 
@@ -227,13 +226,14 @@ def test_referential_join_splits_hot_value(spark):
 
 
 def test_salt_spreads_hot_and_null_keys(spark):
-    from rowsieve.plans.joins import salt_expr
+    from rowsieve.plans.joins import content_hash, salt_expr
 
     ev = hot_events(spark).withColumn(
         "k", F.when(F.col("event_id") % 5 == 1, F.lit(None)).otherwise(F.col("hot_user"))
     )
     parts = 16
-    salted = ev.withColumn("s", salt_expr(F.col("hot_user") == -1, ["k"]))
+    content = content_hash(ev, ev.columns)
+    salted = ev.withColumn("s", salt_expr(F.col("hot_user") == -1, ["k"], content))
     # where the shuffle join would send each row: hash of (key, salt)
     sizes = [r["n"] for r in salted.repartition(parts, "k", "s").groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
     unsalted = [r["n"] for r in ev.repartition(parts, "k").groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
@@ -255,3 +255,64 @@ def test_session_without_broadcast_joins_is_honoured(spark):
         assert sorted(map(tuple, r.flagged.collect())) == sorted(map(tuple, expected.flagged.collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_salt_does_not_depend_on_row_order(spark):
+    from rowsieve.plans.joins import content_hash, salt_expr
+
+    ev = hot_events(spark)
+
+    def reducers(df):
+        salted = df.withColumn("s", salt_expr(F.col("hot_user") == -1, ["hot_user"], content_hash(ev, ev.columns)))
+        placed = salted.repartition(16, "hot_user", "s").select("event_id", F.spark_partition_id().alias("p"))
+        return {r.event_id: r.p for r in placed.collect()}
+
+    plain = reducers(ev)
+    assert plain == reducers(ev.repartition(5, "value").sortWithinPartitions(F.desc("event_id")))
+    assert len(set(plain.values())) == 16
+
+
+def test_hottest_keys_are_split_off_even_if_hot_keys_are_many(spark):
+    # 51 keys over heavy_key_rows, bound 10: the one that holds a third is still split off
+    ev = table(spark, SF01, "events").withColumn(
+        "k", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("event_id") % 50)
+    )
+    rule = [{"name": "u", "type": "unique_check", "column": "k", "priority": 1}]
+    split = validate(ev, rule, policy=JoinPolicy(broadcast_max_rows=10, heavy_key_rows=20))
+    (info,) = split.join_plan().values()
+    assert info["path"] == "shuffle+split" and info["rows"] == 51
+    (helper,) = split.helpers.values()
+    assert helper.hot.rows <= 10
+    assert sorted(map(tuple, split.flagged.collect())) == sorted(map(tuple, validate(ev, rule).flagged.collect()))
+
+
+def test_long_keys_are_shuffled_as_digests(spark):
+    from rowsieve.operators.uniqueness import duplicate_keys
+
+    plan = pi.physical(duplicate_keys(table(spark, SF01, "documents"), ["text"], ["k"]))
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and "text" not in " ".join(exchanges)
+    assert "sha2" in plan
+
+
+def test_exploded_does_not_filter_on_the_verdict_again(spark):
+    plan = pi.physical(validate(table(spark, SF001, "lineitem"), n_rules(4)).exploded(["l_orderkey"]))
+    assert "size(" not in plan.lower()
+
+
+def test_reference_is_scanned_once_while_building(spark):
+    ev, ref = table(spark, SF001, "events"), table(spark, SF001, "customer")
+    rule = [{"name": "fk", "type": "referential_integrity", "column": "user_id", "reference_table": "c", "reference_column": "c_custkey", "priority": 1}]
+    plan = pi.physical(validate(ev, rule, refs={"c": ref}).flagged)
+    assert "customer.parquet" not in plan  # known from the written key set
+
+
+def test_helper_sets_share_one_broadcast_budget(spark):
+    docs = table(spark, SF001, "documents")
+    rules = [{"name": f"u{c}", "type": "unique_check", "column": c, "priority": 1} for c in ("lang", "source")]
+    whole = validate(docs, rules)
+    assert [v["path"] for v in whole.join_plan().values()] == ["broadcast", "broadcast"]
+    first = whole.join_plan()["__rs_dup0"]["bytes"]
+    tight = validate(docs, rules, policy=JoinPolicy(broadcast_max_bytes=first))
+    assert tight.join_plan()["__rs_dup0"]["path"] == "broadcast" and not tight.join_plan()["__rs_dup1"]["broadcast"]
+    assert sorted(map(str, tight.flagged.collect())) == sorted(map(str, whole.flagged.collect()))

@@ -45,13 +45,12 @@ def test_route_stream_per_batch(spark):
     q = route_stream(
         stream,
         rules,
-        good_path=os.path.join(base, "good"),
-        bad_path=os.path.join(base, "bad"),
+        path=os.path.join(base, "out"),
         checkpoint_location=os.path.join(base, "ckpt"),
     )
     q.awaitTermination(180)
-    good = spark.read.parquet(os.path.join(base, "good"))
-    bad = spark.read.parquet(os.path.join(base, "bad"))
+    out = spark.read.parquet(os.path.join(base, "out"))
+    good, bad = out.where("dq_status = 'passed'"), out.where("dq_status = 'rejected'")
     assert good.select("batch_id").union(bad.select("batch_id")).distinct().count() == 4
     assert good.count() + bad.count() == table(spark, SF01, "events").count()
     # row-local verdicts agree with the batch run
