@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsieve.llm.components import components
+from rowsieve.llm.grouped import among, by_group, without
 from rowsieve.llm.tables import save, shared_folder
 from rowsieve.llm.text import GOLDEN, blocks, column, mix, shingle_sets, stream
 
@@ -99,28 +100,36 @@ def _collide(x: np.ndarray) -> np.ndarray:
     return -np.log1p(-np.clip(x, 1e-12, 1.0) * (BASE - 1) / BASE) / np.log(BASE)
 
 
-def joint_estimate(n_u, n_v, larger, smaller) -> np.ndarray:
-    """Maximum-likelihood Jaccard similarity from the set sizes and the
-    counts of registers in which U's value is larger or smaller than V's."""
-    n_u, n_v, larger, smaller = (np.asarray(x, float) for x in (n_u, n_v, larger, smaller))
+def _slope(j, n_u, n_v, larger, smaller) -> np.ndarray:
+    """Slope at similarity ``j`` of the log-likelihood of the counts of
+    registers in which U's value is larger, smaller or equal."""
     u, v = n_u / (n_u + n_v), n_v / (n_u + n_v)
     equal = M - larger - smaller
-    lo, hi = np.zeros_like(u), np.minimum(u / v, v / u)
 
-    def slope(j):
-        eps = 1e-6
-        def like(t):
-            p, q = _collide(u - v * t), _collide(v - u * t)
-            return larger * np.log(p) + smaller * np.log(q) + equal * np.log(np.clip(1 - p - q, 1e-12, 1))
-        return like(j + eps) - like(j - eps)
+    def like(t):
+        p, q = _collide(u - v * t), _collide(v - u * t)
+        return larger * np.log(p) + smaller * np.log(q) + equal * np.log(np.clip(1 - p - q, 1e-12, 1))
+
+    return like(j + 1e-6) - like(j - 1e-6)
 
+
+def joint_estimate(n_u, n_v, larger, smaller) -> np.ndarray:
+    """Maximum-likelihood Jaccard similarity of sets of known sizes."""
+    n_u, n_v, larger, smaller = (np.asarray(x, float) for x in (n_u, n_v, larger, smaller))
+    lo, hi = np.zeros_like(n_u), np.minimum(n_u / n_v, n_v / n_u)
     for _ in range(24):
         mid = (lo + hi) / 2
-        up = slope(mid) > 0
+        up = _slope(mid, n_u, n_v, larger, smaller) > 0
         lo, hi = np.where(up, mid, lo), np.where(up, hi, mid)
     return (lo + hi) / 2
 
 
+def estimate_reaches(floor: float, n_u, n_v, larger, smaller) -> np.ndarray:
+    """Whether the joint estimate is ``floor`` or more: the likelihood has one
+    peak, so its slope there tells."""
+    return _slope(floor, n_u, n_v, larger, smaller) >= 0
+
+
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import hashlib
 
@@ -168,19 +177,21 @@ def _possible(n, sketches, part, labels, cross, first, g):
     left = np.flatnonzero(part == 0)
     right = np.flatnonzero(part == 1) if cross else left
     bands = band_hashes(sketches) if first else None
+    found = []
     for i in left:
         js = right if cross else right[right > i]
         js = js[(labels[js] != labels[i]) & (den * np.minimum(n[js], n[i]) >= num * np.maximum(n[js], n[i]))]
         if bands is not None and len(js):
             same = bands[i] == bands[js]
             js = js[same.any(axis=1) & (bands[i][same.argmax(axis=1)] == g)]
-        if not len(js):
-            continue
-        larger = (sketches[i] > sketches[js]).sum(axis=1)
-        smaller = (sketches[i] < sketches[js]).sum(axis=1)
-        js = js[joint_estimate(np.full(len(js), n[i]), n[js], larger, smaller) >= ESTIMATE_FLOOR]
-        for j in js:
-            yield int(i), int(j)
+        if len(js):
+            larger, smaller = (sketches[i] > sketches[js]).sum(axis=1), (sketches[i] < sketches[js]).sum(axis=1)
+            found.append((np.full(len(js), i), js, larger, smaller))
+    if not found:
+        return []
+    i, j, larger, smaller = map(np.concatenate, zip(*found))
+    close = estimate_reaches(ESTIMATE_FLOOR, n[i].astype(float), n[j].astype(float), larger, smaller)
+    return list(zip(i[close].tolist(), j[close].tolist()))
 
 
 _GROUP = "g long, x int, y int, cross boolean, first boolean, part int, id long, label long, n long, digest binary, sketch binary"
@@ -196,9 +207,7 @@ def _block_columns(table: pa.Table):
 
 def _shortlist(table: pa.Table) -> pa.Table:
     """The rows of a block that have a pair worth confirming."""
-    found: set[int] = set()
-    for i, j in _possible(*_block_columns(table)):
-        found.update((i, j))
+    found = {k for pair in _possible(*_block_columns(table)) for k in pair} if len(table) > 1 else ()
     return table.take(pa.array(sorted(found), pa.int64()))
 
 
@@ -237,10 +246,10 @@ def _confirm(table: pa.Table) -> pa.Table:
 
 def _links(groups: DataFrame, sets: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
     """``groups(g, x, y, cross, first, part, id, label)``: confirmed links (a, b)."""
-    rows = groups.join(sets, "id").select(_NAMES)
-    short = save(rows.groupBy(_KEYS).applyInArrow(_shortlist, _GROUP), folder)
-    texts = docs.join(short.select("id").distinct(), "id", "left_semi")
-    return save(short.join(texts, "id").groupBy(_KEYS).applyInArrow(_confirm, "a long, b long"), folder)
+    groups = save(groups, folder)
+    rows = groups.join(among(sets, groups), "id").select(_NAMES)
+    short = save(by_group(rows, _KEYS, _shortlist, _GROUP), folder)
+    return save(by_group(short.join(among(docs, short), "id"), _KEYS, _confirm, "a long, b long"), folder)
 
 
 def _n_blocks(rows, shingles):
@@ -327,7 +336,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     members = save(sets.select("id", "sketch").mapInArrow(_band_batches, "h long, id long"), folder)
     buckets = members.groupBy("h").agg(F.min("id").alias("pivot"), F.max("id").alias("top")).where("pivot < top")
     buckets = save(buckets.drop("top"), folder)
-    members = save(members.join(buckets, "h").select("h", "id"), folder)
+    members = save(among(members, buckets, "h"), folder)
 
     links = _links(_star_groups(members, buckets, sets, folder), sets, docs, folder)
     versions = filled.join(repeated.where("several"), "id").select("id", "digest")
@@ -347,8 +356,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` less all but one of each class: the row whose id
-    names the class.  Rows that repeat a kept id and text stay once; rows
-    without an id stay."""
-    kept = near_duplicates(df, id_col, text_col).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__nd_id")).distinct()
-    named = df.where(F.col(id_col).isNotNull()).join(kept, F.col(id_col) == F.col("__nd_id"), "left_semi")
-    return named.dropDuplicates([id_col]).unionByName(df.where(F.col(id_col).isNull()))
+    names the class.  Rows that repeat a kept id stay once; rows without an
+    id stay."""
+    folder = shared_folder(df.sparkSession)
+    found = save(near_duplicates(df, id_col, text_col).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("__id"), "kept"), folder)
+    out = df.withColumn("__id", F.col(id_col).cast("long"))
+    out = without(out, save(found.where("NOT kept"), folder), "__id")
+    repeated = save(found.where("kept").groupBy("__id").agg(F.count("*").alias("k")).where("k > 1"), folder)
+    if not repeated.isEmpty():
+        out = without(out, repeated, "__id").union(among(out, repeated, "__id").dropDuplicates(["__id"]))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])
