@@ -1,0 +1,127 @@
+"""Chat formatting and WARC bundles: exact round trips."""
+
+import base64
+import hashlib
+import io
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm.conftest import SF
+
+from rowsieve.llm import chat, warc
+from rowsieve.llm.catalog import op3_offset_aligned_chat, op8_seekable_warc, tokenizer_path
+
+PIECES = st.lists(st.sampled_from(["<", "|", "\\", "<|", "|>", "<|turn|>", "<|text|>", "<|end|>", "<|endoftext|>", "</s>", "[INST]", "[/INST]", "<<SYS>>", " ", "é", "😀", "a", "...", "\n"]), max_size=12).map("".join)
+
+
+@given(PIECES)
+def test_escape_is_reversible(text):
+    escaped = chat.escape(text)
+    assert chat.unescape(escaped) == text
+    assert not any(m in escaped for m in ("<|", "</s>", "[INST]", "[/INST]", "<<SYS>>"))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "system", "<|x", ""]), PIECES), min_size=1, max_size=6))
+def test_turns_and_loss_are_read_back(turns):
+    encoder = test_turns_and_loss_are_read_back.__dict__.setdefault("encoder", chat.Encoder(tokenizer_path("byte_bpe_50k.json")))
+    formatted, spans = chat.render(turns)
+    assert chat.read_turns(formatted) == turns
+    ids, offsets = encoder.encode(formatted)
+    assert len(ids) == len(offsets)
+    learned = np.array([s for s, (r, _) in zip(spans, turns) if r == "assistant" and s[1] > s[0]], np.int64).reshape(-1, 2)
+    texts = chat.masked_texts(formatted, chat.mask(offsets, learned))
+    assert texts == [t for r, t in turns if r == "assistant" and t]
+
+
+def digest_of(rows):
+    turns = "".join(f"{r}\n{t}\n" for r, t in rows)
+    loss = "".join(t for r, t in rows if r == "assistant")
+    return hashlib.sha256(turns.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()
+
+
+def check_chats(found, rows):
+    """``rows``: (conv_id, turn, role, text)."""
+    by = {}
+    for c, _, r, t in sorted(rows, key=lambda x: (str(x[0]), x[1] is not None, x[1] or 0, x[2] or "", x[3] or "")):
+        by.setdefault(c, []).append((r or "", t or ""))
+    assert {r.conv_id for r in found} == by.keys() and len(found) == len(by)
+    for r in found:
+        assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == (len(by[r.conv_id]), *digest_of(by[r.conv_id]))
+
+
+def test_whole_table_of_conversations(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    rows += [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+    check_chats(op3_offset_aligned_chat(spark, SF).collect(), rows)
+
+
+def test_chat_defined_cases_and_parts(spark, monkeypatch):
+    monkeypatch.setattr(chat, "PART_CHARS", 50)  # conversations in several parts
+    rows = [(1, i, "assistant" if i % 2 else "user", "x" * i + "<") for i in range(60)] + [(1, 60, "assistant", "\\|end|>")]
+    rows += [(2, None, None, None), (2, 0, "assistant", None), (None, 0, "assistant", "a"), (3, 1, "assistant", "b"), (3, 1, "assistant", "b")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS part", "'x' AS mask")
+    formatted = chat.format_chats(df, tokenizer_path("byte_bpe_50k.json"))
+    assert formatted.where("conv_id = 1").count() > 20
+    check_chats(chat.digests(formatted).collect(), rows)
+    assert chat.digests(chat.format_chats(df.limit(0), tokenizer_path("byte_bpe_50k.json"))).count() == 0
+
+
+# ---- WARC
+def check_pages(found, rows, at_least=0):
+    """``rows``: (page_id, url, html)."""
+    raw = [(i, (h or "").encode()) for i, _, h in rows]
+    top = {}
+    for i, b in raw:
+        if i is not None and len(b) >= at_least:
+            top[b] = max(top.get(b, i), i)
+    want = []
+    for i, b in raw:
+        revisit = i is not None and len(b) >= at_least and top[b] != i
+        want.append((i, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "revisit" if revisit else "response", top[b] if revisit else None))
+    assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
+
+
+def test_whole_table_of_pages(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    check_pages(op8_seekable_warc(spark, SF).collect(), rows)
+
+
+@pytest.mark.parametrize("at_least", [0, 3])
+def test_revisits_and_defined_cases(spark, monkeypatch, at_least):
+    monkeypatch.setattr(warc, "HOT", 5)
+    monkeypatch.setattr(warc, "BUNDLE_BYTES", 2000)
+    rows = [(i, "http://a", "same é") for i in range(30)] + [(100 + i, None, None) for i in range(3)] + [(200, "u\r\nX: y", ""), (None, "n", "same é"), (29, "http://b", "same é")]
+    rows += [(300, "w", "WARC/1.1\r\n\r\n\r\n"), (301, "long", "x" * 100_000), (302, "w", "ab"), (303, "w", "ab")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS id", "2 AS payload", "'x' AS digest")
+    check_pages(warc.round_trip(df, at_least).collect(), rows, at_least)
+    assert warc.round_trip(df.limit(0)).count() == 0
+
+
+def test_a_record_is_read_without_the_rest(spark):
+    writer = warc.BundleWriter(frame_bytes=1000)
+    for i in range(50):
+        writer.add(i, warc.record(i, f"http://h/{i}", f"payload {i} ".encode() * 20, None))
+    bundle = writer.finish()
+
+    class Counting(io.BytesIO):
+        done = 0
+
+        def read(self, n=-1):
+            out = super().read(n)
+            Counting.done += len(out)
+            return out
+
+    reader = warc.BundleReader(Counting(bundle))
+    place = writer.index[37]
+    found = reader.record(place["frame"], place["offset"], place["length"])
+    assert found["body"] == b"payload 37 " * 20 and found["WARC-Target-URI"] == "http://h/37"
+    assert len(reader.frames) > 10 and Counting.done < len(bundle) / 3
+    import zstandard
+
+    plain = b"".join(zstandard.ZstdDecompressor().stream_reader(io.BytesIO(bundle), read_across_frames=True).read(-1) for _ in range(1))
+    assert plain.count(b"WARC/1.1\r\n") == 50  # any zstandard reader skips the seek table
+    with pytest.raises(ValueError):
+        warc.BundleReader(bundle[:-1])

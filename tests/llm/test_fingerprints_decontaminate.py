@@ -1,0 +1,177 @@
+"""Fingerprints and benchmark decontamination against brute force."""
+
+import hashlib
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from conftest import SF01
+from llm.conftest import SF, clashing, documents
+
+from rowsieve.llm import decontaminate, fingerprints
+from rowsieve.llm.decontaminate import Items, clean, contamination, templates
+from rowsieve.llm.fingerprints import compare_neighbours, likeness
+
+
+def neighbours(rows):
+    """(id, text, edited text, next text) in the operator's order, ids distinct."""
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    out = []
+    for k, (i, t) in enumerate(order):
+        t, n = t or "", order[(k + 1) % len(order)][1] or ""
+        out.append((i, t, t[: len(t) - len(t) // 3] + n[: len(t) // 3], n))
+    return out
+
+
+def check_fingerprints(found, rows):
+    found = {r.doc_id: r for r in found}
+    for i, t, edited, after in neighbours(rows):
+        r = found[i]
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        if edited == t:
+            assert r.near_edited == 1 and r.edited_fingerprint == r.fingerprint
+        if after == t:
+            assert r.near_next == 1
+    return found
+
+
+@pytest.mark.parametrize("parts", ["1", "8", "23"])
+def test_whole_table_of_neighbours(spark, parts):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        found = check_fingerprints(compare_neighbours(df.repartition(7)).collect(), rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(found) == len(rows)
+    by_text = {}
+    for i, t in rows:
+        by_text.setdefault(t, set()).add(found[i].fingerprint)
+    assert all(len(s) == 1 for s in by_text.values())
+
+
+def test_edited_texts_are_nearer_than_others(spark):
+    rows = compare_neighbours(spark.read.parquet(f"{SF01}/documents.parquet").where("n_chars > 300")).toPandas()
+    assert rows.near_edited.median() > 0.2 and rows.near_next.median() < 0.05
+    assert (rows.near_edited > rows.near_next).mean() > 0.95
+
+
+def test_fingerprint_defined_cases(spark, prose):
+    rows = [(5, None), (4, ""), (None, "x"), (3, "one two three"), (2, "one two three"), (1, prose(20000, 1)), (0, "é😀")]
+    df = clashing(documents(spark, [t for _, t in rows], [i for i, _ in rows]))
+    check_fingerprints(compare_neighbours(df).collect(), rows)
+    repeated = compare_neighbours(documents(spark, ["a b", "a b", "c d"], [1, 1, 0])).collect()
+    assert len(repeated) == 3 and len({r.fingerprint for r in repeated if r.doc_id == 1}) == 1
+    alone = compare_neighbours(documents(spark, ["only text"])).collect()
+    assert len(alone) == 1 and alone[0].near_next == 1
+    assert compare_neighbours(documents(spark, [])).count() == 0
+
+
+def test_document_frequencies_by_hand(spark, prose):
+    texts = [prose(40, i % 30) for i in range(120)]
+    kept = fingerprints.lexicon(documents(spark, texts).repartition(5))
+    counts = {}
+    for t in texts:
+        for w in set(re.findall(r"[a-z0-9]+", t.lower())):
+            counts[w] = counts.get(w, 0) + 1
+    h, ptr = fingerprints._terms(pa.array(sorted(counts)))
+    buckets = fingerprints._bucket(h)
+    assert len(h) == len(counts)
+    total = np.bincount(buckets, [counts[w] for w in sorted(counts)], fingerprints.BUCKETS)
+    want = (total >= max(2, fingerprints.LOW * 120)) & (total <= fingerprints.HIGH * 120)
+    assert (kept == want).all()
+
+
+def test_likeness_grows_with_similarity(prose):
+    kept = np.ones(fingerprints.BUCKETS, bool)
+    words = prose(400, 1).split(" ")
+    other = prose(400, 2).split(" ")
+    texts = [" ".join(words[: 400 - n] + other[:n]) for n in (0, 20, 130, 260, 400)]
+    names, hashes = fingerprints.fingerprints(pa.array(texts), kept)
+    near = [likeness(names[:1], hashes[:1], names[k : k + 1], hashes[k : k + 1])[0] for k in range(5)]
+    assert near[0] == 1 and near[1] > near[3] and near[2] > near[4]
+
+
+# ---- decontamination
+ITEM = "If Alice buys 12 apples and 7 pears at 3 dollars each, how much does Alice pay in total for them all today"
+
+
+def check(spark, texts, items=(ITEM,)):
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {r.doc_id: r.item_ids for r in contamination(documents(spark, texts), benchmark).collect()}
+
+
+def test_reparameterised_questions(spark):
+    changed = ITEM.replace("Alice", "Boris").replace("12", "45").replace(" 7 ", " 88 ").replace("dollars", "euros")
+    mixed = ITEM.replace("Alice buys", "Boris buys")  # the same name stands for two
+    found = check(spark, [f"Intro text here. {ITEM}. More text.", f"Intro. {changed}? Yes.", mixed, "If Alice buys 12 apples and goes home", ITEM.upper()])
+    assert found[1] == [0] and found[2] == [0] and found[4] == []
+
+
+def test_slots_must_agree():
+    item = "first take 5 of these then add 5 more and count 5 again until 5 are left over"
+    items = Items([0], pa.array([item]))
+    same = item.replace("5", "9")
+    clash = "first take 1 of these then add 2 more and count 3 again until 4 are left over"
+    assert [len(x) for x in items.find(pa.array([item, same, clash]))] == [1, 1, 0]
+
+
+def test_templates():
+    def shape(text):
+        values, template, ptr = templates(pa.array([text]))
+        kinds = {int(decontaminate._NUMBER): "N", int(decontaminate._NAME): "A", int(decontaminate._UNIT): "U"}
+        return "".join(kinds.get(int(t), "w") for t in template)
+
+    assert shape("Then Bob ran 3.5 km, or 1,000 miles. Km are units. He saw Ann") == "wAwNUwNUwwwwwA"
+    assert shape("twelve apples") == "Nw" and shape("") == "" and shape("É x É") == "wwA"
+
+
+def test_whole_table_against_brute_force(spark):
+    folder = SF01.replace("sf0.01", "sf0.1")
+    docs, benchmark = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet")
+
+    def windows(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+    items = {r.item_id: windows(r.text) for r in benchmark.collect()}
+    where = {}
+    for i, ws in items.items():
+        for w in ws:
+            where.setdefault(w, set()).add(i)
+    want = {}
+    for r in docs.collect():
+        hit = {}
+        for w in windows(r.text):
+            for i in where.get(w, ()):
+                hit[i] = hit.get(i, 0) + 1
+        want[r.doc_id] = sorted(i for i, n in hit.items() if n >= 0.8 * len(items[i]))
+    found = {r.doc_id: r.item_ids for r in contamination(docs, benchmark).collect()}
+    assert found == want and sum(map(bool, want.values())) > 50
+    assert clean(docs, benchmark).count() == sum(not v for v in want.values())
+
+
+def test_items_in_blocks(spark, prose, monkeypatch):
+    items = [prose(30, i) for i in range(40)]
+    texts = [prose(10, 100 + i) + " " + items[i] for i in range(40)] + [prose(60, 999)]
+    whole = check(spark, texts, items)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 700)
+    assert check(spark, texts, items) == whole
+    assert [whole[i + 1] for i in range(40)] == [[i] for i in range(40)] and whole[41] == []
+
+
+def test_decontamination_defined_cases(spark, prose):
+    benchmark = spark.createDataFrame([(1, None), (2, ""), (3, "tiny item"), (None, prose(30, 5)), (4, prose(30, 5))], "item_id long, text string")
+    texts = [None, "", "tiny item", "a tiny item here", prose(30, 5), "w " * 50000]
+    df = clashing(documents(spark, texts, [1, 2, 3, 4, None, 6]))
+    rows = {r.doc_id: r for r in contamination(df, benchmark).collect()}
+    assert not rows[1].contaminated and not rows[2].contaminated and not rows[6].contaminated
+    assert rows[3].item_ids == [3] and set(rows[None].item_ids) == {None, 4}
+    kept = clean(df, benchmark)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 6]
+    assert contamination(documents(spark, []), benchmark).count() == 0
+    assert contamination(df, benchmark.limit(0)).where("contaminated").count() == 0

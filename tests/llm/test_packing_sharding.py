@@ -1,0 +1,179 @@
+"""Packing and sharding: exact round trips and the laws they promise."""
+
+import zlib
+
+import numpy as np
+import pytest
+from llm.conftest import SF, clashing, documents
+
+from rowsieve.llm import packing, sharding
+from rowsieve.llm.catalog import tokenizer_path
+from rowsieve.llm.packing import SumOfSquares, WordEncoder
+
+
+def reference_ids(texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    return [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def check_pieces(rows, expected):
+    """``expected``: {doc: [ids, ...]} with the end id, one list per row of the document."""
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    assert by_doc.keys() == expected.keys()
+    for doc, pieces in by_doc.items():
+        (ids,) = expected[doc]
+        at = 0
+        for p in sorted(pieces, key=lambda p: p.start):
+            raw = np.array(ids[at : at + p.length], "<u4").tobytes()
+            assert (p.start, p.doc_tokens, p.ids_crc32, bytes(p.ids)) == (at, len(ids), zlib.crc32(raw), raw)
+            at += p.length
+        assert at == len(ids)
+    padding = 0
+    for pieces in by_sequence.values():
+        at = 0
+        for p in sorted(pieces, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= 2048
+        padding += 2048 - at if at & (at - 1) else 0
+    return padding
+
+
+def test_whole_table_round_trip(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = [(r.doc_id, r.text) for r in df.collect()]
+    ids = reference_ids([t for _, t in texts])
+    rows = packing.with_digests(packing.pack(df, tokenizer_path())).collect()
+    assert check_pieces(rows, {i: [x + [1]] for (i, _), x in zip(texts, ids)}) == 0
+
+
+@pytest.mark.parametrize("size", [1, 2047, 2048, 2049, 5000])
+def test_sizes_at_the_window(size):
+    packer = SumOfSquares()
+    ids = np.arange(size, dtype=np.uint32)
+    out = []
+    for start in range(0, size, 2048):
+        out += packer.place((1, start, ids[start : start + 2048], size))
+    out += packer.flush()
+    assert sorted(np.concatenate([p[2] for s in out for p in s]).tolist()) == list(range(size))
+    assert all(n == 2048 or n & (n - 1) == 0 for n in (sum(len(p[2]) for p in s) for s in out))
+
+
+def test_level_minimises_the_sum_of_squares():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        window = 16
+        packer = SumOfSquares(window)
+        packer.counts[1:window] = rng.integers(0, 4, window - 1)
+        size = int(rng.integers(1, window))
+        n = packer.counts.copy()
+
+        def after(h):
+            m = n.copy()
+            if h:
+                m[h] -= 1
+            if h + size < window:
+                m[h + size] += 1
+            return int((m[1:window] ** 2).sum())
+
+        levels = [0] + [h for h in range(1, window - size + 1) if n[h]]
+        assert after(packer.level(size)) == min(map(after, levels))
+
+
+def test_flush_when_too_many_windows_are_open(monkeypatch):
+    monkeypatch.setattr(packing, "MAX_OPEN", 5)
+    packer, out, total = SumOfSquares(64), [], 0
+    rng = np.random.default_rng(1)
+    for doc in range(200):
+        size = int(rng.integers(1, 64))
+        out += packer.place((doc, 0, np.full(size, doc, np.uint32), size))
+        total += size
+        assert packer.n_open <= 6
+    out += packer.flush()
+    assert sum(len(p[2]) for s in out for p in s) == total
+    assert all(sum(len(p[2]) for p in s) <= 64 for s in out)
+
+
+def test_words_are_encoded_as_in_their_text():
+    texts = [
+        "Ünïcode wörds, İstanbul ΣΑΣ ﬁne", "don't we've I'm", "a.b. c,, ,d e.", "12 3.5 x2y", "tab\tnew\r\nline\x0bvt nb em", "é ́x", "", "   ",
+        "<|endoftext|> <|startoftext|>x", "\x1c\x1d", "日本語 テキスト", "a" * 5000, "😀 👍🏽", "Straße ÿ÷×", "word.", "word.,", "ÀÉ.",
+    ]
+    encoder = WordEncoder(tokenizer_path())
+    assert [x.tolist() for x in encoder.encode(texts)] == reference_ids(texts)
+    assert [x.tolist() for x in encoder.encode(texts)] == reference_ids(texts)  # all words known
+
+
+def test_packing_defined_cases(spark):
+    df = clashing(documents(spark, [None, "", "x y", "word " * 20000], [1, 2, None, 4]))
+    rows = packing.with_digests(packing.pack(df, tokenizer_path())).collect()
+    long = reference_ids(["word " * 20000])[0]
+    check_pieces(rows, {1: [[1]], 2: [[1]], None: [reference_ids(["x y"])[0] + [1]], 4: [long + [1]]})
+    again = packing.pack(documents(spark, ["same"] * 5, [7] * 5), tokenizer_path())
+    assert again.count() == 5  # rows that repeat are packed each
+    assert packing.pack(documents(spark, []), tokenizer_path()).count() == 0
+
+
+def assigned(spark, df, tree):
+    return sharding.assign(df, tree).collect()
+
+
+def test_shards_slots_and_growth(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = assigned(spark, df, sharding.even_tree(8))
+    texts = {r.doc_id: r.text for r in df.collect()}
+    assert len(rows) == len(texts)
+    for r in rows:
+        raw = texts[r.doc_id].encode()
+        assert (r.size, r.text_crc32, r.law) == (len(raw) + 1, zlib.crc32(raw), "key")
+        assert r.grown_shard in (r.shard, 8)  # the new shard takes rows only into itself
+    for shard in range(8):
+        slots = sorted(r.slot for r in rows if r.shard == shard)
+        assert slots == list(range(len(slots))) and slots
+
+
+def _shards(spark, tree, n=20000):
+    from pyspark.sql import functions as F
+
+    return {r.id: r.s for r in spark.range(n).select("id", sharding.shard_of(F.col("id"), tree).alias("s")).collect()}
+
+
+def test_shares_follow_weights(spark):
+    tree = (((1.0, 3.0), (2.0,)), ((2.0, 0.0),))
+    found = _shards(spark, tree)
+    share = [sum(s == k for s in found.values()) / len(found) for k in range(5)]
+    assert np.allclose(share, [1 / 8, 3 / 8, 2 / 8, 2 / 8, 0], atol=0.015)
+
+
+def test_rows_move_only_between_subtrees_whose_weights_changed(spark):
+    before = _shards(spark, (((1.0, 1.0), (1.0, 1.0)), ((1.0, 1.0), (1.0, 1.0))))
+    after = _shards(spark, (((1.0, 1.0), (1.0, 3.0)), ((1.0, 1.0), (1.0, 1.0))))
+    for i, old in before.items():
+        new = after[i]
+        if new != old:
+            assert new in (0, 1, 2, 3)  # into the region that grew, nowhere else
+            assert old >= 4 or new in (2, 3)  # inside it, into the rack that grew
+    same_rack = [(o, after[i]) for i, o in before.items() if o in (2, 3) and after[i] != o]
+    assert same_rack and all(n == 3 for _, n in same_rack)
+
+
+def test_sharding_defined_cases(spark):
+    df = clashing(documents(spark, [None, "", "é", "a", "a", "a"], [None, 2, 3, 4, 4, 4])).withColumnRenamed("part", "row")
+    rows = assigned(spark, df, sharding.even_tree(8))
+    assert sorted(r.size for r in rows) == [1, 1, 2, 2, 2, 3]
+    four = [r for r in rows if r.doc_id == 4]
+    assert len({r.shard for r in four}) == 1 and len({r.slot for r in four}) == 3
+    assert assigned(spark, documents(spark, []), sharding.even_tree(8)) == []
+    assert sharding.even_tree(3) == (((1.0, 1.0), (1.0,)),)
+
+
+def test_write_shards(spark, tmp_path):
+    df = documents(spark, ["a", "b", "c"])
+    sharding.write_shards(df, sharding.even_tree(8), str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert {r.doc_id: r["shard"] for r in back.collect()} == {r.doc_id: r["shard"] for r in assigned(spark, df, sharding.even_tree(8))}
