@@ -54,8 +54,13 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _GATES = {"email": "@", "ip": "[0-9][.][0-9]", "card": "[0-9]", "phone": "[+][0-9]"}
-_WORD = r"\p{L}{3,}"
-_SPAN = "struct<kind:string,start:int,end:int,value:string>"
+_LETTERS = r"\p{L}{3,}"
+# a word between white space, so never a part of an address or number
+_WORD = r"(?<![^\s(\['])\p{L}{3,}(?=[.,;:!?)\]']*+(?:\s|$))"
+_SPAN = "struct<kind:string,start:int,end:int,value:string,left:string,right:string>"
+_PLACE = "struct<kind:string,start:int,end:int>"
+#: Arrays are scanned in chunks, so long ones take no quadratic time.
+CHUNK = 512
 
 
 def _luhn(digits: Column) -> Column:
@@ -82,23 +87,50 @@ def _passes(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _chunks(array: Column) -> Column:
+    places = F.sequence(F.lit(0), F.floor((F.size(array) - 1) / CHUNK).cast("int"))
+    return F.transform(places, lambda c: F.slice(array, c * CHUNK + 1, F.lit(CHUNK)))
+
+
+def _running(values: Column, combine, zero: int) -> Column:
+    """For every element, ``combine`` of the integers before it."""
+    none = F.array().cast("array<int>")
+    start = F.struct(F.lit(zero).alias("at"), none.alias("out"))
+
+    def inside(acc: Column, x: Column) -> Column:
+        return F.struct(combine(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+    own = F.transform(_chunks(values), lambda c: F.aggregate(c, start, inside))
+    begin = F.struct(F.lit(zero).alias("at"), F.array().cast("array<array<int>>").alias("out"))
+
+    def across(acc: Column, chunk: Column) -> Column:
+        shifted = F.transform(chunk["out"], lambda v: combine(acc["at"], v))
+        return F.struct(combine(acc["at"], chunk["at"]).alias("at"), F.concat(acc["out"], F.array(shifted)).alias("out"))
+
+    return F.when(F.size(values) > 0, F.flatten(F.aggregate(own, begin, across)["out"])).otherwise(none)
+
+
 def _matches(text: Column, pattern: str, kind: str) -> Column:
-    """Array of spans of all matches: the text between them says where they are."""
+    """Array of spans of all matches, each with the text near it up to the
+    next match: the pieces between matches say where they are."""
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    pairs = F.arrays_zip(found.alias("m"), F.slice(between, 1, F.size(found)).alias("b"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+    pairs = F.arrays_zip(found.alias("m"), F.slice(between, 1, F.size(found)).alias("b"), F.slice(between, 2, F.size(found)).alias("a"))
+    lengths = F.transform(pairs, lambda x: F.length(x["b"]) + F.length(x["m"]))
+    placed = F.arrays_zip(pairs.alias("x"), _running(lengths, lambda a, b: a + b, 0).alias("at"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["b"])
-        end = start + F.length(x["m"])
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["m"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+    def span(p: Column) -> Column:
+        start = p["at"] + F.length(p["x"]["b"])
+        return F.struct(
+            F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(p["x"]["m"])).alias("end"), p["x"]["m"].alias("value"),
+            F.right(p["x"]["b"], F.lit(CONTEXT)).alias("left"), F.left(p["x"]["a"], F.lit(CONTEXT)).alias("right"),
+        )
 
-    return F.aggregate(pairs, zero, step)["out"]
+    return F.transform(placed, span)
 
 
 def base_spans(text: Column) -> Column:
-    """Array of (kind, start, end, value), by kind as listed, then by start."""
+    """Array of (kind, start, end, value, left, right), by kind as listed,
+    then by start."""
     empty = F.array().cast(f"array<{_SPAN}>")
 
     def of(kind: str) -> Column:
@@ -108,31 +140,26 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of(kind) for kind in KINDS])
 
 
-def _context_words(text: Column, span: Column) -> Column:
+def _context_words(span: Column) -> Column:
     """Array of (term, start, end) of whole words near a span."""
-    left_from = F.greatest(F.lit(0), span["start"] - CONTEXT)
-    left = F.substring(text, left_from + 1, span["start"] - left_from)
-    right = F.substring(text, span["end"] + 1, F.lit(CONTEXT))
 
-    def words(part: Column, shift: Column, whole) -> Column:
-        inside = F.filter(_matches(part, _WORD, "term"), whole)
+    def words(near: Column, shift: Column, whole) -> Column:
+        inside = F.filter(_matches(near, _WORD, "term"), whole)
         return F.transform(inside, lambda w: F.struct(F.lower(w["value"]).alias("term"), (w["start"] + shift).alias("start"), (w["end"] + shift).alias("end")))
 
-    cut = F.length(right) == CONTEXT
+    left, right = span["left"], span["right"]
+    # a word at the cut of a full context may go on beyond it
     return F.concat(
-        words(left, left_from, lambda w: (w["start"] > 0) | (left_from == 0)),
-        words(right, span["end"], lambda w: (w["end"] < CONTEXT) | ~cut),
+        words(left, span["start"] - F.length(left), lambda w: (w["start"] > 0) | (F.length(left) < CONTEXT)),
+        words(right, span["end"], lambda w: (w["end"] < CONTEXT) | (F.length(right) < CONTEXT)),
     )
 
 
 def _mentions(rows: DataFrame) -> DataFrame:
-    """(digest, entity, term, start, end): words near the values of texts with
-    spans, less words that are part of a base span themselves."""
-    spans = rows.where(F.size("base") > 0).select("digest", "text", "base", F.explode("base").alias("span"))
-    near = spans.select("digest", "base", F.concat_ws(":", "span.kind", F.lower("span.value")).alias("entity"), F.explode(_context_words(F.col("text"), F.col("span"))).alias("w"))
-    near = near.select("digest", "base", "entity", "w.*")
-    clear = ~F.exists("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
-    return near.where(clear).drop("base")
+    """(digest, entity, term, start, end): words near the values found."""
+    spans = rows.where(F.size("base") > 0).select("digest", F.explode("base").alias("span"))
+    entity = F.concat_ws(":", "span.kind", F.lower("span.value")).alias("entity")
+    return spans.select("digest", entity, F.explode(_context_words(F.col("span"))).alias("w")).select("digest", "entity", "w.*")
 
 
 def disclosures(rows: DataFrame, mentions: DataFrame, folder: str) -> DataFrame:
@@ -142,7 +169,7 @@ def disclosures(rows: DataFrame, mentions: DataFrame, folder: str) -> DataFrame:
     pairs = seen.groupBy("entity", "term").agg(F.count("*").alias("n_tc")).where(F.col("n_tc") >= TOGETHER)
     pairs = save(pairs, folder)
     entities = mentions.select("entity", "digest").distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0)))
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_LETTERS), F.lit(0)))
     used = rows.select("digest", F.explode(words).alias("term"))
     terms = among(used, pairs, "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
     total = rows.select(F.count_distinct("digest").alias("n"))
@@ -159,18 +186,22 @@ def _with_spans(df: DataFrame, text_col: str, folder: str) -> DataFrame:
     rows = df.select(text.alias("text")).select("text", F.xxhash64("text").alias("digest"), base_spans(F.col("text")).alias("base"))
     mentions = save(_mentions(rows), folder)
     told = save(disclosures(rows, mentions, folder), folder)
-    spans = mentions.join(told, ["entity", "term"]).select("digest", F.struct(F.col("action").alias("kind"), "start", "end", F.col("term").alias("value")).alias("span"))
-    spans = save(spans.groupBy("digest").agg(F.array_sort(F.collect_set("span")).alias("__pii_terms")), folder)
+    spans = mentions.join(told, ["entity", "term"]).select("digest", F.struct(F.col("action").alias("kind"), "start", "end").alias("span"))
+    # a word near two entities counts once, by the stronger action
+    spans = spans.groupBy("digest", "span.start", "span.end").agg(F.min("span.kind").alias("kind"))
+    place = F.struct("start", "end", "kind")
+    spans = spans.groupBy("digest").agg(F.array_sort(F.collect_list(place)).alias("ordered"))
+    kinds = F.transform("ordered", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    spans = save(spans.select("digest", kinds.alias("__pii_terms")), folder)
     if spans.count() <= MAX_BROADCAST:
         spans = F.broadcast(spans)
     # texts without base spans meet nothing; their keys spread over the tasks
-    out = df.withColumn("__pii_base", base_spans(text))
+    places = F.transform(base_spans(text), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    out = df.withColumn("__pii_base", places)
     key = F.when(F.size("__pii_base") > 0, F.xxhash64(text)).otherwise(F.xxhash64(text, F.lit("none")))
     out = out.withColumn("__pii_key", key).join(spans.withColumnRenamed("digest", "__pii_key"), "__pii_key", "left").drop("__pii_key")
     terms = F.when(F.size("__pii_base") > 0, F.col("__pii_terms"))
-    # a word near two entities counts once, by the stronger action
-    first = lambda s: ~F.exists("__pii_terms", lambda o: (o["start"] == s["start"]) & (o["kind"] < s["kind"]))
-    return out.withColumn("__pii_terms", F.coalesce(F.filter(terms, first), F.array().cast(f"array<{_SPAN}>")))
+    return out.withColumn("__pii_terms", F.coalesce(terms, F.array().cast(f"array<{_PLACE}>")))
 
 
 def _listed(spans: Column) -> Column:
@@ -188,17 +219,37 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
 
 
 def _merged(spans: Column) -> Column:
-    """Spans by start, those that overlap as one of the first one's kind."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
+    """Spans by start, those that overlap as one of the first and longest
+    one's kind."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus"), s["kind"].alias("kind"))))
+    ordered = F.transform(ordered, lambda s: F.struct(s["start"].alias("start"), (-s["minus"]).alias("end"), s["kind"].alias("kind")))
+    ends = F.transform(ordered, lambda s: s["end"])
+    reached = F.arrays_zip(ordered.alias("s"), _running(ends, lambda a, b: F.greatest(a, b), -1).alias("before"))
+    first = F.filter(reached, lambda r: r["s"]["start"] >= r["before"])
+
+    def whole(r: Column, i: Column) -> Column:
+        end = F.coalesce(F.get(F.transform(first, lambda f: f["before"]), i + 1), F.array_max(ends))
+        return F.struct(r["s"]["start"].alias("start"), end.alias("end"), r["s"]["kind"].alias("kind"))
 
-    def step(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
-        joined = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(wider))
-        return F.when((F.size(acc) > 0) & (F.coalesce(F.try_element_at(acc, F.lit(-1))["end"], F.lit(-1)) > s["start"]), joined).otherwise(F.concat(acc, F.array(s)))
+    return F.transform(first, whole)
 
-    return F.aggregate(ordered, none, step)
+
+def _replaced(text: Column, spans: Column) -> Column:
+    """The text with its sorted, disjoint spans replaced, chunk by chunk."""
+    word = lambda s: F.when(s["kind"] == "removed", "").otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
+
+    def chunk(own: Column, c: Column) -> Column:
+        begin = F.when(c > 0, F.get(spans, c * CHUNK - 1)["end"]).otherwise(0)
+        region = F.substring(text, begin + 1, F.element_at(own, -1)["end"] - begin)
+
+        def piece(s: Column, i: Column) -> Column:
+            at = F.when(i > 0, F.get(own, i - 1)["end"]).otherwise(begin)
+            return F.concat(F.substring(region, at - begin + 1, s["start"] - at), word(s))
+
+        return F.array_join(F.transform(own, piece), "")
+
+    tail = F.substring(text, F.element_at(spans, -1)["end"] + 1, F.length(text))
+    return F.concat(F.array_join(F.transform(_chunks(spans), chunk), ""), tail)
 
 
 def sanitise(df: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
@@ -210,14 +261,7 @@ def sanitise(df: DataFrame, text_col: str = "text", length_col: str | None = "n_
     text = F.col(text_col)
     rows = rows.withColumn("__pii_all", _merged(F.concat("__pii_base", "__pii_terms")))
     spans = F.col("__pii_all")
-    word = lambda s: F.when(s["kind"] == "removed", "").otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-
-    def piece(s: Column, i: Column) -> Column:
-        begin = F.when(i > 0, F.get(spans, i - 1)["end"]).otherwise(0)
-        return F.concat(F.substring(text, begin + 1, s["start"] - begin), word(s))
-
-    tail = F.substring(text, F.element_at(spans, -1)["end"] + 1, F.length(text))
-    cleaned = F.concat(F.array_join(F.transform(spans, piece), ""), tail)
+    cleaned = _replaced(text, spans)
     rows = rows.withColumn(text_col, F.when(F.size(spans) > 0, cleaned).otherwise(text))
     if length_col in names:
         kind = df.schema[length_col].dataType
