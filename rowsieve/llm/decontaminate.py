@@ -1,7 +1,8 @@
 """Benchmark decontamination by template windows.
 
-Texts are brought to templates: words (A-Z lower-cased, punctuation at word
-ends dropped) with numbers, names (capitalised inside a sentence) and units
+Texts are brought to templates: words (A-Z and U+00C0-U+00DE lower-cased,
+punctuation at word ends dropped) with numbers, names (a capital and small
+letters, inside a sentence) and units
 (after a number) replaced by typed placeholders.  Windows of ``WIDTH``
 template words of every benchmark item are hashed; whole documents are
 hashed the same way and joined on the hash, so a question whose numbers or
@@ -80,13 +81,19 @@ def templates(texts: pa.Array):
     before[border], after[border - 1] = False, False
     starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
     ptr = np.searchsorted(starts, offsets)
-    values = hash_spans(data, starts, ends)
+    folded = data.copy()  # capitals beyond A-Z: U+00C0-U+00DE
+    folded[1:][(data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)] += 0x20
+    values = hash_spans(folded, starts, ends)
     template = values.copy()
     if len(starts):
         marks = np.concatenate([[0], np.cumsum(digit | point)])
         number = (marks[ends] - marks[starts] == ends - starts) | _among(values, _NUMBER_HASHES)
-        second = data[np.minimum(starts + 1, n - 1)]
-        capital = (data[starts] >= 65) & (data[starts] <= 90) | (data[starts] == 0xC3) & (second >= 0x80) & (second <= 0x9E)
+        byte = lambda at: np.where(at < ends, data[np.minimum(at, n - 1)], 0)
+        ascii_first = (data[starts] >= 65) & (data[starts] <= 90)
+        other_first = (data[starts] == 0xC3) & (byte(starts + 1) >= 0x80) & (byte(starts + 1) <= 0x9E)
+        then = np.where(other_first, starts + 2, starts + 1)
+        small = (byte(then) >= 97) & (byte(then) <= 122) | (byte(then) == 0xC3) & (byte(then + 1) >= 0xA0)
+        capital = (ascii_first | other_first) & small  # a word all in capitals is no name
         stops = np.concatenate([[0], np.cumsum(np.isin(data, list(b'.!?:;"\n')))])
         first = np.zeros(len(starts), bool)
         first[ptr[:-1][ptr[:-1] < len(starts)]] = True

@@ -127,7 +127,8 @@ def test_templates():
         return "".join(kinds.get(int(t), "w") for t in template)
 
     assert shape("Then Bob ran 3.5 km, or 1,000 miles. Km are units. He saw Ann") == "wAwNUwNUwwwwwA"
-    assert shape("twelve apples") == "Nw" and shape("") == "" and shape("É x É") == "wwA"
+    assert shape("twelve apples") == "Nw" and shape("") == "" and shape("Él x Él É") == "wwAw"
+    assert shape("we RAN TO Él AND ÉLA") == "wwwAww"
 
 
 def test_whole_table_against_brute_force(spark):
