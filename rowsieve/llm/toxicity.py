@@ -37,10 +37,10 @@ WINDOW = 96  # bytes
 DICT_BYTES = 32 << 10
 SAMPLE = 4_000
 TRAIN_BYTES = 6 << 20
-#: A word is toxic content with this many different words before it (a share
+#: A word is toxic content if it is used in this many places (a share
 #: of the toxic texts, a number at least), and so many times the share that
 #: it has in ordinary texts.
-MIN_SHARE, MIN_PLACES, CONTRAST = 0.01, 2, 8
+MIN_SHARE, MIN_PLACES, CONTRAST = 0.01, 4, 8
 THRESHOLD = 0.5
 
 
@@ -92,23 +92,27 @@ def train_ordinary(pieces: list[bytes]) -> bytes:
         return b"".join(pieces)[-DICT_BYTES:] or b" " * 8
 
 
-def _neighbours(texts: list[bytes]) -> dict[bytes, int]:
-    """Of every word, the number of different words before it: copies of a
-    text add nothing, words used here and there do."""
-    seen: dict[bytes, set[bytes]] = {}
+def _places(texts: list[bytes]) -> dict[bytes, int]:
+    """Of every word, in how many places it is used: different texts, or
+    different words before it if these are fewer.  So copies of a text and
+    repetition inside one add nothing."""
+    before_it: dict[bytes, set[bytes]] = {}
+    inside: dict[bytes, int] = {}
     for text in set(texts):
-        before = b""
-        for word in text.split():
-            seen.setdefault(word, set()).add(before)
+        before, words = b"", text.split()
+        for word in words:
+            before_it.setdefault(word, set()).add(before)
             before = word
-    return {w: len(s) for w, s in seen.items()}
+        for word in set(words):
+            inside[word] = inside.get(word, 0) + 1
+    return {w: min(n, len(before_it[w])) for w, n in inside.items()}
 
 
 def train_toxic(toxic: list[bytes], ordinary: list[bytes], base: bytes) -> bytes:
     """The dictionary of toxic text: the ordinary content, as toxic text is
     mostly ordinary, after the words that toxic texts use in many places and
     ordinary ones hardly, rarest first."""
-    used, usual = _neighbours(toxic), _neighbours(ordinary)
+    used, usual = _places(toxic), _places(ordinary)
     n, m = max(len(set(toxic)), 1), max(len(set(ordinary)), 1)
     least = max(MIN_PLACES, MIN_SHARE * n)
     words = [w for w, k in used.items() if k >= least and k / n >= CONTRAST * (usual.get(w, 0) + 1) / m]
