@@ -6,7 +6,7 @@ import os
 import subprocess
 import sys
 
-from conftest import SF001
+from conftest import SF001, SF01
 
 
 def test_task_retry_keeps_results_exact():
@@ -22,3 +22,16 @@ def test_task_retry_keeps_results_exact():
     assert failed == clean
     assert failed["rows"] == failed["stats"]["total_records"]
     assert failed["rejected"] == failed["stats"]["rejected_records"]
+
+
+def test_lost_shuffle_output_changes_nothing():
+    """An executor dies with half of the salted join's shuffle output; the
+    rows that its tasks make again land where the first ones did."""
+    script = os.path.join(os.path.dirname(__file__), "lost_executor_job.py")
+    proc = subprocess.run([sys.executable, script, SF01], capture_output=True, text=True, timeout=600)
+    lines = [line for line in proc.stdout.splitlines() if line.startswith("RESULT ")]
+    assert lines, proc.stderr[-3000:]
+    result = json.loads(lines[-1][len("RESULT "):])
+    assert result["lost_killed"]  # the executor really died
+    assert result["lost"]["paths"] == ["shuffle+split", "shuffle+split"]
+    assert result["lost"] == result["clean"] and result["lost"]["n"] == result["lost"]["distinct"]
