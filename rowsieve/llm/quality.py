@@ -176,15 +176,12 @@ def _score_columns(df: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     texts, known = labelled_sample(df, labels, label, part != held_out, SAMPLE, id_col, text_col)
     model = fit(texts, known)
 
-    @F.pandas_udf("double")
-    def score(text):
-        import pandas as pd
-
-        array = pa.array(text, pa.string(), from_pandas=True)
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
         if isinstance(model, float):
-            return pd.Series(np.full(len(array), model))
-        found = [model.predict(array.slice(lo, hi - lo)) for lo, hi in blocks(array)]
-        return pd.Series(np.concatenate(found) if found else np.empty(0))
+            return pa.array(np.full(len(text), model))
+        found = [model.predict(text.slice(lo, hi - lo)) for lo, hi in blocks(text)]
+        return pa.array(np.concatenate(found) if found else np.empty(0))
 
     return F.coalesce(part == held_out, F.lit(False)), score(F.col(text_col).cast("string"))
 

@@ -2,8 +2,8 @@
 
 A text column arrives in a task as one byte buffer with offsets.  Word
 borders, lower-casing of A-Z and 64-bit word hashes are computed over that
-buffer, never per word in Python.  Work is cut into blocks of a few
-megabytes, so memory stays bounded whatever the batch holds; one very long
+buffer, never per word in Python.  Work is cut into blocks of about
+a megabyte, so memory stays bounded whatever the batch holds; one very long
 text is a block of its own and its words are hashed piecewise.
 """
 
@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 4 << 20
-HASH_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 20
+HASH_BYTES = 1 << 19
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
