@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.llm.grouped import among
+from rowsieve.llm.grouped import MAX_BROADCAST
 from rowsieve.llm.tables import save, shared_folder
 
 KINDS = ("email", "ip", "card", "phone")
@@ -41,7 +41,7 @@ CONTEXT = 48
 TOGETHER = 3
 GENERALISE, REMOVE = 0.9, 0.99
 #: Texts with disclosing terms are broadcast up to this number.
-MAX_BROADCAST = 100_000
+MAX_TEXTS = 100_000
 
 # The patterns match what the plain ones match: possessive repeats where what
 # follows cannot begin inside the repeat, and starts inside a run that fails
@@ -169,9 +169,15 @@ def disclosures(rows: DataFrame, mentions: DataFrame, folder: str) -> DataFrame:
     pairs = seen.groupBy("entity", "term").agg(F.count("*").alias("n_tc")).where(F.col("n_tc") >= TOGETHER)
     pairs = save(pairs, folder)
     entities = mentions.select("entity", "digest").distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
+    # a text counts once: each of its copies for its share of one
+    copies = rows.groupBy("digest").agg(F.count("*").alias("copies")).where("copies > 1")
+    copies = save(copies, folder)
+    if copies.count() <= MAX_BROADCAST:
+        copies = F.broadcast(copies)
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_LETTERS), F.lit(0)))
-    used = rows.select("digest", F.explode(words).alias("term"))
-    terms = among(used, pairs, "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+    share = (1 / F.coalesce("copies", F.lit(1))).alias("share")
+    used = rows.select("digest", words.alias("words")).join(copies, "digest", "left").select(F.explode("words").alias("term"), share)
+    terms = used.groupBy("term").agg(F.round(F.sum("share")).alias("n_t"))
     total = rows.select(F.count_distinct("digest").alias("n"))
     counts = pairs.join(entities, "entity").join(terms, "term").crossJoin(F.broadcast(total))
     pmi = F.log2(F.col("n") * F.col("n_tc") / (F.col("n_t") * F.col("n_c")))
@@ -193,7 +199,7 @@ def _with_spans(df: DataFrame, text_col: str, folder: str) -> DataFrame:
     spans = spans.groupBy("digest").agg(F.array_sort(F.collect_list(place)).alias("ordered"))
     kinds = F.transform("ordered", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     spans = save(spans.select("digest", kinds.alias("__pii_terms")), folder)
-    if spans.count() <= MAX_BROADCAST:
+    if spans.count() <= MAX_TEXTS:
         spans = F.broadcast(spans)
     # texts without base spans meet nothing; their keys spread over the tasks
     places = F.transform(base_spans(text), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
