@@ -8,8 +8,9 @@ template words of every benchmark item are hashed; whole documents are
 hashed the same way and joined on the hash, so a question whose numbers or
 names were changed still meets its item.  Hits near each other are one
 passage.  Its slots must agree: one value of the item stands for one value
-of the document and the other way round; windows with slots that do not are
-dropped.  A document is contaminated when a passage keeps at least ``SHARE``
+of the document and the other way round.  Hits of one alignment are bound
+together, by majority, so a window that also meets another place of its item
+does not disturb them; windows with slots that disagree are dropped.  A document is contaminated when a passage keeps at least ``SHARE``
 of an item's windows.
 
 The documents are read once and never shuffled.  Benchmark items reach the
@@ -150,20 +151,60 @@ class Items:
         own = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         return np.repeat(some, n), np.repeat(lo, n) + own
 
-    def agreeing(self, values, template, spots: np.ndarray, item: int, places: np.ndarray) -> np.ndarray:
+    def agreeing(self, values: np.ndarray, spots: np.ndarray, item: int, places: np.ndarray) -> int:
         """Of a passage's hits (document word ``spots``, item ``places``),
-        those whose slots agree with the rest, first come first bound."""
-        there, back, kept = {}, {}, []
-        end = self.ptr[item + 1]
-        for p, q in zip(spots.tolist(), places.tolist()):
-            fine = True
-            for k in range(min(WIDTH, int(end - self.ptr[item]) - q)):
-                i = self.ptr[item] + q + k
-                if _slots(self.template[i : i + 1])[0]:
-                    a, b = int(self.values[i]), int(values[p + k])
-                    fine &= there.setdefault((int(self.template[i]), a), b) == b and back.setdefault((int(self.template[i]), b), a) == a
-            kept.append(fine)
-        return np.array(kept, bool)
+        how many windows of the item have slots that agree.  Hits of one
+        diagonal (``spot - place``) are one alignment.  Each alignment is
+        tried first: its values are bound by majority, then the alignments
+        that add most windows bind what is still free."""
+        k = np.arange(WIDTH)
+        own = self.ptr[item] + places[:, None] + k
+        inside = own < self.ptr[item + 1]
+        own = np.where(inside, own, self.ptr[item])
+        kind = self.template[own]
+        slot = inside & _slots(kind)
+        with np.errstate(over="ignore"):
+            theirs = kind + self.values[own]
+            mine = kind + values[np.where(inside, spots[:, None] + k, spots[:, None])]
+        a_keys, a = np.unique(theirs, return_inverse=True)
+        b_keys, b = np.unique(mine, return_inverse=True)
+        a, b = a.reshape(slot.shape), b.reshape(slot.shape)
+        _, diagonal = np.unique(spots - places, return_inverse=True)
+
+        def bind(rows: np.ndarray, there: np.ndarray, back: np.ndarray):
+            """Values of ``rows`` that are free, most frequent pairs first."""
+            pairs = (a[rows] * len(b_keys) + b[rows])[slot[rows]]
+            pairs, first, votes = np.unique(pairs, return_index=True, return_counts=True)
+            x, y = pairs // len(b_keys), pairs % len(b_keys)
+            for i in np.lexsort((first, a_keys[x] != b_keys[y], -votes)):
+                if there[x[i]] < 0 and back[y[i]] < 0:
+                    there[x[i]], back[y[i]] = y[i], x[i]
+
+        best, tried, need = 0, set(), SHARE * self.total[item]
+        size = np.bincount(diagonal)
+        by_diagonal = np.split(np.argsort(diagonal, kind="stable"), np.cumsum(size)[:-1])
+        for d in np.argsort(-size, kind="stable"):
+            there, back = np.full(len(a_keys), -1), np.full(len(b_keys), -1)
+            bind(by_diagonal[d], there, back)
+            if there.tobytes() in tried:
+                continue
+            tried.add(there.tobytes())
+            while True:
+                bound = there[a] == b
+                free = (there[a] < 0) & (back[b] < 0)
+                may = np.flatnonzero((~slot | bound | free).all(1))
+                if len(np.unique(places[may])) < max(need, best + 1):
+                    break
+                fine = np.unique(places[(~slot | bound).all(1)])
+                left = may[~np.isin(places[may], fine)]
+                if not len(left):
+                    best = len(fine)
+                    break
+                most = np.argmax(np.bincount(diagonal[left]))
+                bind(left[diagonal[left] == most], there, back)
+            if best == self.total[item]:
+                break
+        return best
 
     def find(self, texts: pa.Array) -> list[list[tuple]]:
         """Per text the (item id, share of its windows) of passages found."""
@@ -181,11 +222,9 @@ class Items:
         new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (spot[1:] - spot[:-1] > GAP)
         begins = np.flatnonzero(new)
         for a, b in zip(begins, np.append(begins[1:], len(doc))):
-            need = SHARE * self.total[item[a]]
-            if len(np.unique(q[a:b])) < need:
+            if len(np.unique(q[a:b])) < SHARE * self.total[item[a]]:
                 continue
-            fine = self.agreeing(values, template, ptr[doc[a]] + spot[a:b], int(item[a]), q[a:b])
-            share = len(np.unique(q[a:b][fine])) / self.total[item[a]]
+            share = self.agreeing(values, ptr[doc[a]] + spot[a:b], int(item[a]), q[a:b]) / self.total[item[a]]
             if share >= SHARE:
                 out[doc[a]].append((self.ids[item[a]], float(share)))
         return out

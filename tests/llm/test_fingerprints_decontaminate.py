@@ -176,3 +176,18 @@ def test_decontamination_defined_cases(spark, prose):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 6]
     assert contamination(documents(spark, []), benchmark).count() == 0
     assert contamination(df, benchmark.limit(0)).where("contaminated").count() == 0
+
+
+def test_repeated_windows_do_not_poison_the_binding():
+    item = "ann went to the shop and bought 3 red pens there while her brother went to the shop and bought 5 red pens there today"
+    items = Items([0], pa.array([item]))
+    other = item.replace("3", "8").replace("5", "9")
+    swapped = item.replace("3", "x").replace("5", "3").replace("x", "5")
+    found = items.find(pa.array([item, other, swapped, f"{other} and then {item}", f"5 red pens there today . {item}"]))
+    assert found == [[(0, 1.0)]] * 5
+
+
+def test_majority_binds_not_the_first_window():
+    item = "take 5 of these cups then add 5 more of those big cups and count 5 again until no more than 5 of them are left over here at the end of the long day"
+    near = item.replace("take 5", "take 7")  # one odd value loses its own windows only
+    assert [len(x) for x in Items([0], pa.array([item])).find(pa.array([near]))] == [1]
