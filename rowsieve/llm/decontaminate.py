@@ -6,12 +6,15 @@ letters, inside a sentence) and units
 (after a number) replaced by typed placeholders.  Windows of ``WIDTH``
 template words of every benchmark item are hashed; whole documents are
 hashed the same way and joined on the hash, so a question whose numbers or
-names were changed still meets its item.  Hits near each other are one
-passage.  Its slots must agree: one value of the item stands for one value
-of the document and the other way round.  Hits of one alignment are bound
-together, by majority, so a window that also meets another place of its item
-does not disturb them; windows with slots that disagree are dropped.  A document is contaminated when a passage keeps at least ``SHARE``
-of an item's windows.
+names were changed still meets its item.  All hits of an item in a document
+count together, however far apart: a run of numbers or words put in between
+leave holes, and the parts on both sides are added up.  Slots must agree: one
+value of the item stands for one value of the document and the other way
+round.  Hits of one alignment (the same distance between the places in
+document and item) are bound together, by majority, so a window that also
+meets another place of its item does not disturb them; windows with slots
+that disagree are dropped.  A document is contaminated when at least
+``SHARE`` of an item's windows are left.
 
 The documents are read once and never shuffled.  Benchmark items reach the
 tasks in blocks of ``BLOCK_BYTES`` of text, measured before, one after the
@@ -36,8 +39,6 @@ from rowsieve.llm.text import LETTERS, blocks, buffers, column, hash_spans, mix,
 
 WIDTH = 5
 SHARE = 0.8
-#: Hits this many words apart are of one passage.
-GAP = 20
 BLOCK_BYTES = 8 << 20
 
 # Unit words (after a number) and number words.
@@ -152,8 +153,8 @@ class Items:
         return np.repeat(some, n), np.repeat(lo, n) + own
 
     def agreeing(self, values: np.ndarray, spots: np.ndarray, item: int, places: np.ndarray) -> int:
-        """Of a passage's hits (document word ``spots``, item ``places``),
-        how many windows of the item have slots that agree.  Hits of one
+        """Of a document's hits (word ``spots``, item ``places``), how
+        many windows of the item have slots that agree.  Hits of one
         diagonal (``spot - place``) are one alignment.  Each alignment is
         tried first: its values are bound by majority, then the alignments
         that add most windows bind what is still free."""
@@ -207,7 +208,7 @@ class Items:
         return best
 
     def find(self, texts: pa.Array) -> list[list[tuple]]:
-        """Per text the (item id, share of its windows) of passages found."""
+        """Per text the (item id, share of its windows) of items found."""
         out: list[list[tuple]] = [[] for _ in range(len(texts))]
         values, template, ptr = templates(texts)
         h, text, place = windows(template, ptr)
@@ -219,7 +220,7 @@ class Items:
         order = np.lexsort((q, spot, item, doc))
         doc, spot, item, q = doc[order], spot[order], item[order], q[order]
         new = np.ones(len(doc), bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (spot[1:] - spot[:-1] > GAP)
+        new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
         begins = np.flatnonzero(new)
         for a, b in zip(begins, np.append(begins[1:], len(doc))):
             if len(np.unique(q[a:b])) < SHARE * self.total[item[a]]:

@@ -191,3 +191,16 @@ def test_majority_binds_not_the_first_window():
     item = "take 5 of these cups then add 5 more of those big cups and count 5 again until no more than 5 of them are left over here at the end of the long day"
     near = item.replace("take 5", "take 7")  # one odd value loses its own windows only
     assert [len(x) for x in Items([0], pa.array([item])).find(pa.array([near]))] == [1]
+
+
+def test_holes_do_not_cut_an_item(prose):
+    numbers = " ".join(str(n) for n in range(100, 130))
+    table = f"{prose(15, 1).lower()} {numbers} {prose(15, 2).lower()}"
+    plain = prose(40, 3).lower()
+    words = plain.split(" ")
+    inserted = " ".join(words[:20] + prose(30, 4).lower().split(" ") + words[20:])
+    other = table.replace(" 1", " 7")  # the numbers changed, one for one
+    half = " ".join(words[:20])
+    items = Items([0, 1], pa.array([table, plain]))
+    found = items.find(pa.array([table, inserted, other, half]))
+    assert [[i for i, _ in own] for own in found] == [[0], [1], [0], []]
