@@ -3,7 +3,13 @@
 Texts are brought to templates: words (A-Z and U+00C0-U+00DE lower-cased,
 punctuation at word ends dropped) with numbers, names (a capital and small
 letters, inside a sentence) and units
-(after a number) replaced by typed placeholders.  Windows of ``WIDTH``
+(after a number) replaced by typed placeholders.  Case and place of a word
+can mislead about names, so a window is hashed in up to three forms: with
+names only where a capital stands inside a sentence, with every capitalised
+word as a name (one that opens a sentence may be a name as well), and with
+none, as a passage in other case or wrapped at other line ends is met.  Any
+form may meet; what is a value of the item is bound the same in all of them.
+Windows of ``WIDTH``
 template words of every benchmark item are hashed; whole documents are
 hashed the same way and joined on the hash, so a question whose numbers or
 names were changed still meets its item.  All hits of an item in a document
@@ -22,7 +28,8 @@ other on the same row, so a large benchmark costs more passes over a row's
 words, not more memory, and drops nothing.
 
 Defined cases: null or empty text (of either side) has no window and matches
-nothing; texts shorter than a window are one window of all their words;
+nothing; texts shorter than a window are one window of all their words, where a word
+that opens the text is no name;
 windows that are mostly placeholders count only for items that have no
 other; items that repeat are reported each; null ids are carried; extra
 columns are ignored or kept as they are; empty tables give no hits.
@@ -67,9 +74,11 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def templates(texts: pa.Array):
-    """(values, template, ptr): hashes of the words as they are, and with
-    placeholders; words of text ``i`` are ``ptr[i]:ptr[i+1]``."""
+def shapes(texts: pa.Array):
+    """(values, plain, template, wide, ptr): hashes of the words as they are;
+    with placeholders for numbers and units; for names inside sentences as
+    well; for every capitalised word.  Words of text ``i`` are
+    ``ptr[i]:ptr[i+1]``."""
     data, offsets = buffers(texts)
     n = len(data)
     inside = LETTERS[data]
@@ -86,7 +95,7 @@ def templates(texts: pa.Array):
     folded = data.copy()  # capitals beyond A-Z: U+00C0-U+00DE
     folded[1:][(data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)] += 0x20
     values = hash_spans(folded, starts, ends)
-    template = values.copy()
+    plain, template, wide = values.copy(), values.copy(), values.copy()
     if len(starts):
         marks = np.concatenate([[0], np.cumsum(digit | point)])
         number = (marks[ends] - marks[starts] == ends - starts) | _among(values, _NUMBER_HASHES)
@@ -96,13 +105,22 @@ def templates(texts: pa.Array):
         then = np.where(other_first, starts + 2, starts + 1)
         small = (byte(then) >= 97) & (byte(then) <= 122) | (byte(then) == 0xC3) & (byte(then + 1) >= 0xA0)
         capital = (ascii_first | other_first) & small  # a word all in capitals is no name
-        stops = np.concatenate([[0], np.cumsum(np.isin(data, list(b'.!?:;"\n')))])
+        stops = np.concatenate([[0], np.cumsum(np.isin(data, list(b'.!?:;"')))])
+        lines = np.concatenate([[0], np.cumsum(data == 10)])  # a blank line ends a sentence, a wrapped line does not
         first = np.zeros(len(starts), bool)
         first[ptr[:-1][ptr[:-1] < len(starts)]] = True
-        first[1:] |= stops[starts[1:]] > stops[ends[:-1]]
+        first[1:] |= (stops[starts[1:]] > stops[ends[:-1]]) | (lines[starts[1:]] > lines[ends[:-1]] + 1)
         unit = np.zeros(len(starts), bool)
         unit[1:] = number[:-1] & _among(values[1:], _UNIT_HASHES) & ~first[1:]
-        template[number], template[unit], template[capital & ~first & ~number] = _NUMBER, _UNIT, _NAME
+        for own in (plain, template, wide):
+            own[number], own[unit] = _NUMBER, _UNIT
+        template[capital & ~first & ~number], wide[capital & ~number & ~unit] = _NAME, _NAME
+    return values, plain, template, wide, ptr
+
+
+def templates(texts: pa.Array):
+    """(values, template, ptr) of ``shapes``."""
+    values, _, template, _, ptr = shapes(texts)
     return values, template, ptr
 
 
@@ -110,19 +128,41 @@ def _slots(template: np.ndarray) -> np.ndarray:
     return (template == _NUMBER) | (template == _NAME) | (template == _UNIT)
 
 
-def windows(template: np.ndarray, ptr: np.ndarray):
-    """(hash, text, place) of every window; a shorter text is one window."""
-    n = np.diff(ptr)
-    count = np.where(n >= WIDTH, n - WIDTH + 1, np.minimum(n, 1))
-    text = np.repeat(np.arange(len(n)), count)
-    place = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    at = ptr[text] + place
+def _hashes(template: np.ndarray, ptr: np.ndarray, text: np.ndarray, place: np.ndarray) -> np.ndarray:
+    at, n = ptr[text] + place, np.diff(ptr)[text]
     padded = np.concatenate([template, np.zeros(WIDTH, np.uint64)])
     total = np.zeros(len(at), np.uint64)
     with np.errstate(over="ignore"):
         for k in range(WIDTH):
-            total += np.where(place + k < n[text], padded[at + k], np.uint64(0)) * _WEIGHTS[k]
-    return mix(total), text, place
+            total += np.where(place + k < n, padded[at + k], np.uint64(0)) * _WEIGHTS[k]
+    return mix(total)
+
+
+def windows(ptr: np.ndarray):
+    """(text, place) of every window; a shorter text is one window."""
+    n = np.diff(ptr)
+    count = np.where(n >= WIDTH, n - WIDTH + 1, np.minimum(n, 1))
+    text = np.repeat(np.arange(len(n)), count)
+    return text, np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _inside(marked: np.ndarray, ptr: np.ndarray, text: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """How many marked words each window has."""
+    total = np.concatenate([[0], np.cumsum(marked)])
+    at = ptr[text] + place
+    return total[np.minimum(at + WIDTH, ptr[text + 1])] - total[at]
+
+
+def forms(plain: np.ndarray, template: np.ndarray, wide: np.ndarray, ptr: np.ndarray, text: np.ndarray, place: np.ndarray):
+    """(hash, text, place) of windows in every form that is another one."""
+    h = [_hashes(template, ptr, text, place)]
+    own = [np.arange(len(text))]
+    for other, long in ((plain, 0), (wide, WIDTH)):
+        some = np.flatnonzero((_inside(other != template, ptr, text, place) > 0) & (np.diff(ptr)[text] >= long))
+        h.append(_hashes(other, ptr, text[some], place[some]))
+        own.append(some)
+    own = np.concatenate(own)
+    return np.concatenate(h), text[own], place[own]
 
 
 class Items:
@@ -130,17 +170,16 @@ class Items:
 
     def __init__(self, ids: list, texts: pa.Array):
         self.ids = ids
-        self.values, self.template, self.ptr = templates(texts)
-        h, text, place = windows(self.template, self.ptr)
-        slots = np.concatenate([[0], np.cumsum(_slots(self.template))])
-        last = np.minimum(self.ptr[text] + place + WIDTH, self.ptr[text + 1])
-        plain = 2 * (slots[last] - slots[self.ptr[text] + place]) <= WIDTH
-        any_plain = np.bincount(text, plain, len(ids)) > 0
-        used = plain | ~any_plain[text]
-        h, text, place = h[used], text[used], place[used]
+        self.values, plain, template, self.template, self.ptr = shapes(texts)
+        text, place = windows(self.ptr)
+        few = 2 * _inside(_slots(template), self.ptr, text, place) <= WIDTH
+        any_few = np.bincount(text, few, len(ids)) > 0
+        used = few | ~any_few[text]
+        text, place = text[used], place[used]
+        self.total = np.bincount(text, minlength=len(ids))
+        h, text, place = forms(plain, template, self.template, self.ptr, text, place)
         order = np.argsort(h, kind="stable")
         self.h, self.text, self.place = h[order], text[order], place[order]
-        self.total = np.bincount(text, minlength=len(ids))
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.h >> np.uint64(44)).astype(np.int64)] = True
 
@@ -210,8 +249,8 @@ class Items:
     def find(self, texts: pa.Array) -> list[list[tuple]]:
         """Per text the (item id, share of its windows) of items found."""
         out: list[list[tuple]] = [[] for _ in range(len(texts))]
-        values, template, ptr = templates(texts)
-        h, text, place = windows(template, ptr)
+        values, plain, template, wide, ptr = shapes(texts)
+        h, text, place = forms(plain, template, wide, ptr, *windows(ptr))
         mine, theirs = self.hits(h)
         if not len(mine):
             return out
@@ -219,6 +258,9 @@ class Items:
         item, q = self.text[theirs], self.place[theirs]
         order = np.lexsort((q, spot, item, doc))
         doc, spot, item, q = doc[order], spot[order], item[order], q[order]
+        once = np.ones(len(doc), bool)  # a pair may meet in several forms
+        once[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (spot[1:] != spot[:-1]) | (q[1:] != q[:-1])
+        doc, spot, item, q = doc[once], spot[once], item[once], q[once]
         new = np.ones(len(doc), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
         begins = np.flatnonzero(new)

@@ -204,3 +204,20 @@ def test_holes_do_not_cut_an_item(prose):
     items = Items([0, 1], pa.array([table, plain]))
     found = items.find(pa.array([table, inserted, other, half]))
     assert [[i for i, _ in own] for own in found] == [[0], [1], [0], []]
+
+
+def test_case_wrapping_and_names_that_open_sentences():
+    question = "Tom has 3 apples. Tom gives 2 to Mary Jones. How many apples does he have left after that? Tom then buys 7 more of them"
+    german = "Der Mann kauft im Laden am Markt drei Brote und eine Flasche Milch, dann geht er mit seiner Frau nach Hause"
+    items = Items([0, 1], pa.array([question, german]))
+    renamed = question.replace("Tom", "Boris").replace("Mary", "Anna").replace("3", "8")
+    # another name where the item repeats one
+    mixed = question.replace("Tom has", "Boris has").replace("Tom then", "Carl then")
+    texts = [question.upper(), question.lower(), question.replace(" ", "\n"), renamed, renamed.replace(" ", "\n"), german.upper(), german.lower()]
+    wrapped = ["\n".join(german.split(" ")), "Intro. " + german.replace("Markt", "Bahnhof")]
+    found = items.find(pa.array(texts + wrapped + [question.lower().replace("3", "9"), mixed]))
+    assert [[i for i, _ in own] for own in found] == [[0]] * 5 + [[1]] * 4 + [[0], []]
+    # and the other way round: the item in another case than the document
+    assert [[i for i, _ in own] for own in Items([5], pa.array([question.upper()])).find(pa.array([question, german]))] == [[5], []]
+    # the word that opens a very short text is no name
+    assert Items([6], pa.array(["Tiny item"])).find(pa.array(["Other item", "tiny ITEM"])) == [[], [(6, 1.0)]]
