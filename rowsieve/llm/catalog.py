@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from rowsieve.llm import chat, decontaminate, fingerprints, packing, pii, quality, sharding, toxicity, warc
+from pyspark.sql import functions as F
+
+from rowsieve.llm import chat, decontaminate, fingerprints, hard_negatives, packing, pii, quality, sharding, toxicity, urls, warc, whitening
 from rowsieve.llm.near_dedup import near_duplicates
 from rowsieve.llm.tables import read
 
@@ -69,6 +71,38 @@ def op10_toxicity_compression_distance(spark, sf_dir):
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+#: Rules of the URL filter: verdict, host (with its subdomains), path prefix.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+#: Hosts whose names hold one of these words are on the list.
+LISTED_HOSTS = ("casino", "pills")
+
+
+def op11_bloom_cascade_url_filter(spark, sf_dir):
+    """Verdict on every url of ``pages``: rules, and the list of addresses on
+    hosts with listed words, compiled into one cascade."""
+    pages = read(spark, sf_dir, "pages")
+    return urls.judge(pages, URL_RULES, urls.addresses_on(pages, LISTED_HOSTS))
+
+
+def op12_embedding_whitening(spark, sf_dir):
+    """Whole ``embeddings`` on the 32 leading components of their covariance."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), 32)
+
+
+def op13_rtree_hard_negatives(spark, sf_dir):
+    """Hard negatives of every anchor of ``embeddings`` (ids divisible by 50)
+    among all rows; ids divisible by 7 take the next label."""
+    vec_id, label = F.col("vec_id").cast("long"), F.col("label").cast("long")
+    label = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,6 +116,9 @@ QUERIES = {
         op8_seekable_warc,
         op9_template_decontamination,
         op10_toxicity_compression_distance,
+        op11_bloom_cascade_url_filter,
+        op12_embedding_whitening,
+        op13_rtree_hard_negatives,
     )
 }
 
@@ -103,4 +140,43 @@ least AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
 SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, c AS component_id, doc_id = c AS kept FROM rows JOIN least ON id = doc_id
 """
 
-ORACLE_SQL = {"op1_minhash_near_dedup": _OP1_SQL}
+#: Hosts, paths and rules written out; membership in the list is the predicate that made it.
+_OP11_SQL = """
+WITH rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (
+  SELECT page_id,
+    translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(r, length(regexp_extract(r, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM rest),
+rules(verdict, h, p) AS (VALUES
+  ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fitting AS (
+  SELECT DISTINCT host, path, arg_max(h || p, length(h || p)) OVER same AS rule, arg_max(verdict, length(h || p)) OVER same AS verdict
+  FROM (SELECT DISTINCT host, path FROM parts) JOIN rules
+    ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  WINDOW same AS (PARTITION BY host, path))
+SELECT page_id, parts.host, parts.path, rule,
+  coalesce(verdict, CASE WHEN contains(parts.host, 'casino') OR contains(parts.host, 'pills') THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN fitting ON parts.host = fitting.host AND parts.path = fitting.path
+"""
+
+#: Every anchor against all rows.
+_OP13_SQL = """
+WITH rows AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scores AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS s
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (SELECT a, b, s FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
+negatives AS (
+  SELECT p.a AS anchor_id, p.b AS positive_id, n.b AS negative_id, p.s AS positive_score, n.s AS negative_score
+  FROM positives p JOIN scores n ON p.a = n.a AND NOT n.same AND 50 * p.s <= 100 * n.s AND 100 * n.s <= 95 * p.s)
+SELECT *, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) AS INTEGER) AS rank
+FROM negatives QUALIFY rank <= 3
+"""
+
+ORACLE_SQL = {"op1_minhash_near_dedup": _OP1_SQL, "op11_bloom_cascade_url_filter": _OP11_SQL, "op13_rtree_hard_negatives": _OP13_SQL}
