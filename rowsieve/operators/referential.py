@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowsieve.functions.columns import TEXT, column_ref, column_type
-from rowsieve.plans.joins import DEFAULT, JoinPolicy, Sized, hot_keys, sized_side, skew_split_join
+from rowsieve.plans.joins import DEFAULT, JoinPolicy, Sized, attach_found, sized_side
 from rowsieve.rules import RuleError
 
 _EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
@@ -101,36 +101,9 @@ def attach_reference_hit(
             if sizes is not None:
                 sizes[flag] = Sized(sized.frame, False, 0, 0, sized.cached, "empty")
             return work.withColumn(flag, F.lit(None).cast("boolean")), present, has_null
-    keyed = work.withColumn(probe, _value(src, column, kind))
     keys = sized.frame.where(F.col(probe).isNotNull()).withColumn(flag, F.lit(True))
-    if not policy.probe or sized.broadcast:
-        joined = keyed.join(sized.side(keys), on=[probe], how="left")
-    else:
-        # large reference: shuffle join; values holding many input rows are
-        # resolved on the map side so no task receives a hot value's rows
-        marker, hot_hit = f"{flag}_h", f"{flag}_hh"
-        values = src.select(_value(src, column, kind).alias(probe)).where(F.col(probe).isNotNull())
-        counted = values.groupBy(probe).agg(F.count(F.lit(1)).alias("__rs_n")).where(F.col("__rs_n") > policy.heavy_key_rows)
-        counted = sized_side(counted, policy, sizes=sizes)
-        hot = hot_keys(counted.frame, "__rs_n", policy, sizes)
-        heavy = None
-        if hot is not None:
-            hot = replace(hot, frame=hot.frame.select(probe), cached=counted.cached)
-            hits = keys.join(F.broadcast(hot.frame), on=[probe], how="inner").select(probe, F.lit(True).alias(hot_hit))
-            heavy = hot.frame.join(F.broadcast(hits), on=[probe], how="left").select(
-                probe, F.lit(True).alias(marker), F.col(hot_hit)
-            )
-        elif counted.cached is not None:
-            counted.cached.unpersist()
-        joined = skew_split_join(keyed, [probe], keys, heavy, marker, f"{flag}_s", src.columns)
-        if heavy is not None:
-            joined = joined.withColumn(
-                flag, F.when(F.col(marker).isNotNull(), F.col(hot_hit)).otherwise(F.col(flag))
-            ).drop(marker, hot_hit)
-        sized = Sized(sized.frame, False, sized.rows, sized.bytes, sized.cached, "shuffle" if hot is None else "shuffle+split", hot)
-    if sizes is not None:
-        sizes[flag] = sized
-    return joined.drop(probe), present, has_null
+    joined = attach_found(work, src, {probe: _value(src, column, kind)}, replace(sized, frame=keys), flag, flag, policy, sizes)
+    return joined, present, has_null
 
 
 def orphan_predicate(value: Column, hit: Column, present: Column, has_null: Column) -> Column:

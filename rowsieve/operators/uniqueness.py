@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowsieve.functions.columns import column_ref, column_type
-from rowsieve.plans.joins import DEFAULT, JoinPolicy, Sized, hot_keys, sized_side, skew_split_join
+from rowsieve.plans.joins import DEFAULT, JoinPolicy, attach_found, sized_side
 
 _LONG = (T.StringType, T.VarcharType, T.CharType, T.BinaryType)
 
@@ -59,30 +59,9 @@ def attach_duplicate_flag(
     duplicated in ``source``.  ``work`` must have the same rows as
     ``source`` (it is ``source`` with helper columns added)."""
     aliases = [f"{flag}_k{i}" for i in range(len(keys))]
-    sized = sized_side(duplicate_keys(source, keys, aliases), policy, sizes=sizes)
-    if policy.probe and sized.rows == 0:  # no duplicates: nothing to join
-        if sizes is not None:
-            sizes[flag] = Sized(sized.frame, False, 0, 0, sized.cached, "empty")
-        return work.withColumn(flag, F.lit(None).cast("boolean"))
-    keyed = work.withColumns({a: key_value(source, k) for k, a in zip(keys, aliases)})
-    dups = sized.frame
-    if not policy.probe or sized.broadcast:
-        side = sized.side(dups.select(*aliases, F.lit(True).alias(flag)))
-        joined = keyed.join(side, on=aliases, how="left")
-    else:
-        # too many duplicate keys to broadcast: shuffle join, hot keys split off
-        marker = f"{flag}_h"
-        hot = hot_keys(dups, "__rs_n", policy, sizes)
-        heavy = None if hot is None else hot.frame.select(*aliases, F.lit(True).alias(marker))
-        joined = skew_split_join(
-            keyed, aliases, dups.select(*aliases, F.lit(True).alias(flag)), heavy, marker, f"{flag}_s", source.columns
-        )
-        if heavy is not None:
-            joined = joined.withColumn(flag, F.coalesce(F.col(marker), F.col(flag))).drop(marker)
-        sized = Sized(dups, False, sized.rows, sized.bytes, sized.cached, "shuffle" if hot is None else "shuffle+split", hot)
-    if sizes is not None:
-        sizes[flag] = sized
-    return joined.drop(*aliases)
+    sized = sized_side(duplicate_keys(source, keys, aliases).withColumn(flag, F.lit(True)), policy, sizes=sizes)
+    values = {a: key_value(source, k) for k, a in zip(keys, aliases)}
+    return attach_found(work, source, values, sized, flag, flag, policy, sizes, count="__rs_n")
 
 
 def duplicates(df: DataFrame, keys: Sequence[str], policy: JoinPolicy = DEFAULT, sizes: dict | None = None) -> DataFrame:

@@ -17,17 +17,19 @@ it is broadcast only after it is measured:
 Skew: one key may hold a third of all rows, and NULL keys all hash to one
 partition.  AQE's skew-join split does not apply here (it needs both join
 inputs to be plain shuffle stages; the helper side is an aggregate), so the
-split is explicit.  Keys with many rows are answered by a broadcast join on
-the map side: all keys over ``heavy_key_rows`` rows, or, if these are too
-many to broadcast, those over the smallest doubling of it whose keys fit, so
-the hottest keys are always split off.  Rows whose key is hot or NULL then
-get a salt from their own content, so they scatter over the shuffle
-partitions and match nothing in the shuffle join, which only carries light
-keys.  The salt is the same whenever a task runs again, whatever order its
-rows come in.
+split is explicit.  Keys with more than ``heavy_key_rows`` rows are answered
+by a broadcast join on the map side; if they are too many to broadcast, the
+hottest ones that fit are, so a key left over holds at most as many rows as
+any of these.  Rows whose key is hot or NULL then get a salt, so they scatter
+over the shuffle partitions and match nothing in the shuffle join, which only
+carries light keys.  The salt is the row's place in its file (so equal rows
+scatter as well, and no other column is read) or, where the input is no
+Parquet scan, a hash of its content.  Either is the same whenever a task runs
+again, whatever order its rows come in.
 
 All helper sets of one validation share one broadcast budget
-(``broadcast_max_bytes``).
+(``broadcast_max_bytes``).  Hot keys do not depend on what is left of it: each
+shuffle join may broadcast ``hot_bytes`` of them on top.
 
 ``LAZY`` skips all probes and builds one lazy plan (no job at build time);
 joins are then left entirely to Spark, without the explicit skew split: a
@@ -36,10 +38,12 @@ hot key's rows meet in one task.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +57,11 @@ class JoinPolicy:
     broadcast_max_bytes: int = 32 << 20
     heavy_key_rows: int = 1_000_000
 
+    @property
+    def hot_bytes(self) -> int:
+        """Bytes of hot keys that every shuffle join may broadcast."""
+        return max(self.broadcast_max_bytes // 16, 4096)
+
 
 DEFAULT = JoinPolicy()
 LAZY = JoinPolicy(probe=False, materialize=False)
@@ -134,10 +143,7 @@ def broadcast_disabled(side: DataFrame) -> bool:
 
 def budget_left(policy: JoinPolicy, sizes: dict | None) -> int:
     """Bytes that the helper sets measured so far leave to broadcast."""
-    spent = 0
-    for sized in (sizes or {}).values():
-        spent += sized.bytes if sized.broadcast and sized.bytes else 0
-        spent += sized.hot.bytes if sized.hot is not None and sized.hot.bytes else 0
+    spent = sum(s.bytes for s in (sizes or {}).values() if s.broadcast and s.bytes)
     return max(0, policy.broadcast_max_bytes - spent)
 
 
@@ -158,21 +164,32 @@ def sized_side(side: DataFrame, policy: JoinPolicy = DEFAULT, materialize: bool
     return Sized(side, small, n, nbytes, cached, "broadcast" if small else "shuffle")
 
 
-def hot_keys(counted: DataFrame, count: str, policy: JoinPolicy, sizes: dict | None = None) -> Sized | None:
+def hot_keys(counted: DataFrame, count: str, policy: JoinPolicy) -> Sized | None:
     """The keys of ``counted`` to split off a shuffle join, or None if there
-    are none: those with more than ``heavy_key_rows`` rows, or more than the
-    smallest doubling of it whose keys fit the broadcast bounds."""
+    are none: those with more than ``heavy_key_rows`` rows; if they are too
+    many to broadcast, the hottest ones that fit."""
     over = counted.where(F.col(count) > policy.heavy_key_rows)
-    step = F.floor(F.log2((F.col(count) - 1) / F.lit(max(policy.heavy_key_rows, 1)))).cast("int")
-    measured = over.groupBy(step.alias("step")).agg(*_size_columns(over)).collect()  # a row per doubling
-    rows, nbytes, least = 0, 0, None
-    for r in sorted(measured, key=lambda r: -r["step"]):
-        if rows + r["n"] > policy.broadcast_max_rows or nbytes + r["b"] > budget_left(policy, sizes):
-            break
-        rows, nbytes, least = rows + r["n"], nbytes + r["b"], r["step"]
-    if least is None:
+    m = over.agg(*_size_columns(over), F.max(row_bytes(over)).alias("w")).first()
+    if not m["n"]:
+        return None
+    if m["n"] <= policy.broadcast_max_rows and m["b"] <= policy.hot_bytes:
+        return Sized(over, True, m["n"], m["b"], path="hot")
+    fitting = max(1, min(policy.broadcast_max_rows, policy.hot_bytes // m["w"]))
+    rest = [c for c in over.columns if c != count]
+    hottest, cached, m = _materialize(over.orderBy(F.desc(count), *rest).limit(fitting), policy)
+    return Sized(hottest, True, int(m["n"]), int(m["b"] or 0), cached, "hot")
+
+
+def row_place(df: DataFrame) -> Column | None:
+    """A hash of the file and position a row comes from, where Spark knows it
+    (Parquet scans, also below projections and filters)."""
+    if "_metadata" in df.columns:
         return None
-    return Sized(over.where(step >= least), True, rows, nbytes, path="hot")
+    try:
+        df.select("_metadata.file_path", "_metadata.row_index").schema
+    except AnalysisException:
+        return None
+    return F.xxhash64("_metadata.file_path", "_metadata.row_index")
 
 
 def content_hash(df: DataFrame, columns: list[str]) -> Column:
@@ -182,13 +199,13 @@ def content_hash(df: DataFrame, columns: list[str]) -> Column:
     return F.xxhash64(*plain)
 
 
-def salt_expr(spread: Column, keys: list[str], content: Column) -> Column:
+def salt_expr(spread: Column, keys: list[str], place: Column) -> Column:
     """0 for rows that must meet the light join; a positive number made of
-    the row's ``content`` for rows to scatter (``spread`` or any NULL key
+    the row's ``place`` for rows to scatter (``spread`` or any NULL key
     part).  A scattered row's salt never matters for the result, only where
     the row lands, and it lands there again when its task is run again."""
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    positive = F.pmod(content, F.lit(2**62)) + F.lit(1)
+    positive = F.pmod(place, F.lit(2**62)) + F.lit(1)
     return F.when(spread | any_null, positive).otherwise(F.lit(0).cast("bigint"))
 
 
@@ -205,17 +222,20 @@ def skew_split_join(
 
     ``heavy`` (same key names, a non-NULL ``heavy_marker`` column, bounded)
     is broadcast-joined first; rows it marks, and rows with a NULL key part,
-    get a non-zero salt from their ``content`` columns, spreading them over
-    the shuffle partitions, while ``light`` rows carry salt 0 — so those rows
-    pass through the shuffle join unmatched and no split-off key gathers in
-    one task.
+    get a non-zero salt from their place in the input (from their ``content``
+    columns where that is unknown), spreading them over the shuffle
+    partitions, while ``light`` rows carry salt 0 — so those rows pass through
+    the shuffle join unmatched and no split-off key gathers in one task.
     """
+    place = row_place(work)
+    place = content_hash(work, content) if place is None else place
+    work = work.withColumn(f"{salt}p", place)
     if heavy is not None:
         work = work.join(F.broadcast(heavy), on=keys, how="left")
         spread = F.col(heavy_marker).isNotNull()
     else:
         spread = F.lit(False)
-    work = work.withColumn(salt, salt_expr(spread, keys, content_hash(work, content)))
+    work = work.withColumn(salt, salt_expr(spread, keys, F.col(f"{salt}p"))).drop(f"{salt}p")
     # The light side's salt is 0, but must not be a literal: Catalyst would
     # propagate the constant, turn the salt equality into a plain filter and
     # hash the shuffle on the key alone (every hot row back on one task).
@@ -223,3 +243,57 @@ def skew_split_join(
     # equi-join key and the shuffle is partitioned by both.
     light = light.withColumn(salt, (F.spark_partition_id() * F.lit(0)).cast("bigint"))
     return work.join(light, on=[*keys, salt], how="left").drop(salt)
+
+
+def attach_found(
+    work: DataFrame,
+    source: DataFrame,
+    keys: Mapping[str, Column],
+    found: Sized,
+    value: str,
+    flag: str,
+    policy: JoinPolicy = DEFAULT,
+    sizes: dict | None = None,
+    count: str | None = None,
+) -> DataFrame:
+    """``work`` plus ``flag``: the ``value`` of the row of ``found`` with the
+    same keys, or NULL.  ``keys`` maps the key columns of ``found`` (distinct,
+    a measured helper set) to expressions over ``source``, whose rows ``work``
+    has.  ``count`` names a column of ``found`` with the input's rows per key,
+    where it has one for all hot keys; otherwise ``source`` is counted, only
+    if the set is too large to broadcast."""
+    names = list(keys)
+    kind = found.frame.schema[value].dataType
+    if policy.probe and found.rows == 0:  # nothing to join
+        if sizes is not None:
+            sizes[flag] = Sized(found.frame, False, 0, 0, found.cached, "empty")
+        return work.withColumn(flag, F.lit(None).cast(kind))
+    keyed = work.withColumns(dict(keys))
+    side = found.frame.select(*names, F.col(value).alias(flag))
+    if not policy.probe or found.broadcast:
+        joined, sized = keyed.join(found.side(side), on=names, how="left"), found
+    else:
+        # too many keys to broadcast: shuffle join, hot keys split off
+        marker, hit, cached = f"{flag}_h", f"{flag}_hh", None
+        if count is None:
+            present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in names])
+            counted = source.select(*[c.alias(k) for k, c in keys.items()]).where(present).groupBy(*names).agg(F.count(F.lit(1)).alias("__rs_n"))
+            measured = sized_side(counted.where(F.col("__rs_n") > policy.heavy_key_rows), policy)
+            hot, cached = hot_keys(measured.frame, "__rs_n", policy), measured.cached
+        else:
+            hot = hot_keys(found.frame.select(*names, count), count, policy)
+        heavy = None
+        if hot is not None:
+            hottest = hot.frame.select(*names)
+            hits = side.join(F.broadcast(hottest), on=names, how="inner").withColumnRenamed(flag, hit)
+            heavy = hottest.join(F.broadcast(hits), on=names, how="left").select(*names, F.lit(True).alias(marker), hit)
+        joined = skew_split_join(keyed, names, side, heavy, marker, f"{flag}_s", source.columns)
+        if heavy is not None:
+            joined = joined.withColumn(flag, F.when(F.col(marker).isNotNull(), F.col(hit)).otherwise(F.col(flag))).drop(marker, hit)
+            hot = replace(hot, cached=hot.cached or cached)
+        elif cached is not None:
+            cached.unpersist()
+        sized = replace(found, broadcast=False, path="shuffle" if hot is None else "shuffle+split", hot=hot)
+    if sizes is not None:
+        sizes[flag] = sized
+    return joined.drop(*names)

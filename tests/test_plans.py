@@ -2,6 +2,7 @@
 push-down reach the scan, broadcast only under a measured bound, AQE
 splits a skewed join, codegen covers the verdict."""
 
+import re
 import time
 
 import pytest
@@ -316,3 +317,72 @@ def test_helper_sets_share_one_broadcast_budget(spark):
     tight = validate(docs, rules, policy=JoinPolicy(broadcast_max_bytes=first))
     assert tight.join_plan()["__rs_dup0"]["path"] == "broadcast" and not tight.join_plan()["__rs_dup1"]["broadcast"]
     assert sorted(map(str, tight.flagged.collect())) == sorted(map(str, whole.flagged.collect()))
+
+
+def test_hot_keys_are_split_when_the_shared_budget_is_spent(spark):
+    """A first rule's set fills the budget; the second rule's hot key is split off all the same."""
+    ev = hot_events(spark)
+    rules = [{"name": n, "type": "unique_check", "column": c, "priority": 1} for n, c in (("t", "event_type"), ("u", "hot_user"))]
+    first = validate(ev, rules).join_plan()["__rs_dup0"]["bytes"]
+    tight = validate(ev, rules, policy=JoinPolicy(broadcast_max_bytes=first, heavy_key_rows=1_000))
+    assert [v["path"] for v in tight.join_plan().values()] == ["broadcast", "shuffle+split"]
+    assert tight.helpers["__rs_dup1"].hot.rows == 1
+    assert sorted(map(tuple, tight.flagged.collect())) == sorted(map(tuple, validate(ev, rules).flagged.collect()))
+
+
+def test_twenty_equally_hot_keys_over_the_bound_are_split(spark):
+    """More hot keys of one size than may be broadcast: as many as fit are split off."""
+    ev = table(spark, SF01, "events").withColumn("k", F.col("event_id") % 20)
+    rule = [{"name": "u", "type": "unique_check", "column": "k", "priority": 1}]
+    split = validate(ev, rule, policy=JoinPolicy(broadcast_max_rows=10, heavy_key_rows=100))
+    (helper,) = split.helpers.values()
+    assert helper.path == "shuffle+split" and helper.hot.rows == 10
+    assert sorted(map(tuple, split.flagged.collect())) == sorted(map(tuple, validate(ev, rule).flagged.collect()))
+
+
+@pytest.fixture
+def no_small_broadcasts(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_equal_rows_scatter_by_their_place(spark, tmp_out, no_small_broadcasts):
+    """20,000 equal rows of 60,000 in one column: no reducer gets more than twice the median."""
+    from rowsieve.plans.joins import row_place, salt_expr
+
+    path = f"{tmp_out}/equal"
+    spark.range(60_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 25_000).alias("k")).repartition(4).write.parquet(path)
+    df = spark.read.parquet(path)
+    salted = df.withColumn("s", salt_expr(F.col("k") == -1, ["k"], row_place(df)))
+    sizes = sorted(r["n"] for r in salted.repartition(16, "k", "s").groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect())
+    assert len(sizes) == 16 and sizes[-1] < 2 * sizes[8]
+    rule = [{"name": "u", "type": "unique_check", "column": "k", "priority": 1}]
+    split = validate(df, rule, policy=SPLIT)
+    assert next(iter(split.join_plan().values()))["path"] == "shuffle+split"
+    assert split.quality_stats()["rule_violations"] == validate(df, rule).quality_stats()["rule_violations"]
+
+
+def test_shuffle_path_reads_only_the_rule_s_column(spark, no_small_broadcasts):
+    docs = table(spark, SF01, "documents")
+    for rule, refs in (
+        ({"name": "u", "type": "unique_check", "column": "lang", "priority": 1}, None),
+        ({"name": "r", "type": "referential_integrity", "column": "lang", "reference_table": "t", "reference_column": "source", "priority": 1}, {"t": docs.select("source")}),
+    ):
+        wide = validate(docs, [rule], refs=refs, policy=JoinPolicy(broadcast_max_rows=1, heavy_key_rows=10))
+        assert next(iter(wide.join_plan().values()))["path"] == "shuffle+split"
+        plan = pi.physical(wide.counts)
+        assert "SortMergeJoin" in plan
+        read = set(re.findall(r"ReadSchema: struct<(.*?)>", plan))
+        assert read == {"lang:string,_tmp_metadata_row_index:bigint"}  # the row's number is counted, not read
+        assert wide.counts.collect() == validate(docs, [rule], refs=refs).counts.collect()
+
+
+def test_rows_of_no_file_are_salted_by_content(spark):
+    from rowsieve.plans.joins import row_place
+
+    ev = table(spark, SF01, "events")
+    assert row_place(ev.where("value > 1").select("user_id")) is not None
+    assert row_place(spark.range(5).toDF("k")) is None and row_place(ev.groupBy("user_id").count()) is None
+    assert row_place(ev.select(F.lit(1).alias("_metadata"))) is None
