@@ -27,6 +27,13 @@ from pyspark.sql import types as T
 
 from rowsieve.functions.columns import column_ref, column_type
 from rowsieve.functions.predicates import violation
+from rowsieve.operators.ordered import (
+    Periods,
+    attach_ambiguity_flag,
+    attach_dependency_bound,
+    attach_sequence_flag,
+    attach_uncovered_flag,
+)
 from rowsieve.operators.outliers import zscore_predicate
 from rowsieve.operators.referential import attach_reference_hit, match_type, orphan_predicate
 from rowsieve.operators.uniqueness import attach_duplicate_flag
@@ -54,11 +61,42 @@ def _check_columns(df: DataFrame, rules: RuleSet) -> None:
         if rule.type == "cross_column":
             continue
         names = list(rule.get("columns") or []) or [rule.get("column")]
+        names += [*(rule.get("key_columns") or []), rule.get("order_column")]
         missing = [n for n in names if n is not None and column_type(df, n) is None]
         if missing:
             raise RuleError(f"Rule {rule.name!r}: column(s) {missing} not in the input {df.columns}")
 
 
+def _sequence(work, df, rule, ref, flag, policy, sizes):
+    keys, bounds = rule.get("key_columns") or (), (rule.get("min_step"), rule.get("max_step"))
+    work = attach_sequence_flag(work, df, keys, rule.require("order_column"), rule.require("column"), *bounds, flag, policy, sizes)
+    return work, F.col(flag).isNotNull()
+
+
+def _order(work, df, rule, ref, flag, policy, sizes):
+    column = rule.require("column")
+    work = attach_dependency_bound(work, df, rule.get("key_columns") or (), rule.require("order_column"), column, flag, policy, sizes)
+    return work, F.col(column_ref(df, column)) < F.col(flag)
+
+
+def _functional(work, df, rule, ref, flag, policy, sizes):
+    return attach_ambiguity_flag(work, df, rule.require("key_columns"), rule.require("column"), flag, policy, sizes), F.col(flag).isNotNull()
+
+
+def _interval(work, df, rule, ref, flag, policy, sizes):
+    named = [*(rule.get("reference_key_columns") or ()), rule.require("from_column"), *([rule.get("to_column")] if rule.get("to_column") else [])]
+    missing = [c for c in named if column_type(ref, c) is None]
+    if missing:
+        raise RuleError(f"Rule {rule.name!r}: column(s) {missing} not in {rule.require('reference_table')!r} {ref.columns}")
+    periods = Periods(ref, tuple(rule.get("reference_key_columns") or ()), rule.require("from_column"), rule.get("to_column"), rule.get("max_duration"))
+    work = attach_uncovered_flag(work, df, rule.get("key_columns") or (), rule.require("column"), periods, flag, policy, sizes)
+    return work, F.col(flag).isNotNull()
+
+
+#: Rules over ordered rows: how each is attached, and its violation.
+ORDERED = {"sequence_check": _sequence, "order_dependency": _order, "functional_dependency": _functional, "interval_reference": _interval}
+
+
 def build_flags(
     df: DataFrame,
     rules: RuleSet,
@@ -106,6 +144,11 @@ def build_flags(
                 ref_flag[key] = (flag, present, has_null)
             flag, present, has_null = ref_flag[key]
             predicates.append(orphan_predicate(F.col(column_ref(df, column)), F.col(flag), present, has_null))
+        elif rule.type in ORDERED:
+            flag = f"{HELPER_PREFIX}ord{len(predicates)}"
+            ref = _resolve_reference(df, rule, refs) if rule.type == "interval_reference" else None
+            work, predicate = ORDERED[rule.type](work, df, rule, ref, flag, policy, sizes)
+            predicates.append(predicate)
         elif rule.type == "statistical":
             predicates.append(
                 zscore_predicate(df, rule.require("column"), rule.require("threshold"))

@@ -36,6 +36,11 @@ RULE_TYPES = (
     "time_difference",
     "completeness_check",
     "time_range",
+    # dataset rules of ours
+    "sequence_check",
+    "order_dependency",
+    "functional_dependency",
+    "interval_reference",
 )
 
 DURATION_UNITS = {"SECONDS": 1, "MINUTES": 60, "HOURS": 3600, "DAYS": 86400}
@@ -70,6 +75,13 @@ FIELD_TYPES: dict[str, tuple[type, ...]] = {
     "expect": (str,),  # cross_column: the expectation; violation = NOT expect
     "min_time": (str,),  # time_range bounds, HH:mm:ss
     "max_time": (str,),
+    "key_columns": (list, tuple),  # keys of sequence_check, the two dependencies, interval_reference
+    "order_column": (str,),
+    "min_step": _NUM,
+    "max_step": _NUM,
+    "reference_key_columns": (list, tuple),
+    "from_column": (str,),
+    "to_column": (str,),
 }
 
 # Rule types evaluated as plain row-local Column expressions.
@@ -90,7 +102,17 @@ ROW_LOCAL_TYPES = frozenset(
     }
 )
 # Rule types that need a dataset-wide aggregate or a join.
-DATASET_TYPES = frozenset({"unique_check", "referential_integrity", "statistical"})
+DATASET_TYPES = frozenset(
+    {
+        "unique_check",
+        "referential_integrity",
+        "statistical",
+        "sequence_check",
+        "order_dependency",
+        "functional_dependency",
+        "interval_reference",
+    }
+)
 
 
 class RuleError(ValueError):
@@ -191,10 +213,10 @@ def _check_field(rule_name: str, key: str, value: Any) -> None:
     if not isinstance(value, accepted):
         names = "/".join(t.__name__ for t in accepted)
         raise RuleError(f"Rule {rule_name!r}: field {key!r} must be {names}, got {value!r}")
-    if key == "columns":
+    if key in ("columns", "key_columns", "reference_key_columns"):
         if len(value) == 0 or not all(isinstance(c, str) and c for c in value):
-            raise RuleError(f"Rule {rule_name!r}: 'columns' must be a non-empty list of names")
-    if key in ("min", "max", "threshold") and isinstance(value, float) and math.isnan(value):
+            raise RuleError(f"Rule {rule_name!r}: {key!r} must be a non-empty list of names")
+    if key in ("min", "max", "threshold", "min_step", "max_step") and isinstance(value, float) and math.isnan(value):
         raise RuleError(f"Rule {rule_name!r}: field {key!r} must not be NaN")
 
 
@@ -266,6 +288,30 @@ def _check_type_fields(rule: Rule) -> None:
         if stat != "z_score":
             raise RuleError(f"Rule {rule.name!r}: unsupported statistic {stat!r} (only 'z_score')")
         rule.require("threshold")
+    elif t == "sequence_check":
+        need_column()
+        rule.require("order_column")
+        low, high = p.get("min_step"), p.get("max_step")
+        if low is None and high is None:
+            raise RuleError(f"Rule {rule.name!r}: give min_step, max_step or both")
+        if low is not None and high is not None and low > high:
+            raise RuleError(f"Rule {rule.name!r}: min_step {low} > max_step {high}")
+    elif t == "order_dependency":
+        need_column()
+        rule.require("order_column")
+    elif t == "functional_dependency":
+        need_column()
+        rule.require("key_columns")
+    elif t == "interval_reference":
+        need_column()
+        rule.require("reference_table")
+        rule.require("from_column")
+        if len(p.get("key_columns") or ()) != len(p.get("reference_key_columns") or ()):
+            raise RuleError(f"Rule {rule.name!r}: as many 'key_columns' as 'reference_key_columns' are needed")
+        if "to_column" in p and "max_duration" in p:
+            raise RuleError(f"Rule {rule.name!r}: give 'to_column' or 'max_duration', not both")
+        if "max_duration" in p:
+            parse_duration(p["max_duration"])
     elif t == "data_type":
         need_column()
         rule.require("expected_type")

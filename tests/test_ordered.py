@@ -1,0 +1,214 @@
+"""Rules over ordered rows against brute force, with hot keys in pieces."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from rowsieve import RuleError, load_rules, validate
+from rowsieve.catalog.queries import table
+from rowsieve.plans import LAZY, JoinPolicy
+from rowsieve.plans import inspect as pi
+
+#: Keys of more than 20 points are cut; sets of more than 5 keys are joined by a shuffle.
+TINY = JoinPolicy(broadcast_max_rows=5, heavy_key_rows=20)
+POLICIES = {"default": JoinPolicy(), "pieces": JoinPolicy(heavy_key_rows=20), "tiny": TINY, "lazy": LAZY}
+
+
+def failed(df, rule, refs=None, policy=None):
+    rule = {"name": "x", "priority": 1, **rule}
+    r = validate(df, [rule], refs=refs, policy=policy or JoinPolicy())
+    return sorted(row.id for row in r.bad.collect())
+
+
+def hot_rows(n=400, seed=1):
+    """A third of the rows under key 7, ties in order and value, NULLs in every column."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        key = 7 if i % 3 == 0 else rng.choice([1, 2, 3, None])
+        rows.append((i, key, rng.choice([None, *range(60)]), rng.choice([None, *range(25)])))
+    return rows
+
+
+SCHEMA = "id int, k int, o int, v int"
+
+
+def step_breaks(rows, least, most):
+    out = []
+    for key in {r[1] for r in rows} - {None}:
+        points = sorted({(o, v) for _, k, o, v in rows if k == key and o is not None and v is not None})
+        bad = {b for a, b in zip(points, points[1:]) if not least <= b[1] - a[1] <= most}
+        out += [i for i, k, o, v in rows if k == key and (o, v) in bad]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("policy", POLICIES)
+def test_sequence_against_brute_force(spark, policy):
+    rows = hot_rows()
+    df = spark.createDataFrame(rows, SCHEMA)
+    rule = {"type": "sequence_check", "key_columns": ["k"], "order_column": "o", "column": "v", "min_step": -3, "max_step": 4}
+    assert failed(df, rule, policy=POLICIES[policy]) == step_breaks(rows, -3, 4)
+
+
+def test_one_sequence_over_the_whole_table_spans_pieces(spark):
+    rows = [(i, 0, i, i + (5 if i >= 100 else 0) - (9 if i >= 150 else 0)) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    rule = {"type": "sequence_check", "order_column": "o", "column": "v", "min_step": 1, "max_step": 1}
+    for policy in POLICIES.values():
+        assert failed(df, rule, policy=policy) == [100, 150]
+
+
+def test_sequence_of_times_text_and_nan(spark):
+    day = dt.date(2024, 1, 1)
+    rows = [(i, day + dt.timedelta(days=i + (3 if i >= 4 else 0)), str(float(i)), float("nan") if i == 2 else float(i)) for i in range(8)]
+    df = spark.createDataFrame(rows, "id int, d date, t string, x double")
+    gap = {"type": "sequence_check", "order_column": "d", "column": "d", "max_step": 86400}
+    assert failed(df, gap) == [4]
+    assert failed(df, {**gap, "column": "t", "max_step": 0.5}) == list(range(1, 8))
+    assert failed(df, {**gap, "column": "x", "max_step": 1}) == [3]  # NaN is unknown: 3 follows 1
+
+
+@pytest.mark.parametrize("policy", POLICIES)
+def test_order_dependency_against_brute_force(spark, policy):
+    rows = hot_rows(seed=2)
+    rows = [(i, k, o, None if v is None or o is None else o // 2 + (v if v > 20 else 0)) for i, k, o, v in rows]
+    df = spark.createDataFrame(rows, SCHEMA)
+    known = [r for r in rows if None not in r]
+    want = [i for i, k, o, v in known if any(k2 == k and o2 < o and v2 > v for _, k2, o2, v2 in known)]
+    rule = {"type": "order_dependency", "key_columns": ["k"], "order_column": "o", "column": "v"}
+    assert failed(df, rule, policy=POLICIES[policy]) == sorted(want) and want
+    anywhere = [i for i, _, o, v in [r for r in rows if r[2] is not None and r[3] is not None] if any(o2 is not None and v2 is not None and o2 < o and v2 > v for _, _, o2, v2 in rows)]
+    assert failed(df, {"type": "order_dependency", "order_column": "o", "column": "v"}, policy=POLICIES[policy]) == sorted(anywhere)
+
+
+@pytest.mark.parametrize("policy", POLICIES)
+def test_functional_dependency_against_brute_force(spark, policy):
+    rows = [(i, k, o, None if v is None else (k or 0) + (v == 3 and k == 7)) for i, k, o, v in hot_rows(seed=3)]
+    rows += [(1000 + i, 100 + i, i % 4, i % 2) for i in range(60)] + [(2000 + i, 100 + i, i % 4, 0) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    values = {}
+    for _, k, _, v in rows:
+        values.setdefault(k, set()).update({v} - {None})
+    want = sorted(i for i, k, _, _ in rows if k is not None and len(values[k]) > 1)
+    assert failed(df, {"type": "functional_dependency", "key_columns": ["k"], "column": "v"}, policy=POLICIES[policy]) == want
+    pairs = {}
+    for _, k, o, v in rows:
+        pairs.setdefault((k, o), set()).update({v} - {None})
+    want = sorted(i for i, k, o, _ in rows if k is not None and o is not None and len(pairs[k, o]) > 1)
+    assert failed(df, {"type": "functional_dependency", "key_columns": ["k", "o"], "column": "v"}, policy=POLICIES[policy]) == want
+
+
+def test_functional_dependency_on_long_text(spark):
+    df = spark.createDataFrame([(1, "a" * 9000, "x"), (2, "a" * 9000, "y"), (3, "b", "x"), (4, "b", None)], "id int, k string, v string")
+    assert failed(df, {"type": "functional_dependency", "key_columns": ["k"], "column": "v"}) == [1, 2]
+
+
+def covered(row, periods):
+    _, k, o, _ = row
+    return any(pk == k and (a is None or a <= o) and (b is None or o < b) for pk, a, b in periods)
+
+
+INTERVAL = {"type": "interval_reference", "column": "o", "key_columns": ["k"], "reference_table": "p", "reference_key_columns": ["pk"], "from_column": "a", "to_column": "b"}
+
+
+@pytest.mark.parametrize("policy", POLICIES)
+def test_intervals_against_brute_force(spark, policy):
+    """Nested, touching, empty, reversed and open periods; one key with a third of rows and periods."""
+    rng = random.Random(4)
+    rows = hot_rows(seed=5)
+    periods = [(7, a, a + rng.choice([0, -2, 1, 1, 2])) for a in range(0, 60, 2)] + [(7, 20, 30), (7, 22, 24), (7, None, 2), (7, None, None)[:2] + (1,)]
+    periods += [(1, 10, 20), (1, 20, 25), (1, 55, None), (2, None, None), (None, 0, 99)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    ref = spark.createDataFrame(periods, "pk int, a int, b int")
+    want = sorted(r[0] for r in rows if r[1] is not None and r[2] is not None and not covered(r, periods))
+    assert failed(df, INTERVAL, {"p": ref}, POLICIES[policy]) == want
+    everyone = {k: v for k, v in INTERVAL.items() if "key" not in k}
+    anyone = [(0, a, b) for _, a, b in periods if b is not None and a is not None and a > 20]
+    want = sorted(r[0] for r in rows if r[2] is not None and not covered((0, 0, r[2], 0), anyone))
+    assert failed(df, everyone, {"p": ref.where("b IS NOT NULL AND a > 20")}, POLICIES[policy]) == want
+
+
+def test_no_period_fails_every_known_time(spark):
+    df = spark.createDataFrame(hot_rows(30), SCHEMA)
+    ref = spark.createDataFrame([], "pk int, a int, b int")
+    assert failed(df, INTERVAL, {"p": ref}) == [r[0] for r in hot_rows(30) if r[1] is not None and r[2] is not None]
+    assert failed(df.limit(0), INTERVAL, {"p": ref}) == []
+
+
+def test_as_of_age_and_open_periods(spark):
+    t = dt.datetime(2024, 5, 1, 12)
+    rows = [(1, "a", t), (2, "a", t + dt.timedelta(hours=2)), (3, "a", t + dt.timedelta(hours=2, microseconds=1)), (4, "a", t - dt.timedelta(seconds=1)), (5, "b", t), (6, None, t)]
+    df = spark.createDataFrame(rows, "id int, k string, at timestamp_ntz")
+    ref = spark.createDataFrame([("a", t), (None, t), ("b", None)], "pk string, seen timestamp_ntz")
+    rule = {"type": "interval_reference", "column": "at", "key_columns": ["k"], "reference_table": "p", "reference_key_columns": ["pk"], "from_column": "seen"}
+    assert failed(df, {**rule, "max_duration": "2 HOURS"}, {"p": ref}) == [3, 4, 5]
+    assert failed(df, rule, {"p": ref}) == [4]  # open for ever; an unknown start is open before
+    days = df.withColumn("at", F.col("at").cast("date"))
+    assert failed(days, {**rule, "max_duration": "1 DAYS"}, {"p": ref}) == [1, 2, 3, 4, 5]
+    with pytest.raises(RuleError):
+        failed(df.withColumn("at", F.lit(1)), {**rule, "max_duration": "1 DAYS"}, {"p": ref})
+
+
+def test_keys_and_periods_kept_as_text(spark):
+    df = spark.createDataFrame([(1, 1, 5, 0), (2, 1, 15, 0), (3, 2, 5, 0)], SCHEMA)
+    ref = spark.createDataFrame([("1", "0", "10"), ("2", "x", "10"), ("2", "0", "y")], "pk string, a string, b string")
+    assert failed(df, INTERVAL, {"p": ref}) == [2, 3]
+
+
+@pytest.mark.parametrize(
+    "rule",
+    [
+        {"type": "sequence_check", "column": "v", "order_column": "o"},
+        {"type": "sequence_check", "column": "v", "max_step": 1},
+        {"type": "sequence_check", "column": "v", "order_column": "o", "min_step": 2, "max_step": 1},
+        {"type": "order_dependency", "column": "v"},
+        {"type": "functional_dependency", "column": "v"},
+        {"type": "functional_dependency", "column": "v", "key_columns": []},
+        {k: v for k, v in INTERVAL.items() if k != "from_column"},
+        {k: v for k, v in INTERVAL.items() if k != "key_columns"},
+        {**INTERVAL, "max_duration": "1 DAYS"},
+    ],
+)
+def test_incomplete_rules_are_refused(rule):
+    with pytest.raises(RuleError):
+        load_rules([{"name": "x", "priority": 1, **rule}])
+
+
+def test_unknown_columns_are_refused(spark):
+    df = spark.createDataFrame(hot_rows(5), SCHEMA)
+    for rule in ({"type": "functional_dependency", "column": "v", "key_columns": ["nope"]}, {"type": "order_dependency", "column": "v", "order_column": "nope"}):
+        with pytest.raises(RuleError):
+            failed(df, rule)
+    with pytest.raises(RuleError):
+        failed(df, {**INTERVAL, "to_column": "nope"}, {"p": spark.createDataFrame([], "pk int, a int, b int")})
+
+
+def test_plans_sort_points_and_never_loop(spark):
+    """No nested loop, no self join of the input, and a scan of the rule's columns only."""
+    ev = table(spark, SF001, "events")
+    from rowsieve.operators.ordered import Periods, dependency_bounds, uncovered_points
+
+    ref = ev.select("user_id", F.col("ts").alias("a"), (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("b"))
+    frames = [
+        uncovered_points(ev, ["user_id"], "ts", Periods(ref, ("user_id",), "a", "b"), ["k", "t"], JoinPolicy(heavy_key_rows=5)),
+        dependency_bounds(ev, ["user_id"], "ts", "event_id", ["k", "t"], "b", JoinPolicy(heavy_key_rows=5)),
+    ]
+    for frame in frames:
+        plan = pi.physical(frame)
+        assert "NestedLoop" not in plan and "Cartesian" not in plan and "props" not in plan
+        assert "Window" in plan and not pi.gathers_raw_rows(plan)
+
+
+def test_a_hot_key_spans_many_tasks(spark):
+    from rowsieve.operators.ordered import PIECE, in_pieces
+
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500 + 10).alias("k"), F.col("id").alias("o"))
+    parts = in_pieces(df, ["k"], ["o"], JoinPolicy(heavy_key_rows=100))
+    found = {r[PIECE]: (r["n"], r["a"], r["b"]) for r in parts.frame.where("k = 7").groupBy(PIECE).agg(F.count("*").alias("n"), F.min("o").alias("a"), F.max("o").alias("b")).collect()}
+    assert len(found) >= 8 and sum(n for n, _, _ in found.values()) == 1000 and max(n for n, _, _ in found.values()) < 300
+    spans = [found[p][1:] for p in sorted(found)]
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    assert parts.frame.where(f"k <> 7 AND {PIECE} <> 0").isEmpty() and parts.frame.count() == 3000
