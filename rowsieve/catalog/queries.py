@@ -1060,3 +1060,181 @@ def q41(spark, sf_dir):
         {"name": "flag", "type": "allowed_values", "column": "flags.`L_ReturnFlag`", "allowed_values": ["N"], "priority": 2},
     ]
     return rejected(validate(df, rules), "l_orderkey", "l_linenumber")
+
+
+# ---------------------------------------------------------------------------
+# Rules over ordered rows (ours): periods, sequences, dependencies
+# ---------------------------------------------------------------------------
+HOT_USER = "CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END"
+
+
+@query(
+    "q42_interval_reference",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, 'price_known' AS failed_rules FROM lineitem l
+       WHERE NOT EXISTS (SELECT 1 FROM lineitem p WHERE p.l_linenumber = 1 AND p.l_partkey = l.l_partkey
+                         AND p.l_shipdate <= l.l_shipdate AND l.l_shipdate < p.l_shipdate + INTERVAL 200 DAY)""",
+)
+def q42(spark, sf_dir):
+    """interval_reference: lines are shipped within a price period of their
+    part (200 days from the ship date of any first line of an order)."""
+    df = table(spark, sf_dir, "lineitem")
+    prices = df.where("l_linenumber = 1").select("l_partkey", F.col("l_shipdate").alias("valid_from"), F.expr("l_shipdate + INTERVAL 200 DAY").alias("valid_to"))
+    rules = [
+        {
+            "name": "price_known",
+            "type": "interval_reference",
+            "column": "l_shipdate",
+            "key_columns": ["l_partkey"],
+            "reference_table": "prices",
+            "reference_key_columns": ["l_partkey"],
+            "from_column": "valid_from",
+            "to_column": "valid_to",
+            "priority": 1,
+        }
+    ]
+    return rejected(validate(df, rules, refs={"prices": prices}), "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+
+
+@query(
+    "q43_as_of_reference",
+    f"""WITH e AS (SELECT *, {HOT_USER} AS who FROM events)
+        SELECT event_id, who, ts, 'viewed_before' AS failed_rules FROM e p
+        WHERE event_type = 'purchase' AND NOT EXISTS (
+          SELECT 1 FROM e v WHERE v.event_type = 'view' AND v.who = p.who AND v.ts <= p.ts AND p.ts <= v.ts + INTERVAL 2 DAY)""",
+)
+def q43(spark, sf_dir):
+    """interval_reference as of a time: a purchase follows a view of the same
+    user by two days at most; one user has a third of all events."""
+    df = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", F.expr(HOT_USER).alias("who"))
+    rules = [
+        {
+            "name": "viewed_before",
+            "type": "interval_reference",
+            "column": "ts",
+            "key_columns": ["who"],
+            "reference_table": "views",
+            "reference_key_columns": ["who"],
+            "from_column": "ts",
+            "max_duration": "2 DAYS",
+            "priority": 1,
+        }
+    ]
+    views = df.where("event_type = 'view'").select("who", "ts")
+    return rejected(validate(df.where("event_type = 'purchase'"), rules, refs={"views": views}), "event_id", "who", "ts")
+
+
+@query(
+    "q44_sequence_gaps",
+    f"""WITH e AS (SELECT event_id, {HOT_USER} AS who, ts FROM events),
+        points AS (SELECT DISTINCT who, ts FROM e),
+        steps AS (SELECT who, ts, epoch(date_trunc('second', ts)) - epoch(date_trunc('second', lag(ts) OVER (PARTITION BY who ORDER BY ts))) AS step FROM points)
+        SELECT event_id, e.who, e.ts, 'no_gap' AS failed_rules FROM e JOIN steps ON e.who = steps.who AND e.ts = steps.ts WHERE step > 86400 * 3""",
+)
+def q44(spark, sf_dir):
+    """sequence_check: no user is silent for more than three days; one user
+    has a third of all events."""
+    df = table(spark, sf_dir, "events").select("event_id", F.expr(HOT_USER).alias("who"), "ts")
+    rules = [{"name": "no_gap", "type": "sequence_check", "key_columns": ["who"], "order_column": "ts", "column": "ts", "max_step": 86400 * 3, "priority": 1}]
+    return rejected(validate(df, rules), "event_id", "who", "ts")
+
+
+@query(
+    "q45_sequence_resets",
+    """WITH points AS (SELECT DISTINCT l_suppkey, l_shipdate, l_quantity FROM lineitem),
+       steps AS (SELECT *, l_quantity - lag(l_quantity) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_quantity) AS step FROM points)
+       SELECT l_orderkey, l_linenumber, concat_ws(',', CASE WHEN step < -45 THEN 'no_reset' END, CASE WHEN step > 46 THEN 'no_jump' END) AS failed_rules
+       FROM lineitem JOIN steps USING (l_suppkey, l_shipdate, l_quantity) WHERE step < -45 OR step > 46""",
+)
+def q45(spark, sf_dir):
+    """sequence_check twice: a supplier's quantities, by ship date, neither fall by more than 45 nor jump by more than 46."""
+    base = {"type": "sequence_check", "key_columns": ["l_suppkey"], "order_column": "l_shipdate", "column": "l_quantity"}
+    rules = [{**base, "name": "no_reset", "min_step": -45, "priority": 1}, {**base, "name": "no_jump", "max_step": 46, "priority": 2}]
+    return rejected(validate(table(spark, sf_dir, "lineitem"), rules), "l_orderkey", "l_linenumber")
+
+
+@query(
+    "q46_functional_dependency",
+    """WITH bad AS (SELECT l_partkey, l_suppkey FROM lineitem GROUP BY ALL HAVING count(DISTINCT l_returnflag) > 1)
+       SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'one_flag' AS failed_rules FROM lineitem JOIN bad USING (l_partkey, l_suppkey)""",
+)
+def q46(spark, sf_dir):
+    """functional_dependency: part and supplier determine the return flag."""
+    rules = [{"name": "one_flag", "type": "functional_dependency", "key_columns": ["l_partkey", "l_suppkey"], "column": "l_returnflag", "priority": 1}]
+    return rejected(validate(table(spark, sf_dir, "lineitem"), rules), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@query(
+    "q47_order_dependency",
+    """SELECT o_orderkey, o_custkey, 'keys_rise' AS failed_rules FROM orders o
+       WHERE EXISTS (SELECT 1 FROM orders p WHERE p.o_custkey = o.o_custkey AND p.o_orderdate < o.o_orderdate AND p.o_orderkey > o.o_orderkey)""",
+)
+def q47(spark, sf_dir):
+    """order_dependency: a customer's later orders have larger keys."""
+    rules = [{"name": "keys_rise", "type": "order_dependency", "key_columns": ["o_custkey"], "order_column": "o_orderdate", "column": "o_orderkey", "priority": 1}]
+    return rejected(validate(table(spark, sf_dir, "orders"), rules), "o_orderkey", "o_custkey")
+
+
+@query(
+    "q48_one_sequence",
+    """SELECT o_orderkey, concat_ws(',', CASE WHEN early THEN 'dates_rise' END, CASE WHEN step > 1 THEN 'keys_follow' END) AS failed_rules
+       FROM (SELECT o_orderkey, max(o_orderdate) OVER before > o_orderdate AS early, o_orderkey - lag(o_orderkey) OVER (ORDER BY o_orderkey) AS step
+             FROM (SELECT * FROM orders WHERE o_orderkey % 7 <> 3)
+             WINDOW before AS (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+       WHERE early OR step > 1""",
+)
+def q48(spark, sf_dir):
+    """Both without keys, the whole table one sequence: order dates rise with
+    the order key, and keys follow on each other (every seventh is taken out)."""
+    rules = [
+        {"name": "dates_rise", "type": "order_dependency", "order_column": "o_orderkey", "column": "o_orderdate", "priority": 1},
+        {"name": "keys_follow", "type": "sequence_check", "order_column": "o_orderkey", "column": "o_orderkey", "max_step": 1, "priority": 2},
+    ]
+    return rejected(validate(table(spark, sf_dir, "orders").where("o_orderkey % 7 <> 3"), rules), "o_orderkey")
+
+
+# ---------------------------------------------------------------------------
+# Counts per segment with subtotals
+# ---------------------------------------------------------------------------
+SEGMENT_RULES = [
+    {"name": "quantity_5_45", "type": "value_range", "column": "l_quantity", "min": 5, "max": 45, "priority": 1, "entity": "line"},
+    {"name": "line_unique", "type": "unique_check", "columns": ["l_partkey", "l_suppkey"], "priority": 2, "entity": "line"},
+    {"name": "low_tax", "type": "value_range", "column": "l_tax", "max": 0.06, "priority": 3},
+]
+_SEGMENT_FLAGS = """
+    WITH f AS (SELECT l_returnflag AS flag, year(l_shipdate) AS shipped, l_quantity < 5 OR l_quantity > 45 AS a,
+                      count(*) OVER (PARTITION BY l_partkey, l_suppkey) > 1 AS b, l_tax > 0.06 AS c FROM lineitem)"""
+
+
+def _segments(spark, sf_dir):
+    return validate(table(spark, sf_dir, "lineitem"), SEGMENT_RULES), {"flag": "l_returnflag", "shipped": F.year("l_shipdate")}
+
+
+@query(
+    "q49_segment_summary",
+    _SEGMENT_FLAGS
+    + """
+    SELECT flag, CAST(shipped AS INTEGER) AS shipped, CAST(GROUPING(flag, shipped) AS BIGINT) AS level, count(*) AS total_records,
+      count(*) FILTER (NOT (a OR b OR c)) AS passed_records, count(*) FILTER (a OR b OR c) AS rejected_records,
+      count(*) FILTER (NOT (a OR b OR c)) / count(*) * 100.0 AS quality_pct
+    FROM f GROUP BY CUBE (flag, shipped)""",
+)
+def q49(spark, sf_dir):
+    """A7 by return flag and ship year, with every subtotal."""
+    result, by = _segments(spark, sf_dir)
+    return result.segment_summary(by, "cube")
+
+
+@query(
+    "q50_segment_violations",
+    _SEGMENT_FLAGS
+    + """,
+    g AS (SELECT flag, CAST(shipped AS INTEGER) AS shipped, CAST(GROUPING(flag, shipped) AS BIGINT) AS level, count(*) AS total_records,
+            count(*) FILTER (a) AS na, count(*) FILTER (b) AS nb, count(*) FILTER (c) AS nc FROM f GROUP BY ROLLUP (flag, shipped))
+    SELECT flag, shipped, level, 'quantity_5_45' AS rule, 'value_range' AS rule_type, 1 AS priority, 'line' AS entity, na AS failed_count, total_records FROM g
+    UNION ALL SELECT flag, shipped, level, 'line_unique', 'unique_check', 2, 'line', nb, total_records FROM g
+    UNION ALL SELECT flag, shipped, level, 'low_tax', 'value_range', 3, NULL, nc, total_records FROM g""",
+)
+def q50(spark, sf_dir):
+    """A6 by return flag and ship year, with totals per flag and over all."""
+    result, by = _segments(spark, sf_dir)
+    return result.segment_violations(by)

@@ -9,6 +9,7 @@ from rowsieve.operators.report import (
     violations_ranking,
     worst_rules,
 )
+from rowsieve.operators.segments import segment_summary, segment_violations
 from rowsieve.operators.stats import (
     exploded,
     failed_rules_summary,
@@ -31,6 +32,8 @@ __all__ = [
     "quality_stats",
     "record_distribution",
     "rejected_sample",
+    "segment_summary",
+    "segment_violations",
     "summary",
     "validate",
     "violations",

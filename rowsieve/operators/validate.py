@@ -303,6 +303,16 @@ class ValidationResult:
 
         return exploded(self, keys)
 
+    def segment_summary(self, by, sets="rollup") -> DataFrame:
+        from rowsieve.operators.segments import segment_summary
+
+        return segment_summary(self, by, sets)
+
+    def segment_violations(self, by, sets="rollup") -> DataFrame:
+        from rowsieve.operators.segments import segment_violations
+
+        return segment_violations(self, by, sets)
+
     def save_rejected(self, base_path: str, mode: str = "errorifexists") -> str:
         """K1; the counts are observed during the write and kept, so a later
         ``quality_stats()`` costs no job."""
