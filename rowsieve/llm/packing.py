@@ -21,12 +21,16 @@ are ignored; an empty table packs into nothing.
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,58 +50,112 @@ class WordEncoder:
     keeps none: a text's ids are its words' ids in order, so each distinct
     word is encoded once and texts are put together from array slices.
 
-    A word of plain lower-case letters is one piece for the model, so it goes
-    to the model at once; a word that ends in one full stop or comma after
-    such letters is that word and that mark; all others take the whole
-    tokenizer.
+    A word of plain lower-case letters (a core) is one piece for the model, so
+    cores go to the model alone, each once, many in a call; a core's last id
+    ends a word, which parts them again.  A word that ends in one full stop or
+    comma after a core is that core and that mark; all others take the whole
+    tokenizer.  A file whose ids do not come out so on ``SAMPLE`` is used as
+    it is: whole texts go through its tokenizer.
     """
 
+    #: Compared with the whole tokenizer before cores or words are taken alone.
+    SAMPLE = "Ab cde, fgh. straße élan. Ülk x, naïvely zzqxj., don't a--b 12 3.5 É ønsket ÿ, the the. Q"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        letters = [*range(0xDF, 0xF7), *range(0xF8, 0x100)]
-        self.bytewise = {c: level.pre_tokenize_str(chr(c))[0][0] for c in letters}
-        self.fold = {c: c + 32 for c in range(65, 91)}
+        # how the model spells a byte of UTF-8; a blank stays
+        spelt = {level.pre_tokenize_str(chr(c))[0][0][i]: b for c in range(0xC0, 0x100) for i, b in enumerate(chr(c).encode())}
+        back = {b: s for s, b in spelt.items()}
+        self.bytewise = "".join(back.get(b, chr(b)) for b in range(256))
         self.plain = re.compile("([A-Za-z\u00df-\u00f6\u00f8-\u00ff]+)([.,]?)").fullmatch
+        rules = json.loads(self.tokenizer.to_str())
+        self.inner = Tokenizer.from_str(json.dumps(rules | {"normalizer": None, "post_processor": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}))
+        suffix, vocabulary = rules["model"].get("end_of_word_suffix") or "", self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for w, i in vocabulary.items() if suffix and w.endswith(suffix)]] = True
+        self.by_core = self.by_word = True
+        words = self.SAMPLE.split(" ")
+        each = [self._whole([w])[0] for w in words]
+        self.by_word = self._whole([self.SAMPLE.replace(" ", "\n")])[0] == [i for ids in each for i in ids]
+        self.forget()
+        if self.by_word:
+            self._learn(words)
+            self.by_core = all(self._ids(self.known[w]) == ids for w, ids in zip(words, each))
         self.forget()
 
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def forget(self):
         self.known: dict[str, int] = {"": 0}
+        self.cores: dict[str, int] = {}
         self.flat, self.starts, self.sizes = array("I"), array("q", [0]), array("q", [0])
 
     def _learn(self, fresh: list[str]) -> None:
-        model, odd = self.tokenizer.model.tokenize, []
-        marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in ".,"} | {"": []}
+        plain, odd = [], []
         for word in fresh:
-            m = self.plain(word)
-            if m is None:
+            m = self.by_core and self.plain(word)
+            if m:
+                core, mark = m.groups()
+                plain.append((word, core.lower(), mark))  # of these letters, lower() changes A to Z alone
+            else:
                 odd.append(word)
-                continue
-            core = m[1].translate(self.fold)
-            self._add(word, [t.id for t in model(core if core.isascii() else core.translate(self.bytewise))] + marks[m[2]])
-        for word, enc in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False)):
-            self._add(word, enc.ids)
-
-    def _add(self, word: str, ids: list[int]) -> None:
-        self.known[word] = len(self.starts)
+        self._learn_cores(list({core for _, core, _ in plain}.difference(self.cores)))
+        marks = {m: self._whole([m])[0] for m in ".,"}
+        for word, core, mark in plain:
+            at = self.cores[core]
+            self.known[word] = self._add([*self._ids(at), *marks[mark]]) if mark else at
+        for word, ids in zip(odd, self._whole(odd)):
+            self.known[word] = self._add(ids)
+
+    def _learn_cores(self, cores: list[str]) -> None:
+        lines = [charmap_decode(" ".join(cores[i : i + 50]).encode(), "strict", self.bytewise)[0] for i in range(0, len(cores), 50)]
+        ids = np.array([i for e in self.inner.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], np.uint32)
+        after = np.flatnonzero(self.ends[ids]) + 1
+        if len(after) != len(cores) or (len(ids) and after[-1] != len(ids)):  # some core does not end in an id that ends words
+            for core in cores:
+                self.cores[core] = self._add(self._whole([core])[0])
+            return
+        first = np.concatenate([[0], after[:-1]]).astype(np.int64) if len(after) else after
+        at, start = len(self.starts), len(self.flat)
+        self.flat.frombytes(ids.tobytes())
+        self.starts.frombytes((first + start).tobytes())
+        self.sizes.frombytes((after - first).tobytes())
+        self.cores.update(zip(cores, range(at, at + len(cores))))
+
+    def _ids(self, at: int) -> list[int]:
+        return self.flat[self.starts[at] : self.starts[at] + self.sizes[at]].tolist()
+
+    def _add(self, ids: list[int]) -> int:
         self.starts.append(len(self.flat))
         self.sizes.append(len(ids))
         self.flat.extend(ids)
+        return len(self.starts) - 1
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        if not self.by_word:
+            return [np.array(ids, np.uint32) for ids in self._whole(pa.array(texts, pa.string()).to_pylist())]
         if len(self.known) > MAX_WORDS:
             self.forget()
-        parts = [text.replace("\n", " ").split(" ") for text in texts]
-        words = [w for own in parts for w in own]
-        self._learn(list(set(words).difference(self.known)))
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        spaced = pc.replace_substring(pa.array(texts, pa.string()), "\n", " ")
+        parts = pc.split_pattern(spaced, " ")
+        words = parts.flatten().dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        at = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(at < 0).tolist()
+        if unknown:
+            fresh = [distinct[i] for i in unknown]
+            self._learn(fresh)
+            at[unknown] = [self.known[w] for w in fresh]
+        at = at[words.indices.to_numpy()]
         sizes = np.frombuffer(self.sizes, np.int64)[at]
         first = np.cumsum(sizes) - sizes
         where = np.arange(int(sizes.sum())) + np.repeat(np.frombuffer(self.starts, np.int64)[at] - first, sizes)
         ids = np.frombuffer(self.flat, np.uint32)[where] if len(where) else np.empty(0, np.uint32)
-        borders = np.append(first, len(where))[np.cumsum([len(own) for own in parts])]
+        borders = np.append(first, len(where))[parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()]
         return np.split(ids, borders[:-1])
 
 
@@ -203,7 +261,7 @@ def _pack_batches(path: str, window: int, end_id: int):
             texts, docs = column(batch, "text"), column(batch, "doc_id")
             for lo, hi in blocks(texts, 2 << 20):
                 done = []
-                encoded = encoder.encode([t or "" for t in texts.slice(lo, hi - lo).to_pylist()])
+                encoded = encoder.encode(texts.slice(lo, hi - lo).fill_null(""))
                 for doc, ids in zip(docs.slice(lo, hi - lo).to_pylist(), encoded):
                     ids = np.concatenate([ids, end])
                     for start in range(0, len(ids), window):
