@@ -198,13 +198,15 @@ def judge(pages: DataFrame, rules: Sequence[Rule], listed: DataFrame | None = No
     rows = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     rule, verdict = longest_rule(rules, F.col("host"), F.col("path"))
     address = F.concat("host", "path").alias("address")
-    flags = rows.select(address, verdict.alias("rule_verdict"), F.lit(True).alias("here"), F.lit(False).alias("on_list"))
+    # whole numbers, so that the universe is one hash aggregate: 2 blocked by a rule, 1 allowed by one, 0 none fits
+    by_rule = F.when(verdict == "block", 2).when(verdict.isNotNull(), 1).otherwise(0)
+    flags = rows.select(address, by_rule.alias("by_rule"), F.lit(1).alias("here"), F.lit(0).alias("on_list"))
     if listed is not None:
         given = listed.select("address").where("address IS NOT NULL")
-        flags = flags.unionByName(given.select("address", F.lit(None).cast("string").alias("rule_verdict"), F.lit(False).alias("here"), F.lit(True).alias("on_list")))
-    keyed = flags.groupBy("address").agg(F.max("rule_verdict").alias("rule_verdict"), F.bool_or("here").alias("here"), F.bool_or("on_list").alias("on_list"))
-    block = F.when(F.col("rule_verdict").isNotNull(), F.col("rule_verdict") == "block").otherwise(F.col("on_list"))
-    cascade = build(pages.sparkSession, keyed.where("here").select("address", block.alias("listed")))
+        flags = flags.unionByName(given.select("address", F.lit(0).alias("by_rule"), F.lit(0).alias("here"), F.lit(1).alias("on_list")))
+    keyed = flags.groupBy("address").agg(*[F.max(c).alias(c) for c in ("by_rule", "here", "on_list")])
+    block = (F.col("by_rule") == 2) | ((F.col("by_rule") == 0) & (F.col("on_list") == 1))
+    cascade = build(pages.sparkSession, keyed.where("here = 1").select("address", block.alias("listed")))
     judged = cascade.mark(rows.select("page_id", "host", "path", address), "address", "listed")
     return judged.select("page_id", "host", "path", rule.alias("rule"), F.when(F.col("listed"), "block").otherwise("allow").alias("verdict"))
 
