@@ -22,7 +22,6 @@ are ignored; an empty table packs into nothing.
 from __future__ import annotations
 
 import json
-import re
 from array import array
 from codecs import charmap_decode
 from collections.abc import Iterator
@@ -70,7 +69,7 @@ class WordEncoder:
         spelt = {level.pre_tokenize_str(chr(c))[0][0][i]: b for c in range(0xC0, 0x100) for i, b in enumerate(chr(c).encode())}
         back = {b: s for s, b in spelt.items()}
         self.bytewise = "".join(back.get(b, chr(b)) for b in range(256))
-        self.plain = re.compile("([A-Za-z\u00df-\u00f6\u00f8-\u00ff]+)([.,]?)").fullmatch
+        self.plain = "^[A-Za-z\u00df-\u00f6\u00f8-\u00ff]+[.,]?$"
         rules = json.loads(self.tokenizer.to_str())
         self.inner = Tokenizer.from_str(json.dumps(rules | {"normalizer": None, "post_processor": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}))
         suffix, vocabulary = rules["model"].get("end_of_word_suffix") or "", self.tokenizer.get_vocab()
@@ -82,80 +81,86 @@ class WordEncoder:
         self.by_word = self._whole([self.SAMPLE.replace(" ", "\n")])[0] == [i for ids in each for i in ids]
         self.forget()
         if self.by_word:
-            self._learn(words)
-            self.by_core = all(self._ids(self.known[w]) == ids for w, ids in zip(words, each))
-        self.forget()
+            self.by_core = [ids.tolist() for ids in self.encode(words)] == each
+            self.forget()
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def forget(self):
+        """Entries (slices of ``flat``) of cores and of all other words; 0 is empty, 1 and 2 are the marks."""
         self.known: dict[str, int] = {"": 0}
         self.cores: dict[str, int] = {}
-        self.flat, self.starts, self.sizes = array("I"), array("q", [0]), array("q", [0])
-
-    def _learn(self, fresh: list[str]) -> None:
-        plain, odd = [], []
-        for word in fresh:
-            m = self.by_core and self.plain(word)
-            if m:
-                core, mark = m.groups()
-                plain.append((word, core.lower(), mark))  # of these letters, lower() changes A to Z alone
-            else:
-                odd.append(word)
-        self._learn_cores(list({core for _, core, _ in plain}.difference(self.cores)))
-        marks = {m: self._whole([m])[0] for m in ".,"}
-        for word, core, mark in plain:
-            at = self.cores[core]
-            self.known[word] = self._add([*self._ids(at), *marks[mark]]) if mark else at
-        for word, ids in zip(odd, self._whole(odd)):
+        self.flat, self.starts, self.sizes = array("I"), array("q"), array("q")
+        for ids in ([], *self._whole([".", ","])):
+            self._add(ids)
+
+    def _add(self, ids: list[int]) -> int:
+        self.starts.append(len(self.flat))
+        self.sizes.append(len(ids))
+        self.flat.extend(ids)
+        return len(self.starts) - 1
+
+    def _learn_words(self, words: list[str]) -> None:
+        for word, ids in zip(words, self._whole(words)):
             self.known[word] = self._add(ids)
 
     def _learn_cores(self, cores: list[str]) -> None:
         lines = [charmap_decode(" ".join(cores[i : i + 50]).encode(), "strict", self.bytewise)[0] for i in range(0, len(cores), 50)]
         ids = np.array([i for e in self.inner.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], np.uint32)
         after = np.flatnonzero(self.ends[ids]) + 1
-        if len(after) != len(cores) or (len(ids) and after[-1] != len(ids)):  # some core does not end in an id that ends words
-            for core in cores:
-                self.cores[core] = self._add(self._whole([core])[0])
+        if len(after) != len(cores) or after[-1] != len(ids):  # some core does not end in an id that ends words
+            for core, own in zip(cores, self._whole(cores)):
+                self.cores[core] = self._add(own)
             return
-        first = np.concatenate([[0], after[:-1]]).astype(np.int64) if len(after) else after
+        first = np.concatenate([[0], after[:-1]])
         at, start = len(self.starts), len(self.flat)
         self.flat.frombytes(ids.tobytes())
         self.starts.frombytes((first + start).tobytes())
         self.sizes.frombytes((after - first).tobytes())
         self.cores.update(zip(cores, range(at, at + len(cores))))
 
-    def _ids(self, at: int) -> list[int]:
-        return self.flat[self.starts[at] : self.starts[at] + self.sizes[at]].tolist()
-
-    def _add(self, ids: list[int]) -> int:
-        self.starts.append(len(self.flat))
-        self.sizes.append(len(ids))
-        self.flat.extend(ids)
-        return len(self.starts) - 1
+    @staticmethod
+    def _look_up(words: pa.Array, known: dict[str, int], learn) -> np.ndarray:
+        """Entries of distinct words; those not yet known are learnt."""
+        each = words.to_pylist()
+        at = np.fromiter(map(known.get, each, repeat(-1)), np.int64, len(each))
+        unknown = np.flatnonzero(at < 0).tolist()
+        if unknown:
+            learn([each[i] for i in unknown])
+            at[unknown] = [known[each[i]] for i in unknown]
+        return at
+
+    def _entries(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(entry, entry of a mark after it or 0) of distinct words."""
+        if not self.by_core:
+            return self._look_up(words, self.known, self._learn_words), np.zeros(len(words), np.int64)
+        plain = pc.match_substring_regex(words, self.plain)
+        some, at = words.filter(plain), np.zeros(len(words), np.int64)
+        mask = plain.to_numpy(zero_copy_only=False)
+        cores = pc.ascii_lower(pc.utf8_rtrim(some, ".,")).dictionary_encode()  # of these letters, only A to Z have capitals
+        at[mask] = self._look_up(cores.dictionary, self.cores, self._learn_cores)[cores.indices.to_numpy()]
+        at[~mask] = self._look_up(words.filter(pc.invert(plain)), self.known, self._learn_words)
+        mark = np.zeros(len(words), np.int64)
+        mark[mask] = pc.ends_with(some, ".").to_numpy(zero_copy_only=False) + 2 * pc.ends_with(some, ",").to_numpy(zero_copy_only=False)
+        return at, mark
 
     def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        texts = pa.array(texts, pa.string())
         if not self.by_word:
-            return [np.array(ids, np.uint32) for ids in self._whole(pa.array(texts, pa.string()).to_pylist())]
-        if len(self.known) > MAX_WORDS:
+            return [np.array(ids, np.uint32) for ids in self._whole(texts.to_pylist())]
+        if len(self.known) + len(self.cores) > MAX_WORDS:
             self.forget()
-        spaced = pc.replace_substring(pa.array(texts, pa.string()), "\n", " ")
-        parts = pc.split_pattern(spaced, " ")
+        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         words = parts.flatten().dictionary_encode()
-        distinct = words.dictionary.to_pylist()
-        at = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
-        unknown = np.flatnonzero(at < 0).tolist()
-        if unknown:
-            fresh = [distinct[i] for i in unknown]
-            self._learn(fresh)
-            at[unknown] = [self.known[w] for w in fresh]
-        at = at[words.indices.to_numpy()]
-        sizes = np.frombuffer(self.sizes, np.int64)[at]
+        at, mark = self._entries(words.dictionary)
+        which = words.indices.to_numpy()
+        entries = np.stack([at[which], mark[which]], 1).reshape(-1)  # a word, then its mark; entry 0 adds nothing
+        sizes = np.frombuffer(self.sizes, np.int64)[entries]
         first = np.cumsum(sizes) - sizes
-        where = np.arange(int(sizes.sum())) + np.repeat(np.frombuffer(self.starts, np.int64)[at] - first, sizes)
+        where = np.arange(int(sizes.sum())) + np.repeat(np.frombuffer(self.starts, np.int64)[entries] - first, sizes)
         ids = np.frombuffer(self.flat, np.uint32)[where] if len(where) else np.empty(0, np.uint32)
-        borders = np.append(first, len(where))[parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()]
+        borders = np.append(first, len(where))[2 * (parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py())]
         return np.split(ids, borders[:-1])
 
 
