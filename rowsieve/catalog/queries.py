@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsieve.operators import report
+from rowsieve.operators.state import KeptState
 from rowsieve.operators.validate import ValidationResult, validate
+from rowsieve.session import work_folder
 
 
 @dataclass(frozen=True)
@@ -1238,3 +1240,60 @@ def q50(spark, sf_dir):
     """A6 by return flag and ship year, with totals per flag and over all."""
     result, by = _segments(spark, sf_dir)
     return result.segment_violations(by)
+
+
+# ---------------------------------------------------------------------------
+# Batches validated against kept state
+# ---------------------------------------------------------------------------
+STATE_RULES = [
+    {"name": "once", "type": "unique_check", "columns": ["who", "event_type", "day"], "priority": 1},
+    {"name": "outlier", "type": "statistical", "column": "value", "statistic": "z_score", "threshold": 2.5, "priority": 2},
+    {"name": "positive", "type": "value_range", "column": "value", "min": 1, "priority": 3},
+]
+_STATE_INPUT = f"""SELECT event_id, {HOT_USER} AS who, event_type, CAST(ts AS DATE) AS day, value, event_id % 3 AS batch FROM events"""
+
+
+@query(
+    "q51_batches_with_state",
+    f"""WITH e AS ({_STATE_INPUT}),
+        -- batches come in the order 0, 1, 2; a row is judged with its own batch and those before
+        c AS (SELECT who, event_type, day, batch, count(*) AS c FROM e GROUP BY who, event_type, day, batch),
+        k AS (SELECT *, sum(c) OVER (PARTITION BY who, event_type, day ORDER BY batch) AS n FROM c),
+        m AS (SELECT b AS batch, avg(value) AS mean, stddev_samp(value) AS sd FROM e, (VALUES (0), (1), (2)) AS t(b) WHERE e.batch <= b GROUP BY b),
+        f AS (SELECT event_id, batch, n > 1 AS a, abs((value - mean) / sd) > 2.5 AS b, value < 1 OR isnan(value) AS c
+              FROM e JOIN k USING (who, event_type, day, batch) JOIN m USING (batch))
+        SELECT event_id, CAST(batch AS BIGINT) AS batch,
+          concat_ws(',', CASE WHEN a THEN 'once' END, CASE WHEN b THEN 'outlier' END, CASE WHEN c THEN 'positive' END) AS failed_rules
+        FROM f WHERE a OR b OR c""",
+)
+def q51(spark, sf_dir):
+    """Events in three batches, each judged with the keys and moments kept of
+    those before; one user has a third of all events."""
+    events = table(spark, sf_dir, "events").selectExpr("event_id", f"{HOT_USER} AS who", "event_type", "CAST(ts AS DATE) AS day", "value", "event_id % 3 AS batch")
+    state, out = KeptState(spark, work_folder(spark), STATE_RULES), []
+    for batch in range(3):
+        result = state.validate(events.where(F.col("batch") == batch), batch)
+        out.append(rejected(result, "event_id", "batch"))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@query(
+    "q52_state_after_batches",
+    f"""WITH e AS ({_STATE_INPUT}), k AS (SELECT count(*) AS n FROM e GROUP BY who, event_type, day)
+        SELECT 'once' AS rule, CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS failed_count, CAST(sum(n) AS BIGINT) AS total_records FROM k
+        UNION ALL SELECT 'positive', count(*) FILTER (value < 1 OR isnan(value)), count(*) FROM e
+        UNION ALL SELECT 'outlier', count(*) FILTER (abs((value - mean) / sd) > 2.5), count(*)
+        FROM e, (SELECT avg(value) AS mean, stddev_samp(value) AS sd FROM e)""",
+)
+def q52(spark, sf_dir):
+    """What three batches have left, one of them replayed: the counts of one run over all rows."""
+    events = table(spark, sf_dir, "events").selectExpr("event_id", f"{HOT_USER} AS who", "event_type", "CAST(ts AS DATE) AS day", "value", "event_id % 3 AS batch")
+    state = KeptState(spark, work_folder(spark), STATE_RULES)
+    for batch in (1, 0, 2, 1):
+        state.record(state.validate(events.where(F.col("batch") == batch), batch), batch)
+    counts = state.key_counts(["who", "event_type", "day"])
+    once = counts.agg(F.lit("once").alias("rule"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("failed_count"), F.sum("n").alias("total_records"))
+    moments = state.moments()["value"]
+    away = F.abs(F.try_divide(F.col("value") - moments["mean"], F.lit(moments["sd"])))
+    outlier = events.agg(F.lit("outlier").alias("rule"), F.count_if(away > 2.5).alias("failed_count"), F.count("*").alias("total_records"))
+    return once.unionByName(outlier).unionByName(state.counts().where("rule = 'positive'"))

@@ -54,12 +54,14 @@ def attach_duplicate_flag(
     flag: str,
     policy: JoinPolicy = DEFAULT,
     sizes: dict | None = None,
+    kept=None,
 ) -> DataFrame:
     """``work`` plus boolean ``flag`` (TRUE or NULL): the row's key is
-    duplicated in ``source``.  ``work`` must have the same rows as
+    duplicated in ``source`` (with ``kept``: or in batches before it).  ``work`` must have the same rows as
     ``source`` (it is ``source`` with helper columns added)."""
     aliases = [f"{flag}_k{i}" for i in range(len(keys))]
-    sized = sized_side(duplicate_keys(source, keys, aliases).withColumn(flag, F.lit(True)), policy, sizes=sizes)
+    found = (kept.duplicate_keys if kept is not None else duplicate_keys)(source, keys, aliases)
+    sized = sized_side(found.withColumn(flag, F.lit(True)), policy, sizes=sizes)
     values = {a: key_value(source, k) for k, a in zip(keys, aliases)}
     return attach_found(work, source, values, sized, flag, flag, policy, sizes, count="__rs_n")
 

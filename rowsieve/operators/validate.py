@@ -103,11 +103,13 @@ def build_flags(
     refs: Mapping[str, DataFrame] | None = None,
     policy: JoinPolicy = DEFAULT,
     sizes: dict | None = None,
+    kept=None,
 ) -> tuple[DataFrame, list[str]]:
     """``df``'s columns plus one boolean column per rule (TRUE = violated).
 
     Returns the frame and the flag column names, in rule order.  ``sizes``
-    receives the measured helper sets (see ``rowsieve.plans.joins``).
+    receives the measured helper sets (see ``rowsieve.plans.joins``); ``kept``
+    stands for the batches before (see ``rowsieve.operators.state``).
     """
     clash = [c for c in df.columns if c.startswith(HELPER_PREFIX)]
     if clash:
@@ -124,7 +126,7 @@ def build_flags(
             keys = rule.key_columns
             if keys not in dup_flag:
                 flag = f"{HELPER_PREFIX}dup{len(dup_flag)}"
-                work = attach_duplicate_flag(work, df, keys, flag, policy, sizes)
+                work = attach_duplicate_flag(work, df, keys, flag, policy, sizes, kept)
                 dup_flag[keys] = flag
             predicates.append(F.col(dup_flag[keys]).isNotNull())
         elif rule.type == "referential_integrity":
@@ -150,9 +152,8 @@ def build_flags(
             work, predicate = ORDERED[rule.type](work, df, rule, ref, flag, policy, sizes)
             predicates.append(predicate)
         elif rule.type == "statistical":
-            predicates.append(
-                zscore_predicate(df, rule.require("column"), rule.require("threshold"))
-            )
+            score = zscore_predicate if kept is None else kept.zscore
+            predicates.append(score(df, rule.require("column"), rule.require("threshold")))
         else:
             predicates.append(violation(rule, df))
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Settings for the plans this library builds.  AQE re-plans joins from
@@ -50,6 +53,14 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir() or target
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A fresh folder below ``spark.checkpoint.dir``.  Only a local session
+    (one machine) that names none gets a temporary folder."""
+    alone = spark.sparkContext.master.split("[")[0] == "local"
+    fallback = f"{tempfile.gettempdir()}/rowsieve-shared" if alone else None
+    return f"{ensure_checkpoint_dir(spark, fallback)}/work-{uuid.uuid4().hex}"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "rowsieve") -> SparkSession:
     """A local session for tests and benchmarks (UTC, AQE, quiet)."""
     spark = (
