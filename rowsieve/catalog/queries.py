@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsieve.operators import report
+from rowsieve.operators.quantiles import quantiles
 from rowsieve.operators.state import KeptState
 from rowsieve.operators.validate import ValidationResult, validate
 from rowsieve.session import work_folder
@@ -1297,3 +1298,37 @@ def q52(spark, sf_dir):
     away = F.abs(F.try_divide(F.col("value") - moments["mean"], F.lit(moments["sd"])))
     outlier = events.agg(F.lit("outlier").alias("rule"), F.count_if(away > 2.5).alias("failed_count"), F.count("*").alias("total_records"))
     return once.unionByName(outlier).unionByName(state.counts().where("rule = 'positive'"))
+
+
+# ---------------------------------------------------------------------------
+# Exact quantiles
+# ---------------------------------------------------------------------------
+@query(
+    "q53_exact_quantiles",
+    """WITH p(probability) AS (VALUES (0.01::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE), (0.999::DOUBLE)),
+       r AS (SELECT l_returnflag, l_extendedprice, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) AS i,
+                    count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem)
+       SELECT l_returnflag, probability, n, l_extendedprice AS value FROM r, p WHERE i = greatest(ceil(probability * n), 1)""",
+)
+def q53(spark, sf_dir):
+    """Exact quantiles of prices per return flag, by histogram refinement."""
+    return quantiles(table(spark, sf_dir, "lineitem"), "l_extendedprice", [0.01, 0.25, 0.5, 0.999], ["l_returnflag"])
+
+
+@query(
+    "q54_robust_outliers",
+    f"""WITH e AS (SELECT event_id, {HOT_USER} % 20 AS who, value FROM events),
+        m AS (SELECT who, quantile_disc(value, 0.5) AS median FROM e GROUP BY who),
+        d AS (SELECT who, quantile_disc(abs(value - median), 0.5) AS mad FROM e JOIN m USING (who) GROUP BY who),
+        a AS (SELECT quantile_disc(value, 0.5) AS median FROM e),
+        b AS (SELECT quantile_disc(abs(value - median), 0.5) AS mad FROM e, a),
+        f AS (SELECT event_id, who, value, abs(value - m.median) / (d.mad * 1.4826) > 3 AS x, abs(value - a.median) / (b.mad * 1.4826) > 3.5 AS y
+              FROM e JOIN m USING (who) JOIN d USING (who), a, b)
+        SELECT event_id, who, value, concat_ws(',', CASE WHEN x THEN 'odd_for_user' END, CASE WHEN y THEN 'odd_at_all' END) AS failed_rules FROM f WHERE x OR y""",
+)
+def q54(spark, sf_dir):
+    """Median and MAD instead of mean and deviation, per group and over all; one group has a third of all events."""
+    df = table(spark, sf_dir, "events").selectExpr("event_id", f"{HOT_USER} % 20 AS who", "value")
+    base = {"type": "statistical", "column": "value", "statistic": "mad"}
+    rules = [{**base, "name": "odd_for_user", "key_columns": ["who"], "threshold": 3, "priority": 1}, {**base, "name": "odd_at_all", "threshold": 3.5, "priority": 2}]
+    return rejected(validate(df, rules), "event_id", "who", "value")

@@ -58,7 +58,7 @@ class KeptState:
         self.rules: RuleSet = rules if isinstance(rules, RuleSet) else load_rules(rules)
         self.time_column = time_column
         self.retention = None if retention is None else parse_duration(retention)
-        ordered = [r.name for r in self.rules if r.type in ("sequence_check", "order_dependency", "functional_dependency")]
+        ordered = [r.name for r in self.rules if r.type in ("sequence_check", "order_dependency", "functional_dependency") or r.get("statistic") == "mad"]
         if ordered:
             raise RuleError(f"rules {ordered} need all rows at once; no state is kept for them")
 

@@ -35,6 +35,7 @@ from rowsieve.operators.ordered import (
     attach_uncovered_flag,
 )
 from rowsieve.operators.outliers import zscore_predicate
+from rowsieve.operators.quantiles import attach_robust_score, robust_outlier
 from rowsieve.operators.referential import attach_reference_hit, match_type, orphan_predicate
 from rowsieve.operators.uniqueness import attach_duplicate_flag
 from rowsieve.plans.joins import DEFAULT, JoinPolicy
@@ -151,6 +152,10 @@ def build_flags(
             ref = _resolve_reference(df, rule, refs) if rule.type == "interval_reference" else None
             work, predicate = ORDERED[rule.type](work, df, rule, ref, flag, policy, sizes)
             predicates.append(predicate)
+        elif rule.type == "statistical" and rule.get("statistic") == "mad":
+            flag, column = f"{HELPER_PREFIX}mad{len(predicates)}", rule.require("column")
+            work = attach_robust_score(work, df, rule.get("key_columns") or (), column, flag, policy, sizes)
+            predicates.append(robust_outlier(df, column, rule.require("threshold"), flag))
         elif rule.type == "statistical":
             score = zscore_predicate if kept is None else kept.zscore
             predicates.append(score(df, rule.require("column"), rule.require("threshold")))

@@ -285,8 +285,10 @@ def _check_type_fields(rule: Rule) -> None:
     elif t == "statistical":
         need_column()
         stat = rule.require("statistic")
-        if stat != "z_score":
-            raise RuleError(f"Rule {rule.name!r}: unsupported statistic {stat!r} (only 'z_score')")
+        if stat not in ("z_score", "mad"):
+            raise RuleError(f"Rule {rule.name!r}: unsupported statistic {stat!r} (only 'z_score' and 'mad')")
+        if stat == "z_score" and "key_columns" in p:
+            raise RuleError(f"Rule {rule.name!r}: z_score is taken over the whole input; 'key_columns' go with 'mad'")
         rule.require("threshold")
     elif t == "sequence_check":
         need_column()
