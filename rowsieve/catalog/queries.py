@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from rowsieve.operators import report
 from rowsieve.operators.quantiles import quantiles
+from rowsieve.operators.reconcile import changed_keys, reconcile
 from rowsieve.operators.state import KeptState
 from rowsieve.operators.validate import ValidationResult, validate
 from rowsieve.session import work_folder
@@ -1332,3 +1333,50 @@ def q54(spark, sf_dir):
     base = {"type": "statistical", "column": "value", "statistic": "mad"}
     rules = [{**base, "name": "odd_for_user", "key_columns": ["who"], "threshold": 3, "priority": 1}, {**base, "name": "odd_at_all", "threshold": 3.5, "priority": 2}]
     return rejected(validate(df, rules), "event_id", "who", "value")
+
+
+# ---------------------------------------------------------------------------
+# Reconciliation of two versions of a table
+# ---------------------------------------------------------------------------
+#: A later version of lineitem: rows gone, changed, and repeated.
+_LATER = """
+  SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_orderkey % 97 = 5 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
+         CASE WHEN l_partkey % 211 = 7 THEN NULL ELSE l_shipdate END AS l_shipdate
+  FROM lineitem WHERE l_orderkey % 101 <> 3
+  UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM lineitem WHERE l_orderkey % 103 = 4
+  UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM lineitem WHERE l_orderkey % 206 = 4"""
+_OLD = "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM lineitem"
+_DIFFERENCE = f"""
+  WITH every AS (SELECT *, 1 AS sign FROM ({_OLD}) UNION ALL SELECT *, -1 FROM ({_LATER})),
+  d AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate, sum(sign) AS n FROM every
+        GROUP BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate HAVING sum(sign) <> 0)"""
+
+
+def _versions(spark, sf_dir):
+    now = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate")
+    later = now.where("l_orderkey % 101 <> 3").withColumns(
+        {"l_quantity": F.expr("IF(l_orderkey % 97 = 5, l_quantity + 1, l_quantity)"), "l_shipdate": F.expr("IF(l_partkey % 211 = 7, NULL, l_shipdate)")}
+    )
+    return now, later.unionByName(now.where("l_orderkey % 103 = 4")).unionByName(now.where("l_orderkey % 206 = 4"))
+
+
+@query(
+    "q55_reconciliation",
+    f"""{_DIFFERENCE} SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate,
+          CASE WHEN n > 0 THEN 'left' ELSE 'right' END AS side, CAST(abs(n) AS BIGINT) AS copies FROM d""",
+)
+def q55(spark, sf_dir):
+    """Two versions of lineitem: every row that they do not have equally often, with the copies."""
+    return reconcile(*_versions(spark, sf_dir), keys=["l_orderkey", "l_linenumber"])
+
+
+@query(
+    "q56_changed_keys",
+    f"""{_DIFFERENCE}, k AS (SELECT l_orderkey, l_linenumber, CAST(coalesce(sum(n) FILTER (n > 0), 0) AS BIGINT) AS left_copies,
+          CAST(coalesce(-sum(n) FILTER (n < 0), 0) AS BIGINT) AS right_copies FROM d GROUP BY l_orderkey, l_linenumber)
+        SELECT *, CASE WHEN right_copies = 0 THEN 'removed' WHEN left_copies = 0 THEN 'added' ELSE 'changed' END AS change FROM k""",
+)
+def q56(spark, sf_dir):
+    """The same by key: removed, added (or repeated) and changed."""
+    keys = ["l_orderkey", "l_linenumber"]
+    return changed_keys(reconcile(*_versions(spark, sf_dir), keys=keys), keys)
