@@ -231,6 +231,12 @@ def time_range(rule: Rule, schema: Source) -> Column:
     return _any(conds)
 
 
+# --- ours ---------------------------------------------------------------------
+def well_formed(rule: Rule, schema: Source) -> Column:
+    """The column that holds raw lines of malformed records (``read_csv``) is empty."""
+    return F.col(column_ref(schema, rule.require("column"))).isNotNull()
+
+
 ROW_LOCAL = {
     "null_check": null_check,
     "regex_match": regex_match,
@@ -244,6 +250,7 @@ ROW_LOCAL = {
     "data_type": data_type,
     "date_range": date_range,
     "time_range": time_range,
+    "well_formed": well_formed,
 }
 
 

@@ -36,7 +36,8 @@ RULE_TYPES = (
     "time_difference",
     "completeness_check",
     "time_range",
-    # dataset rules of ours
+    # ours
+    "well_formed",
     "sequence_check",
     "order_dependency",
     "functional_dependency",
@@ -99,6 +100,7 @@ ROW_LOCAL_TYPES = frozenset(
         "data_type",
         "date_range",
         "time_range",
+        "well_formed",
     }
 )
 # Rule types that need a dataset-wide aggregate or a join.
@@ -238,7 +240,7 @@ def _check_type_fields(rule: Rule) -> None:
             raise RuleError(f"Rule {rule.name!r}: {t} takes 'columns', not 'column'")
         rule.require("columns")
 
-    if t in ("null_check",):
+    if t in ("null_check", "well_formed"):
         need_column()
     elif t == "regex_match":
         need_column()

@@ -132,3 +132,47 @@ def test_write_split_one_pass(spark, tmp_out):
     assert counts.get("rejected", 0) == stats["rejected_records"]
     assert counts.get("passed", 0) == stats["passed_records"]
     assert back.where("dq_status = 'passed'").where(F.size("failed_rules") > 0).count() == 0
+
+
+MALFORMED = 'id,name,amount\n1,ann,2.5\n2,bob\n3,cid,x\n4,"d, e",7\n5,eve,1,extra\n6,,\n"7"",fay,3\n'
+WELL_FORMED = {"name": "well_formed", "type": "well_formed", "column": "raw", "priority": 1}
+
+
+def _malformed(spark, tmp_out, **options):
+    path = f"{tmp_out}/in.csv"
+    with open(path, "w") as fh:
+        fh.write(MALFORMED)
+    return read_csv(spark, path, malformed="raw", source_file="file", **options)
+
+
+def test_malformed_lines_are_captured_and_rejected(spark, tmp_out):
+    df = _malformed(spark, tmp_out, schema="id int, name string, amount double")
+    assert df.columns == ["id", "name", "amount", "raw", "file"]
+    result = validate(df, [WELL_FORMED, {"name": "amount", "type": "null_check", "column": "amount", "priority": 2}])
+    bad = {r.raw: r for r in result.bad.collect()}
+    assert {"2,bob", "3,cid,x", "5,eve,1,extra"} <= set(bad)
+    assert bad["3,cid,x"].failed_rules == ["well_formed", "amount"] and bad["3,cid,x"].file.endswith("in.csv")
+    assert {r.id for r in result.good.collect()} == {1, 4}
+    path = result.save_rejected(f"{tmp_out}/out")
+    assert spark.read.parquet(path).where("raw IS NOT NULL").count() == result.observed_stats["rule_violations"]["well_formed"]["failed_count"]
+
+
+def test_pruning_does_not_change_the_verdict(spark, tmp_out):
+    """Counting the one rule reads no other column by name; a value of the wrong type is found all the same."""
+    df = _malformed(spark, tmp_out, schema="id int, name string, amount double")
+    whole = sorted(r.raw for r in df.collect() if r.raw is not None)
+    assert validate(df, [WELL_FORMED]).quality_stats()["rule_violations"]["well_formed"]["failed_count"] == len(whole)
+    assert sorted(r.raw for r in df.where("raw IS NOT NULL").select("raw").collect()) == whole
+    assert sorted(r.raw for r in df.select("id", "raw").collect() if r.raw is not None) == whole
+
+
+def test_malformed_lines_without_a_schema(spark, tmp_out):
+    for options in ({}, {"infer_schema": True}):
+        df = _malformed(spark, tmp_out, **options)
+        assert {"2,bob", "5,eve,1,extra"} <= {r.raw for r in df.collect()}
+    import pytest
+
+    for options in ({"malformed": "ID"}, {"source_file": "name"}):
+        with pytest.raises(ValueError):
+            read_csv(spark, f"{tmp_out}/in.csv", **options)
+    assert read_csv(spark, f"{tmp_out}/in.csv").columns == ["id", "name", "amount"]
