@@ -40,6 +40,8 @@ from rowsieve.llm.tables import save, shared_folder
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 8 << 20
 LEVEL = 3
+#: WARC-Date where none is given: one date for all, so that the same pages make the same bytes.
+DATE = "1970-01-01T00:00:00Z"
 #: A payload repeated more often is dealt over SALTS when its response is looked up.
 HOT, SALTS = 10_000, 64
 
@@ -53,35 +55,42 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id, url, payload: bytes, refers_to) -> bytes:
-    """One WARC/1.1 record.  A revisit has the headers and digest of the
-    payload it saves, no body."""
+def record(page_id, url, payload: bytes, refers_to, date: str = DATE) -> bytes:
+    """One WARC/1.1 record.  Its block is an HTTP message: a minimal head, and
+    for a response the payload.  A revisit has the head alone, with the length
+    and digest of the payload it saves.  Digests are of the payload."""
     kind = "response" if refers_to is None else "revisit"
     lines = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
         f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
+        f"WARC-Date: {date}",
         f"WARC-Target-URI: {'' if url is None else ''.join(c for c in url if c >= ' ')}",
         f"WARC-Payload-Digest: sha1:{payload_digest(payload)}",
-        f"X-Payload-Length: {len(payload)}",
-        "Content-Type: text/html; charset=utf-8",
+        "Content-Type: application/http; msgtype=response",
     ]
     if refers_to is not None:
         lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
         lines.append(f"WARC-Refers-To: <urn:page:{refers_to}>")
-    body = payload if refers_to is None else b""
-    lines.append(f"Content-Length: {len(body)}")
-    return "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    block = http + payload if refers_to is None else http
+    lines.append(f"Content-Length: {len(block)}")
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def _fields(head: bytes) -> dict[str, str]:
+    return dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in head.decode().split("\r\n")[1:])
 
 
 def parse(raw: bytes) -> dict:
-    """Headers and body of one record."""
+    """Headers of one record, ``http`` (those of its HTTP message) and ``body``, the payload."""
     head, _, rest = raw.partition(b"\r\n\r\n")
-    headers = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in head.decode().split("\r\n")[1:])
+    headers = _fields(head)
     size = int(headers["Content-Length"])
     if rest[size:] != b"\r\n\r\n":
         raise ValueError("a record does not end where its length says")
-    return headers | {"body": rest[:size]}
+    http, _, body = rest[:size].partition(b"\r\n\r\n")
+    return headers | {"http": _fields(http), "body": body}
 
 
 class BundleWriter:
@@ -150,30 +159,33 @@ class BundleReader:
         return parse(self.frame(frame)[offset : offset + length])
 
 
-def _bundle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
+def _bundle_batches(date: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    task, made = TaskContext.get().partitionId(), 0
-    writer = BundleWriter()
-    kind = pa.list_(pa.struct([("id", pa.int64()), ("frame", pa.int32()), ("offset", pa.int64()), ("length", pa.int64())]))
+        task, made = TaskContext.get().partitionId(), 0
+        writer = BundleWriter()
+        kind = pa.list_(pa.struct([("id", pa.int64()), ("frame", pa.int32()), ("offset", pa.int64()), ("length", pa.int64())]))
 
-    def out():
-        nonlocal writer, made
-        row = pa.RecordBatch.from_arrays(
-            [pa.array([f"{task:06d}-{made:06d}"]), pa.array([writer.finish()], pa.binary()), pa.array([writer.index], kind)], names=["bundle", "bytes", "records"]
-        )
-        writer, made = BundleWriter(), made + 1
-        return row
+        def out():
+            nonlocal writer, made
+            row = pa.RecordBatch.from_arrays(
+                [pa.array([f"{task:06d}-{made:06d}"]), pa.array([writer.finish()], pa.binary()), pa.array([writer.index], kind)], names=["bundle", "bytes", "records"]
+            )
+            writer, made = BundleWriter(), made + 1
+            return row
 
-    for batch in batches:
-        columns = (batch.column(n) for n in ("id", "url", "payload", "refers_to"))
-        for page_id, url, payload, refers_to in zip(*columns):
-            raw = record(page_id.as_py(), url.as_py(), (payload.as_py() or "").encode(), refers_to.as_py())
-            if writer.index and writer.size + len(raw) > BUNDLE_BYTES:
-                yield out()
-            writer.add(page_id.as_py(), raw)
-    if writer.index:
-        yield out()
+        for batch in batches:
+            columns = (batch.column(n) for n in ("id", "url", "payload", "refers_to"))
+            for page_id, url, payload, refers_to in zip(*columns):
+                raw = record(page_id.as_py(), url.as_py(), (payload.as_py() or "").encode(), refers_to.as_py(), date)
+                if writer.index and writer.size + len(raw) > BUNDLE_BYTES:
+                    yield out()
+                writer.add(page_id.as_py(), raw)
+        if writer.index:
+            yield out()
+
+    return run
 
 
 def with_references(pages: DataFrame, folder: str, at_least: int = 0) -> DataFrame:
@@ -202,13 +214,14 @@ def with_references(pages: DataFrame, folder: str, at_least: int = 0) -> DataFra
     return joined.select("id", "url", "payload", F.when(F.col("response") > F.col("id"), F.col("response")).alias("refers_to"))
 
 
-def write_bundles(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", at_least: int = 0) -> DataFrame:
+def write_bundles(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", at_least: int = 0, date: str = DATE) -> DataFrame:
     """Write a record per row of ``pages`` to bundles below ``path``; returns
-    the written bundles: (bundle, bytes, records), ``records`` the index."""
+    the written bundles: (bundle, bytes, records), ``records`` the index.
+    ``date`` is the WARC-Date of all records."""
     rows = pages.select(
         F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(payload_col).cast("string").alias("payload")
     )
-    return save(with_references(rows, path, at_least).mapInArrow(_bundle_batches, BUNDLES), path)
+    return save(with_references(rows, path, at_least).mapInArrow(_bundle_batches(date), BUNDLES), path)
 
 
 _READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -228,7 +241,8 @@ def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 digest = found["WARC-Payload-Digest"].removeprefix("sha1:")
                 if found["WARC-Type"] == "response" and payload_digest(found["body"]) != digest:
                     raise ValueError("a payload does not have its digest")
-                rows.append((number(found["WARC-Record-ID"]), int(found["X-Payload-Length"]), digest, found["WARC-Type"], number(found.get("WARC-Refers-To"))))
+                size = len(found["body"]) if found["WARC-Type"] == "response" else int(found["http"]["Content-Length"])
+                rows.append((number(found["WARC-Record-ID"]), size, digest, found["WARC-Type"], number(found.get("WARC-Refers-To"))))
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=[f.split()[0] for f in _READ.split(", ")])
 
