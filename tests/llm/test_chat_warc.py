@@ -125,3 +125,27 @@ def test_a_record_is_read_without_the_rest(spark):
     assert plain.count(b"WARC/1.1\r\n") == 50  # any zstandard reader skips the seek table
     with pytest.raises(ValueError):
         warc.BundleReader(bundle[:-1])
+
+
+def test_records_have_what_warc_1_1_requires():
+    """Mandatory fields, an HTTP message as block, lengths and digests that hold."""
+    payload = "<p>é</p>\r\n\r\nrest".encode()
+    for refers_to in (None, 9):
+        raw = warc.record(3, "http://h/ä", payload, refers_to, "2024-02-29T12:00:00Z")
+        head, _, rest = raw.partition(b"\r\n\r\n")
+        version, *lines = head.decode().split("\r\n")
+        fields = dict(line.split(": ", 1) for line in lines)
+        assert version == "WARC/1.1" and len(fields) == len(lines)
+        assert fields["WARC-Record-ID"] == "<urn:page:3>" and fields["WARC-Date"] == "2024-02-29T12:00:00Z"
+        assert fields["WARC-Type"] == ("response" if refers_to is None else "revisit")
+        assert fields["WARC-Target-URI"] == "http://h/ä" and fields["Content-Type"] == "application/http; msgtype=response"
+        block = rest[: int(fields["Content-Length"])]
+        assert rest[len(block) :] == b"\r\n\r\n"
+        http, _, body = block.partition(b"\r\n\r\n")
+        status, *own = http.decode().split("\r\n")
+        assert status == "HTTP/1.1 200 OK" and dict(line.split(": ", 1) for line in own)["Content-Length"] == str(len(payload))
+        assert body == (payload if refers_to is None else b"")
+        assert fields["WARC-Payload-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        assert ("WARC-Profile" in fields) == ("WARC-Refers-To" in fields) == (refers_to is not None)
+        assert warc.parse(raw)["body"] == body
+    assert "WARC-Date: 1970-01-01T00:00:00Z" in warc.record(1, None, b"", None).decode()
