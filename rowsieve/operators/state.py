@@ -41,7 +41,7 @@ from rowsieve.functions.columns import column_ref
 from rowsieve.operators.outliers import numeric_value
 from rowsieve.operators.uniqueness import key_value
 from rowsieve.operators.validate import ValidationResult, build_flags
-from rowsieve.plans.joins import DEFAULT, JoinPolicy
+from rowsieve.plans.joins import DEFAULT, Helpers, JoinPolicy
 from rowsieve.rules import Rule, RuleError, RuleSet, load_rules, parse_duration
 
 _BATCH = re.compile(r"[A-Za-z0-9_.-]+")
@@ -154,7 +154,7 @@ class KeptState:
             raise RuleError(f"a batch id has letters, digits, '_', '.' and '-', not {batch!r}")
         if not policy.probe:
             raise RuleError("kept state needs a policy that measures its helper sets")
-        helpers: dict = {}
+        helpers = Helpers()
         flags, names = build_flags(df, self.rules, refs, policy, helpers, _Batch(self, df, batch))
         return ValidationResult(df, self.rules, flags, names, verdict_col, helpers)
 

@@ -38,7 +38,7 @@ from rowsieve.operators.outliers import zscore_predicate
 from rowsieve.operators.quantiles import attach_robust_score, robust_outlier
 from rowsieve.operators.referential import attach_reference_hit, match_type, orphan_predicate
 from rowsieve.operators.uniqueness import attach_duplicate_flag
-from rowsieve.plans.joins import DEFAULT, JoinPolicy
+from rowsieve.plans.joins import DEFAULT, Helpers, JoinPolicy, join_wide, with_place
 from rowsieve.rules import Rule, RuleError, RuleSet, load_rules
 
 HELPER_PREFIX = "__rs_"
@@ -116,7 +116,7 @@ def build_flags(
     if clash:
         raise RuleError(f"input columns may not start with {HELPER_PREFIX!r}: {clash}")
     _check_columns(df, rules)
-    work = df
+    work = with_place(df) if policy.probe and not rules.row_local_only else df
     dup_flag: dict[tuple[str, ...], str] = {}
     ref_flag: dict[tuple[Any, ...], tuple[str, Column, Column]] = {}
     resolved: dict[str, DataFrame] = {}  # each reference name read once
@@ -162,6 +162,8 @@ def build_flags(
         else:
             predicates.append(violation(rule, df))
 
+    if isinstance(sizes, Helpers):
+        work = join_wide(work, df, policy, sizes)
     flag_names = [f"{HELPER_PREFIX}f{i}" for i in range(len(predicates))]
     flags = work.select(
         *[qcol(c) for c in df.columns],
@@ -371,7 +373,7 @@ def validate(
 
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-    helpers: dict = {}
+    helpers = Helpers()
     flags, flag_names = build_flags(df, rule_set, refs, policy, helpers)
     return ValidationResult(df, rule_set, flags, flag_names, verdict_col, helpers)
 

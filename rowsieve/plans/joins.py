@@ -27,6 +27,9 @@ scatter as well, and no other column is read) or, where the input is no
 Parquet scan, a hash of its content.  Either is the same whenever a task runs
 again, whatever order its rows come in.
 
+Rules of one validation that look at the same key share one shuffle join:
+their sets are merged, a column per rule, before the input meets them.
+
 All helper sets of one validation share one broadcast budget
 (``broadcast_max_bytes``).  Hot keys do not depend on what is left of it: each
 shuffle join may broadcast ``hot_bytes`` of them on top.
@@ -180,6 +183,16 @@ def hot_keys(counted: DataFrame, count: str, policy: JoinPolicy) -> Sized | None
     return Sized(hottest, True, int(m["n"]), int(m["b"] or 0), cached, "hot")
 
 
+#: Where an input's rows stand; added before joins, which hide it.  Not read unless a join needs it.
+PLACE = "__rs_place"
+
+
+def with_place(df: DataFrame) -> DataFrame:
+    """``df`` with ``PLACE``, where Spark knows it."""
+    place = row_place(df)
+    return df if place is None else df.withColumn(PLACE, place)
+
+
 def row_place(df: DataFrame) -> Column | None:
     """A hash of the file and position a row comes from, where Spark knows it
     (Parquet scans, also below projections and filters)."""
@@ -227,7 +240,7 @@ def skew_split_join(
     partitions, while ``light`` rows carry salt 0 — so those rows pass through
     the shuffle join unmatched and no split-off key gathers in one task.
     """
-    place = row_place(work)
+    place = F.col(PLACE) if PLACE in work.columns else row_place(work)
     place = content_hash(work, content) if place is None else place
     work = work.withColumn(f"{salt}p", place)
     if heavy is not None:
@@ -268,32 +281,91 @@ def attach_found(
         if sizes is not None:
             sizes[flag] = Sized(found.frame, False, 0, 0, found.cached, "empty")
         return work.withColumn(flag, F.lit(None).cast(kind))
-    keyed = work.withColumns(dict(keys))
     side = found.frame.select(*names, F.col(value).alias(flag))
     if not policy.probe or found.broadcast:
-        joined, sized = keyed.join(found.side(side), on=names, how="left"), found
+        if sizes is not None:
+            sizes[flag] = found
+        return work.withColumns(dict(keys)).join(found.side(side), on=names, how="left").drop(*names)
+    wide = Wide(dict(keys), side, flag, found, count)
+    if isinstance(sizes, Helpers):
+        sizes.wide.append(wide)
+        return work
+    return _join_wide(work, source, [wide], policy, sizes)
+
+
+@dataclass(frozen=True)
+class Wide:
+    """A helper set too large to broadcast: key columns, the set with its value as ``flag``."""
+
+    keys: dict[str, Column]
+    side: DataFrame
+    flag: str
+    found: Sized
+    count: str | None
+
+
+class Helpers(dict):
+    """Measured helper sets by flag.  Those too large to broadcast wait in
+    ``wide`` until ``join_wide``, so that sets of one key share a shuffle."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.wide: list[Wide] = []
+
+
+def join_wide(work: DataFrame, source: DataFrame, policy: JoinPolicy, sizes: Helpers) -> DataFrame:
+    """``work`` plus the flags of all waiting sets: one shuffle join per key,
+    however many rules look at it."""
+    by_key: dict[tuple[str, ...], list[Wide]] = {}
+    for wide in sizes.wide:
+        kinds = [f.dataType.simpleString() for f in wide.side.select(*wide.keys).schema]
+        by_key.setdefault((*map(str, wide.keys.values()), *kinds), []).append(wide)
+    for group in by_key.values():
+        work = _join_wide(work, source, group, policy, sizes)
+    sizes.wide.clear()
+    return work
+
+
+def _merged(group: list[Wide]) -> DataFrame:
+    """The sets of one key as one: a row per key, a column per flag."""
+    names, flags = list(group[0].keys), {w.flag: w.side.schema[w.flag].dataType for w in group}
+    sides = [
+        w.side.select(
+            *[F.col(own).alias(n) for own, n in zip(w.keys, names)],
+            *[(F.col(f) if f == w.flag else F.lit(None).cast(kind)).alias(f) for f, kind in flags.items()],
+        )
+        for w in group
+    ]
+    every = reduce(lambda a, b: a.unionByName(b), sides)
+    return every.groupBy(*names).agg(*[F.any_value(F.col(f), F.lit(True)).alias(f) for f in flags])
+
+
+def _join_wide(work: DataFrame, source: DataFrame, group: list[Wide], policy: JoinPolicy, sizes: dict | None) -> DataFrame:
+    """Shuffle join with sets of one key, hot keys split off."""
+    first, flags = group[0], [w.flag for w in group]
+    names, side = list(first.keys), first.side if len(group) == 1 else _merged(group)
+    marker, cached = f"{first.flag}_h", None
+    hits = {f: f"{f}_hh" for f in flags}
+    if first.count is not None and len(group) == 1:
+        hot = hot_keys(first.found.frame.select(*names, first.count), first.count, policy)
     else:
-        # too many keys to broadcast: shuffle join, hot keys split off
-        marker, hit, cached = f"{flag}_h", f"{flag}_hh", None
-        if count is None:
-            present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in names])
-            counted = source.select(*[c.alias(k) for k, c in keys.items()]).where(present).groupBy(*names).agg(F.count(F.lit(1)).alias("__rs_n"))
-            measured = sized_side(counted.where(F.col("__rs_n") > policy.heavy_key_rows), policy)
-            hot, cached = hot_keys(measured.frame, "__rs_n", policy), measured.cached
-        else:
-            hot = hot_keys(found.frame.select(*names, count), count, policy)
-        heavy = None
-        if hot is not None:
-            hottest = hot.frame.select(*names)
-            hits = side.join(F.broadcast(hottest), on=names, how="inner").withColumnRenamed(flag, hit)
-            heavy = hottest.join(F.broadcast(hits), on=names, how="left").select(*names, F.lit(True).alias(marker), hit)
-        joined = skew_split_join(keyed, names, side, heavy, marker, f"{flag}_s", source.columns)
-        if heavy is not None:
-            joined = joined.withColumn(flag, F.when(F.col(marker).isNotNull(), F.col(hit)).otherwise(F.col(flag))).drop(marker, hit)
-            hot = replace(hot, cached=hot.cached or cached)
-        elif cached is not None:
-            cached.unpersist()
-        sized = replace(found, broadcast=False, path="shuffle" if hot is None else "shuffle+split", hot=hot)
+        present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in names])
+        counted = source.select(*[c.alias(k) for k, c in first.keys.items()]).where(present).groupBy(*names).agg(F.count(F.lit(1)).alias("__rs_n"))
+        measured = sized_side(counted.where(F.col("__rs_n") > policy.heavy_key_rows), policy)
+        hot, cached = hot_keys(measured.frame, "__rs_n", policy), measured.cached
+    heavy = None
+    if hot is not None:
+        hottest = hot.frame.select(*names)
+        found = side.join(F.broadcast(hottest), on=names, how="inner").withColumnsRenamed(hits)
+        heavy = hottest.join(F.broadcast(found), on=names, how="left").select(*names, F.lit(True).alias(marker), *hits.values())
+    joined = skew_split_join(work.withColumns(first.keys), names, side, heavy, marker, f"{first.flag}_s", source.columns)
+    if heavy is not None:
+        split = F.col(marker).isNotNull()
+        joined = joined.withColumns({f: F.when(split, F.col(h)).otherwise(F.col(f)) for f, h in hits.items()}).drop(marker, *hits.values())
+        hot = replace(hot, cached=hot.cached or cached)
+    elif cached is not None:
+        cached.unpersist()
     if sizes is not None:
-        sizes[flag] = sized
+        for w in group:
+            sizes[w.flag] = replace(w.found, broadcast=False, path="shuffle" if hot is None else "shuffle+split", hot=hot)
     return joined.drop(*names)

@@ -386,3 +386,26 @@ def test_rows_of_no_file_are_salted_by_content(spark):
     assert row_place(ev.where("value > 1").select("user_id")) is not None
     assert row_place(spark.range(5).toDF("k")) is None and row_place(ev.groupBy("user_id").count()) is None
     assert row_place(ev.select(F.lit(1).alias("_metadata"))) is None
+
+
+def test_rules_of_one_key_share_one_wide_shuffle(spark, no_small_broadcasts):
+    """Four rules on one key whose sets are too large to broadcast: the input is exchanged once."""
+    ev = hot_events(spark).withColumn("who", F.when(F.col("event_id") % 7 > 0, F.col("hot_user"))).drop("hot_user")
+    on = {"key_columns": ["who"], "priority": 1}
+    rules = [
+        {"name": "u", "type": "unique_check", "column": "who", "priority": 1},
+        {"name": "f", "type": "functional_dependency", "column": "event_type", **on},
+        {"name": "r", "type": "referential_integrity", "column": "who", "reference_table": "c", "reference_column": "c_custkey", "priority": 2},
+        {"name": "m", "type": "statistical", "statistic": "mad", "column": "value", "threshold": 3, **on},
+        {"name": "other", "type": "unique_check", "column": "user_id", "priority": 3},
+    ]
+    refs = {"c": table(spark, SF01, "customer").where("c_custkey % 2 = 0")}
+    wide = validate(ev, rules, refs=refs, policy=SPLIT)
+    paths = [v["path"] for v in wide.join_plan().values()]
+    assert sorted(paths) == ["shuffle"] + ["shuffle+split"] * 4  # no user_id is hot
+    plan = pi.physical(wide.flagged)
+    assert plan.count("SortMergeJoin") == 2  # one for ``who``, one for ``user_id``
+    assert len(re.findall(r"FileScan parquet .*events.parquet", plan)) == 1 and "props" not in pi.physical(wide.counts)
+    want = validate(ev, rules, refs=refs, policy=LAZY)  # a join per rule
+    assert sorted(map(str, wide.flagged.collect())) == sorted(map(str, want.flagged.collect()))
+    assert all(v["failed_count"] for v in want.quality_stats()["rule_violations"].values())
