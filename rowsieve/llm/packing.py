@@ -39,7 +39,7 @@ WINDOW = 2048
 END_ID = 1
 MAX_OPEN = 4096
 #: Distinct words whose ids a worker remembers; forgetting changes no result.
-MAX_WORDS = 600_000
+MAX_WORDS = 300_000
 
 PIECES = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -273,6 +273,9 @@ def _pack_batches(path: str, window: int, end_id: int):
                         done += packer.place((doc, start, ids[start : start + window], len(ids)))
                 yield rows(done)
         yield rows(packer.flush())
+        # the worker lives on, maybe for other operators: it keeps no words, and gives its memory back
+        encoder.forget()
+        pa.default_memory_pool().release_unused()
 
     return run
 
