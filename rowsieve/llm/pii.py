@@ -7,25 +7,32 @@ found by pattern, leftmost and non-overlapping per kind, and kept if they
 pass their check (address parts, Luhn sum, number of digits).  Offsets are
 code points, end exclusive.
 
-*Disclosing terms.*  The values found are protected entities.  Words within
-``CONTEXT`` code points of an entity co-occur with it; over the whole corpus
-(equal texts counted once, so copies prove nothing)
+*Disclosing terms.*  The values found are protected entities.  Terms are the
+words of a text (between white space or full-width punctuation, punctuation at
+their ends dropped, lower case) of three characters at least, one of them a
+letter; digits, ``_`` and ``-`` may stand inside, so user names and account
+names count, and names of two Han characters.  A term co-occurs with every entity of its text, however far
+away; over the whole corpus (equal texts counted once, so copies prove nothing)
 
     PMI(t; c) = log2(N * n(t, c) / (n(t) * n(c)))        IC(c) = log2(N / n(c))
 
 says how much of entity ``c`` the term ``t`` gives away.  A term seen with an
 entity in ``TOGETHER`` texts at least is generalised where
-``PMI >= GENERALISE * IC`` and removed where ``PMI >= REMOVE * IC``; that is
-done near that entity only, so texts without personal data stay as they are.
+``PMI >= GENERALISE * IC`` and removed where ``PMI >= REMOVE * IC``, wherever
+it stands, in texts without the entity too.
 
-Co-occurrence counts grow with the entities' contexts, not with the pairs of
-a text; the counts of terms are taken over all texts, aggregated before the
-shuffle.
+What is joined is cut by exact bounds only: an entity or a term of fewer than
+``TOGETHER`` texts has no such pair, and ``PMI >= GENERALISE * IC`` asks for
+``n(t) <= n(c) * (N / n(c)) ** (1 - GENERALISE)``.  Helper tables are broadcast
+up to ``MAX_BYTES``, measured; beyond, joins by text are salted by input
+partition, so copies of one text spread, and terms that are more than one in
+``HOT_SHARE`` of all are joined apart from the rest.
 
 Defined cases: null text is empty (in ``sanitise`` it stays null); a null id
 is carried; rows that repeat are each reported; spans of different kinds may
 overlap and are all reported, ``sanitise`` merges them; extra columns are
-ignored, or kept by ``sanitise``; an empty table gives an empty result.
+ignored, or kept by ``sanitise``, whatever their names; an empty table gives an
+empty result; a very long text is one row, its spans are made in chunks.
 """
 
 from __future__ import annotations
@@ -33,15 +40,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.llm.grouped import MAX_BROADCAST
 from rowsieve.llm.tables import save, shared_folder
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT = 48
 TOGETHER = 3
 GENERALISE, REMOVE = 0.9, 0.99
-#: Texts with disclosing terms are broadcast up to this number.
-MAX_TEXTS = 100_000
+#: Helper tables are broadcast up to this size.
+MAX_BYTES = 64 << 20
+#: Copies of one text are dealt over so many tasks where texts are shuffled.
+SALTS = 32
+#: Terms with a larger part of all occurrences than 1 / HOT_SHARE are joined by
+#: broadcast: there are HOT_SHARE of them at most.
+HOT_SHARE = 100_000
 
 # The patterns match what the plain ones match: possessive repeats where what
 # follows cannot begin inside the repeat, and starts inside a run that fails
@@ -54,10 +64,10 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _GATES = {"email": "@", "ip": "[0-9][.][0-9]", "card": "[0-9]", "phone": "[+][0-9]"}
-_LETTERS = r"\p{L}{3,}"
-# a word between white space, so never a part of an address or number
-_WORD = r"(?<![^\s(\['])\p{L}{3,}(?=[.,;:!?)\]']*+(?:\s|$))"
-_SPAN = "struct<kind:string,start:int,end:int,value:string,left:string,right:string>"
+_BREAKS = r"\s\u00a0\u3000\u3001\u3002\uff01\uff08\uff09\uff0c\uff1a\uff1b\uff1f\u300a-\u3011"
+_ENDS = ".,;:!?()[]{}<>'\"*\u2018\u2019\u201c\u201d\u00ab\u00bb\u2026"
+_TERM = r"^(?:(?=.*\p{L})[\p{L}\p{M}\p{N}_'\u2019-]{3,}|\p{IsHan}{2})$"
+_SPAN = "struct<kind:string,start:int,end:int,value:string>"
 _PLACE = "struct<kind:string,start:int,end:int>"
 #: Arrays are scanned in chunks, so long ones take no quadratic time.
 CHUNK = 512
@@ -111,26 +121,23 @@ def _running(values: Column, combine, zero: int) -> Column:
 
 
 def _matches(text: Column, pattern: str, kind: str) -> Column:
-    """Array of spans of all matches, each with the text near it up to the
-    next match: the pieces between matches say where they are."""
+    """Array of spans of all matches: the pieces between matches say where
+    they are."""
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    pairs = F.arrays_zip(found.alias("m"), F.slice(between, 1, F.size(found)).alias("b"), F.slice(between, 2, F.size(found)).alias("a"))
+    pairs = F.arrays_zip(found.alias("m"), F.slice(between, 1, F.size(found)).alias("b"))
     lengths = F.transform(pairs, lambda x: F.length(x["b"]) + F.length(x["m"]))
     placed = F.arrays_zip(pairs.alias("x"), _running(lengths, lambda a, b: a + b, 0).alias("at"))
 
     def span(p: Column) -> Column:
         start = p["at"] + F.length(p["x"]["b"])
-        return F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(p["x"]["m"])).alias("end"), p["x"]["m"].alias("value"),
-            F.right(p["x"]["b"], F.lit(CONTEXT)).alias("left"), F.left(p["x"]["a"], F.lit(CONTEXT)).alias("right"),
-        )
+        end = start + F.length(p["x"]["m"])
+        return F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), p["x"]["m"].alias("value"))
 
     return F.transform(placed, span)
 
 
 def base_spans(text: Column) -> Column:
-    """Array of (kind, start, end, value, left, right), by kind as listed,
-    then by start."""
+    """Array of (kind, start, end, value), by kind as listed, then by start."""
     empty = F.array().cast(f"array<{_SPAN}>")
 
     def of(kind: str) -> Column:
@@ -140,74 +147,108 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of(kind) for kind in KINDS])
 
 
-def _context_words(span: Column) -> Column:
-    """Array of (term, start, end) of whole words near a span."""
+def _words(text: Column) -> Column:
+    """Array of the distinct terms of a text."""
+    pieces = F.array_distinct(F.split(F.lower(text), f"[{_BREAKS}]+", -1))
+    trimmed = F.array_distinct(F.transform(pieces, lambda w: F.btrim(w, F.lit(_ENDS))))
+    return F.filter(trimmed, lambda w: w.rlike(_TERM))
 
-    def words(near: Column, shift: Column, whole) -> Column:
-        inside = F.filter(_matches(near, _WORD, "term"), whole)
-        return F.transform(inside, lambda w: F.struct(F.lower(w["value"]).alias("term"), (w["start"] + shift).alias("start"), (w["end"] + shift).alias("end")))
 
-    left, right = span["left"], span["right"]
-    # a word at the cut of a full context may go on beyond it
-    return F.concat(
-        words(left, span["start"] - F.length(left), lambda w: (w["start"] > 0) | (F.length(left) < CONTEXT)),
-        words(right, span["end"], lambda w: (w["end"] < CONTEXT) | (F.length(right) < CONTEXT)),
-    )
+def _term_places(text: Column) -> Column:
+    """Array of (term, start, end) of every word."""
 
+    def trimmed(w: Column) -> Column:
+        value = w["value"]
+        start = w["start"] + F.length(value) - F.length(F.ltrim(value, F.lit(_ENDS)))
+        own = F.btrim(value, F.lit(_ENDS))
+        return F.struct(F.lower(own).alias("term"), start.alias("start"), (start + F.length(own)).alias("end"))
 
-def _mentions(rows: DataFrame) -> DataFrame:
-    """(digest, entity, term, start, end): words near the values found."""
-    spans = rows.where(F.size("base") > 0).select("digest", F.explode("base").alias("span"))
-    entity = F.concat_ws(":", "span.kind", F.lower("span.value")).alias("entity")
-    return spans.select("digest", entity, F.explode(_context_words(F.col("span"))).alias("w")).select("digest", "entity", "w.*")
+    return F.transform(_matches(text, f"[^{_BREAKS}]+", "term"), trimmed)
 
 
-def disclosures(rows: DataFrame, mentions: DataFrame, folder: str) -> DataFrame:
+def _small(df: DataFrame, *columns: str) -> bool:
+    """Whether a written table takes at most ``MAX_BYTES``; ``columns`` are
+    its strings and arrays."""
+    sizes = [F.size(c) * 16 if dict(df.dtypes)[c].startswith("array") else F.octet_length(c) for c in columns]
+    return (df.agg(F.sum(sum(sizes, F.lit(48)))).first()[0] or 0) <= MAX_BYTES
+
+
+def _by_digest(rows: DataFrame, keyed: DataFrame, how: str, *columns: str) -> DataFrame:
+    """``rows`` joined with ``keyed`` (written, one row per digest): by
+    broadcast, or with the copies of a text dealt over ``SALTS`` tasks."""
+    if _small(keyed, *columns):
+        return rows.join(F.broadcast(keyed), "digest", how)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = rows.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    return salted.join(keyed.withColumn("salt", salts), ["digest", "salt"], how).drop("salt")
+
+
+def _counted(words: DataFrame, terms: DataFrame) -> DataFrame:
+    """``words`` with ``n_t`` of their term, of those in ``terms``."""
+    if _small(terms, "term"):
+        return words.join(F.broadcast(terms), "term")
+    total = terms.agg(F.sum("n_t")).first()[0] or 0
+    hot = F.broadcast(terms.where(F.col("n_t") * HOT_SHARE > total))
+    rest = words.join(hot.select("term"), "term", "left_anti").join(terms, "term")
+    return words.join(hot, "term").unionByName(rest)
+
+
+def disclosures(rows: DataFrame, folder: str) -> DataFrame:
     """(entity, term, action): terms that give an entity away.  ``rows`` has
-    ``text`` and ``digest`` of the whole corpus."""
-    seen = mentions.select("entity", "term", "digest").distinct()
-    pairs = seen.groupBy("entity", "term").agg(F.count("*").alias("n_tc")).where(F.col("n_tc") >= TOGETHER)
-    pairs = save(pairs, folder)
-    entities = mentions.select("entity", "digest").distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
-    # a text counts once: each of its copies for its share of one
+    ``text``, ``digest`` and ``base`` of the whole corpus."""
     copies = rows.groupBy("digest").agg(F.count("*").alias("copies")).where("copies > 1")
     copies = save(copies, folder)
-    if copies.count() <= MAX_BROADCAST:
-        copies = F.broadcast(copies)
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_LETTERS), F.lit(0)))
+    n = rows.count() - (copies.agg(F.sum(F.col("copies") - 1)).first()[0] or 0)
+    # a text counts once: each of its copies for its share of one
     share = (1 / F.coalesce("copies", F.lit(1))).alias("share")
-    used = rows.select("digest", words.alias("words")).join(copies, "digest", "left").select(F.explode("words").alias("term"), share)
-    terms = used.groupBy("term").agg(F.round(F.sum("share")).alias("n_t"))
-    total = rows.select(F.count_distinct("digest").alias("n"))
-    counts = pairs.join(entities, "entity").join(terms, "term").crossJoin(F.broadcast(total))
-    pmi = F.log2(F.col("n") * F.col("n_tc") / (F.col("n_t") * F.col("n_c")))
-    told = counts.select("entity", "term", pmi.alias("pmi"), F.log2(F.col("n") / F.col("n_c")).alias("ic")).where("ic > 0")
+    used = _by_digest(rows.select("digest", _words(F.col("text")).alias("words")), copies, "left")
+    terms = used.select(F.explode("words").alias("term"), share).groupBy("term").agg(F.round(F.sum("share")).cast("long").alias("n_t"))
+    terms = save(terms.where(F.col("n_t") >= TOGETHER), folder)
+
+    entity = lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))
+    texts = rows.where(F.size("base") > 0)
+    texts = texts.select("digest", F.array_distinct(F.transform("base", entity)).alias("entities"), _words(F.col("text")).alias("words"))
+    texts = save(texts.groupBy("digest").agg(F.first("entities").alias("entities"), F.first("words").alias("words")), folder)
+    mentions = texts.select("digest", F.explode("entities").alias("entity"))
+    entities = save(mentions.groupBy("entity").agg(F.count("*").alias("n_c")).where(F.col("n_c").between(TOGETHER, n - 1)), folder)
+    held = save(mentions.join(F.broadcast(entities) if _small(entities, "entity") else entities, "entity"), folder)
+
+    words = texts.join(held.select("digest").distinct(), "digest", "left_semi").select("digest", F.explode("words").alias("term"))
+    most = F.col("n_c") * F.pow(F.lit(float(n)) / F.col("n_c"), F.lit(1 - GENERALISE)) * (1 + 1e-9)
+    pairs = _counted(words, terms).join(held, "digest").where(F.col("n_t") <= most)
+    pairs = pairs.groupBy("entity", "term", "n_c", "n_t").agg(F.count("*").alias("n_tc")).where(F.col("n_tc") >= TOGETHER)
+    pmi = F.log2(F.lit(float(n)) * F.col("n_tc") / (F.col("n_t") * F.col("n_c")))
+    told = pairs.select("entity", "term", pmi.alias("pmi"), F.log2(F.lit(float(n)) / F.col("n_c")).alias("ic"))
     told = told.where(F.col("pmi") >= GENERALISE * F.col("ic"))
     return told.select("entity", "term", F.when(F.col("pmi") >= REMOVE * F.col("ic"), "removed").otherwise("term").alias("action"))
 
 
+def _term_spans(rows: DataFrame, told: DataFrame, folder: str) -> DataFrame:
+    """(digest, terms): the spans of told terms in every text that has some."""
+    # a term that tells of two entities counts once, by the stronger action
+    told = save(told.groupBy("term").agg(F.min("action").alias("action")), folder)
+    told = F.broadcast(told) if _small(told, "term") else told
+    words = rows.select("digest", F.explode(_words(F.col("text"))).alias("term"))
+    marked = save(words.join(told, "term", "left_semi").select("digest").distinct(), folder)
+    texts = _by_digest(rows.select("digest", "text"), marked, "inner").groupBy("digest").agg(F.first("text").alias("text"))
+    places = texts.select("digest", F.explode(_term_places(F.col("text"))).alias("w")).select("digest", "w.*")
+    place = F.struct("start", "end", F.col("action").alias("kind"))
+    spans = places.join(told, "term").groupBy("digest").agg(F.array_sort(F.collect_list(place)).alias("terms"))
+    kinds = F.transform("terms", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    return save(spans.select("digest", kinds.alias("terms")), folder)
+
+
 def _with_spans(df: DataFrame, text_col: str, folder: str) -> DataFrame:
-    """``df`` with ``__pii_base`` and ``__pii_terms``, arrays of spans."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = df.select(text.alias("text")).select("text", F.xxhash64("text").alias("digest"), base_spans(F.col("text")).alias("base"))
-    mentions = save(_mentions(rows), folder)
-    told = save(disclosures(rows, mentions, folder), folder)
-    spans = mentions.join(told, ["entity", "term"]).select("digest", F.struct(F.col("action").alias("kind"), "start", "end").alias("span"))
-    # a word near two entities counts once, by the stronger action
-    spans = spans.groupBy("digest", "span.start", "span.end").agg(F.min("span.kind").alias("kind"))
-    place = F.struct("start", "end", "kind")
-    spans = spans.groupBy("digest").agg(F.array_sort(F.collect_list(place)).alias("ordered"))
-    kinds = F.transform("ordered", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    spans = save(spans.select("digest", kinds.alias("__pii_terms")), folder)
-    if spans.count() <= MAX_TEXTS:
-        spans = F.broadcast(spans)
-    # texts without base spans meet nothing; their keys spread over the tasks
+    """(row, base, terms): every row of ``df`` with its arrays of spans."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    digest = F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("digest")
+    rows = df.select(text.alias("text"), digest, base_spans(text).alias("base"))
+    told = save(disclosures(rows, folder), folder)
+    spans = _term_spans(rows, told, folder)
     places = F.transform(base_spans(text), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    out = df.withColumn("__pii_base", places)
-    key = F.when(F.size("__pii_base") > 0, F.xxhash64(text)).otherwise(F.xxhash64(text, F.lit("none")))
-    out = out.withColumn("__pii_key", key).join(spans.withColumnRenamed("digest", "__pii_key"), "__pii_key", "left").drop("__pii_key")
-    terms = F.when(F.size("__pii_base") > 0, F.col("__pii_terms"))
-    return out.withColumn("__pii_terms", F.coalesce(terms, F.array().cast(f"array<{_PLACE}>")))
+    out = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), digest, places.alias("base"))
+    out = _by_digest(out, spans, "left", "terms")
+    return out.select("row", "base", F.coalesce("terms", F.array().cast(f"array<{_PLACE}>")).alias("terms"))
 
 
 def _listed(spans: Column) -> Column:
@@ -218,10 +259,10 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) per row."""
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = _with_spans(rows, "text", shared_folder(df.sparkSession))
-    base, terms = F.col("__pii_base"), F.col("__pii_terms")
+    base, terms = F.col("base"), F.col("terms")
     count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     counts = [count(kind) for kind in KINDS]
-    return rows.select("doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.concat(base, terms)).alias("spans"))
+    return rows.select("row.doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.concat(base, terms)).alias("spans"))
 
 
 def _merged(spans: Column) -> Column:
@@ -262,14 +303,15 @@ def sanitise(df: DataFrame, text_col: str = "text", length_col: str | None = "n_
     """``df`` with its texts sanitised: base spans and generalised terms give
     way to their kind in brackets, removed terms to nothing; ``length_col``,
     where there is one, is the new length."""
-    names = df.columns
-    rows = _with_spans(df, text_col, shared_folder(df.sparkSession))
-    text = F.col(text_col)
-    rows = rows.withColumn("__pii_all", _merged(F.concat("__pii_base", "__pii_terms")))
-    spans = F.col("__pii_all")
-    cleaned = _replaced(text, spans)
-    rows = rows.withColumn(text_col, F.when(F.size(spans) > 0, cleaned).otherwise(text))
-    if length_col in names:
-        kind = df.schema[length_col].dataType
-        rows = rows.withColumn(length_col, F.when(F.size(spans) > 0, F.length(text)).otherwise(F.col(length_col)).cast(kind))
-    return rows.select(*[F.col(f"`{c}`") for c in names])
+    spans, text = F.col("spans"), F.col(f"row.`{text_col}`")
+    rows = _with_spans(df, text_col, shared_folder(df.sparkSession)).select("row", _merged(F.concat("base", "terms")).alias("spans"))
+    rows = rows.withColumn("cleaned", F.when(F.size(spans) > 0, _replaced(text.cast("string"), spans)).otherwise(text))
+    out = []
+    for field in df.schema:
+        own = F.col(f"row.`{field.name}`")
+        if field.name == text_col:
+            own = F.col("cleaned")
+        elif field.name == length_col:
+            own = F.when(F.size(spans) > 0, F.length("cleaned")).otherwise(own).cast(field.dataType)
+        out.append(own.alias(field.name))
+    return rows.select(*out)

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -122,6 +123,70 @@ def test_disclosing_terms_against_counts_by_hand(spark):
             assert words == []
 
 
+def brute_terms(texts):
+    """{term: action} over distinct texts, every term against every entity."""
+    texts = sorted(set(texts))
+    gaps, ends = re.compile(f"[{pii._BREAKS}]+"), pii._ENDS
+    word = lambda w: len(w) >= 3 and any(map(str.isalpha, w)) and all(x.isalnum() or x in "_'\u2019-" for x in w)
+    terms = [{w for w in (p.strip(ends) for p in gaps.split(t.lower())) if word(w)} for t in texts]
+    entities = [{f"{k}:{t[a:b].lower()}" for k, a, b in base(t)} for t in texts]
+    n, n_t, n_c, n_tc = len(texts), Counter(), Counter(), Counter()
+    for ts, cs in zip(terms, entities):
+        n_t.update(ts)
+        n_c.update(cs)
+        n_tc.update((t, c) for t in ts for c in cs)
+    told = {}
+    for (t, c), both in n_tc.items():
+        pmi, ic = math.log2(n * both / (n_t[t] * n_c[c])), math.log2(n / n_c[c])
+        if both >= pii.TOGETHER and ic > 0 and pmi >= pii.GENERALISE * ic:
+            action = "removed" if pmi >= pii.REMOVE * ic else "term"
+            told[t] = min(told.get(t, action), action)
+    return told
+
+
+def brute_spans(text, told):
+    out = []
+    for m in re.finditer(f"[^{pii._BREAKS}]+", text):
+        own = m[0].strip(pii._ENDS)
+        if own.lower() in told:
+            start = m.start() + len(m[0]) - len(m[0].lstrip(pii._ENDS))
+            out.append((told[own.lower()], start, start + len(own)))
+    return sorted(out, key=lambda s: (s[1], s[2]))
+
+
+def far_corpus():
+    """Terms far from their address, in every order, in copies, with digits
+    and hyphens, in another script, and in texts without the address."""
+    rng = random.Random(4)
+    filler = lambda n: " ".join(f"w{rng.randint(0, 60)}x" for _ in range(n))
+    texts = []
+    for i in range(9):
+        texts.append(f"{filler(3)} (zorblat), {filler(60)} jdoe_77 K-4471 {filler(8 * i)} ann@corp.example {filler(5)}")
+        texts.append(f"bob@corp.example {filler(40)} \u738b\u5c0f\u660e\u3002 {filler(2)} zorblat-b; common")
+    texts += texts[:6]  # copies
+    texts += [f"{filler(12)} 'ZORBLAT' without any address", "x", ""]
+    return texts + [f"common {filler(12)}" for _ in range(120)]
+
+
+def check_terms(spark, texts):
+    told = brute_terms(texts)
+    found = {r.doc_id: r for r in pii.find(documents(spark, texts)).collect()}
+    for i, text in enumerate(texts, 1):
+        assert found[i].spans == listed(base(text) + brute_spans(text, told)), text
+    return told
+
+
+def test_terms_anywhere_in_a_text_against_brute_force(spark):
+    told = check_terms(spark, far_corpus())
+    assert {"jdoe_77", "k-4471", "zorblat-b", "\u738b\u5c0f\u660e"} <= set(told) and "zorblat" in told and "common" not in told
+
+
+def test_terms_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(pii, "MAX_BYTES", -1)
+    monkeypatch.setattr(pii, "HOT_SHARE", 100)
+    check_terms(spark, far_corpus())
+
+
 def test_copies_prove_nothing(spark):
     texts = ["secretive words ann@corp.example here"] * 50 + [f"plain text number {i}" for i in range(50)]
     assert all(r.spans.count(":") <= 2 for r in pii.find(documents(spark, texts)).collect())
@@ -155,6 +220,15 @@ def test_defined_cases(spark):
     assert pii.sanitise(documents(spark, [])).count() == 0
 
 
+def test_clashing_helper_names(spark):
+    df = documents(spark, ["a@b.cc x", None])
+    names = ["row", "base", "terms", "digest", "spans", "salt", "cleaned", "copies", "action"]
+    df = df.select("*", *[F.lit(n).alias(n) for n in names])
+    out = pii.sanitise(df)
+    assert out.columns == df.columns
+    assert all(r[n] == n for r in out.collect() for n in names)
+
+
 def test_no_python_in_the_plan(spark):
     plan = pii.sanitise(documents(spark, ["x"]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
