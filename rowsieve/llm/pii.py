@@ -37,7 +37,7 @@ empty result; a very long text is one row, its spans are made in chunks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsieve.llm.tables import save, shared_folder
@@ -66,6 +66,9 @@ PATTERNS = {
 _GATES = {"email": "@", "ip": "[0-9][.][0-9]", "card": "[0-9]", "phone": "[+][0-9]"}
 _BREAKS = r"\s\u00a0\u3000\u3001\u3002\uff01\uff08\uff09\uff0c\uff1a\uff1b\uff1f\u300a-\u3011"
 _ENDS = ".,;:!?()[]{}<>'\"*\u2018\u2019\u201c\u201d\u00ab\u00bb\u2026"
+_SET = "".join(f"\\{c}" if c.isascii() else c for c in _ENDS)
+# white space with the punctuation on both sides; a run of punctuation is tried once
+_GAP = f"(?:[{_SET}](?<![{_SET}][{_SET}])[{_SET}]*+)?+[{_BREAKS}][{_BREAKS}{_SET}]*+"
 _TERM = r"^(?:(?=.*\p{L})[\p{L}\p{M}\p{N}_'\u2019-]{3,}|\p{IsHan}{2})$"
 _SPAN = "struct<kind:string,start:int,end:int,value:string>"
 _PLACE = "struct<kind:string,start:int,end:int>"
@@ -148,22 +151,20 @@ def base_spans(text: Column) -> Column:
 
 
 def _words(text: Column) -> Column:
-    """Array of the distinct terms of a text."""
-    pieces = F.array_distinct(F.split(F.lower(text), f"[{_BREAKS}]+", -1))
-    trimmed = F.array_distinct(F.transform(pieces, lambda w: F.btrim(w, F.lit(_ENDS))))
-    return F.filter(trimmed, lambda w: w.rlike(_TERM))
+    """Array of the distinct words of a text, ends dropped; those that
+    ``_TERM`` does not match are left out later, once for the corpus."""
+    return F.array_distinct(F.split(F.concat(F.lit(" "), F.lower(text), F.lit(" ")), _GAP, -1))
 
 
-def _term_places(text: Column) -> Column:
-    """Array of (term, start, end) of every word."""
-
-    def trimmed(w: Column) -> Column:
-        value = w["value"]
-        start = w["start"] + F.length(value) - F.length(F.ltrim(value, F.lit(_ENDS)))
-        own = F.btrim(value, F.lit(_ENDS))
-        return F.struct(F.lower(own).alias("term"), start.alias("start"), (start + F.length(own)).alias("end"))
-
-    return F.transform(_matches(text, f"[^{_BREAKS}]+", "term"), trimmed)
+def _term_places(texts: DataFrame) -> DataFrame:
+    """(digest, term, start, end) of every word of (digest, text)."""
+    pieces = texts.select("digest", F.posexplode(F.split("text", f"[{_BREAKS}]", -1)).alias("pos", "piece"))
+    before = Window.partitionBy("digest").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    piece, own = F.col("piece"), F.btrim("piece", F.lit(_ENDS))
+    end = F.sum(F.length(piece) + 1).over(before) - 1
+    start = (F.col("stop") - F.length(F.ltrim(piece, F.lit(_ENDS)))).cast("int")
+    words = pieces.withColumn("stop", end).where(F.length(own) > 0)
+    return words.select("digest", F.lower(own).alias("term"), start.alias("start"), (start + F.length(own)).alias("end"))
 
 
 def _small(df: DataFrame, *columns: str) -> bool:
@@ -203,7 +204,7 @@ def disclosures(rows: DataFrame, folder: str) -> DataFrame:
     share = (1 / F.coalesce("copies", F.lit(1))).alias("share")
     used = _by_digest(rows.select("digest", _words(F.col("text")).alias("words")), copies, "left")
     terms = used.select(F.explode("words").alias("term"), share).groupBy("term").agg(F.round(F.sum("share")).cast("long").alias("n_t"))
-    terms = save(terms.where(F.col("n_t") >= TOGETHER), folder)
+    terms = save(terms.where(F.col("n_t") >= TOGETHER), folder).where(F.col("term").rlike(_TERM))
 
     entity = lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))
     texts = rows.where(F.size("base") > 0)
@@ -231,7 +232,7 @@ def _term_spans(rows: DataFrame, told: DataFrame, folder: str) -> DataFrame:
     words = rows.select("digest", F.explode(_words(F.col("text"))).alias("term"))
     marked = save(words.join(told, "term", "left_semi").select("digest").distinct(), folder)
     texts = _by_digest(rows.select("digest", "text"), marked, "inner").groupBy("digest").agg(F.first("text").alias("text"))
-    places = texts.select("digest", F.explode(_term_places(F.col("text"))).alias("w")).select("digest", "w.*")
+    places = _term_places(texts)
     place = F.struct("start", "end", F.col("action").alias("kind"))
     spans = places.join(told, "term").groupBy("digest").agg(F.array_sort(F.collect_list(place)).alias("terms"))
     kinds = F.transform("terms", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
