@@ -7,34 +7,45 @@ tables through a shuffle to find a few differences is what this avoids:
 1. a row's key (or, without keys, the row) falls into one of ``FANOUT`` ranges
    of a hash; each side is aggregated to a count and two order-free checksums
    (sums of two 64-bit row hashes) per range: a scan, and one row per range
-   and task in the shuffle;
+   and task in the shuffle.  One range in ``TRIAL`` is summed by its smaller
+   ranges as well, which tells what cutting the others would leave out;
 2. ranges whose counts or sums differ are cut into ``FANOUT`` smaller ones, and
-   only their rows are summed again, while that still leaves rows out;
+   only their rows are summed again, while that moves fewer bytes than it
+   saves: sums of small ranges are as many as the rows and wider than narrow
+   rows, and a list of ranges too long to broadcast would move both tables;
 3. rows of the ranges left are counted with a sign (left +, right -) per
-   content; partial aggregation folds copies before the shuffle, so a row
-   with very many copies is no hot key.
-
-Two different multisets of one range agree in both sums with a chance of about
-2^-100; apart from that the result is exact.  Range lists are joined as
-measured helper sets (broadcast under the bound).
+   content.  Where many are left, each is moved once and met by its other side
+   before it is counted, so that no task holds the rows of a whole scan; only
+   in ranges with very many rows partial aggregation folds copies before the
+   shuffle, so a row with very many copies is no hot key.
+
+So a row is moved about once at most, however many rows differ.  Two different
+multisets of one range agree in both sums with a chance of about 2^-100; apart
+from that the result is exact.  Range lists are joined as measured helper sets
+(broadcast under the bound).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowsieve.functions.columns import column_ref
 from rowsieve.operators.validate import qcol
-from rowsieve.plans.joins import DEFAULT, JoinPolicy, sized_side
+from rowsieve.plans.joins import DEFAULT, JoinPolicy, Sized, _width, sized_side
 
 FANOUT = 4096
-#: Ranges are cut again while they hold more rows than this and cutting has left a tenth out.
+#: Ranges are cut again, and rows dealt before they are counted, only while more rows than this are left.
 DRILL_ROWS = 1_000_000
 LEVELS = 4
+#: One range in so many is also summed a level finer.
+TRIAL = 64
+#: Rows, about, that a task counts.
+TASK_ROWS = 2_000_000
 
 
 def _hashable(c: Column, kind: T.DataType) -> Column:
@@ -52,6 +63,40 @@ def _marked(values: list[Column], seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *[x for v in values for x in (v.isNull(), v)])
 
 
+def _cutting_pays(left_over: Row, level: int, policy: JoinPolicy) -> bool:
+    """Are the sums of smaller ranges, one per row at worst, and the rows that
+    they leave fewer bytes than all rows, by the ranges tried?  Where none was,
+    few are left."""
+    if not left_over["tried"]:
+        return True
+    row, kept = left_over["bytes"] / left_over["tried"], left_over["finer"] / left_over["tried"]
+    summed = 16 + 8 * (level + 5) + 2 * 24
+    listed = left_over["parts"] * left_over["rows"] / left_over["tried"]
+    short = listed <= policy.broadcast_max_rows and listed * (16 + 8 * (level + 6)) <= policy.broadcast_max_bytes
+    return short and summed + kept * row < row
+
+
+def _counted(some: DataFrame, names: list[str], differ: Sized, held: list[str], rows: int) -> DataFrame:
+    """Contents of ``some`` whose signs do not add up to 0.  Many rows are dealt
+    to tasks by content first; those of ranges that hold far more than their
+    share are folded where they are read, as one content may make up a range."""
+
+    def by_content(df: DataFrame) -> DataFrame:
+        return df.groupBy(*map(qcol, names)).agg(F.sum("__rs_sign").alias("n")).where("n <> 0")
+
+    if rows <= DRILL_ROWS:
+        return by_content(some)
+    hot = differ.frame.where(F.col("rows") > max(DRILL_ROWS, 4 * rows // FANOUT)).select(*held)
+    any_hot = not hot.isEmpty()
+    light = some.join(F.broadcast(hot), held, "left_anti") if any_hot else some
+    tasks = rows // TASK_ROWS + 1
+    usual = int(some.sparkSession.conf.get("spark.sql.shuffle.partitions", None) or 200)
+    light = light.select(*map(qcol, names), "__rs_sign").repartition(*([tasks] if tasks > usual else []), *map(qcol, names))
+    if not any_hot:
+        return by_content(light)
+    return by_content(light).unionByName(by_content(some.join(F.broadcast(hot), held, "left_semi")))
+
+
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str] = (), columns: Sequence[str] | None = None, policy: JoinPolicy = DEFAULT) -> DataFrame:
     """Rows that the two sides do not have equally often: the compared columns,
     ``side`` (``left`` or ``right``, which has more) and ``copies`` (how many).
@@ -75,24 +120,38 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str] = (), colum
     every = side(left, 1).unionByName(side(right, -1))
     hashed = [_hashable(qcol(n), kinds[n]) for n in names]
     sums = [F.sum(F.col("__rs_sign") * _marked(hashed, s).cast("decimal(20,0)")).alias(f"s{s}") for s in (2, 3)]
-    level, rows_left, differ = 0, None, None
-    while level < LEVELS:
-        level += 1
-        ranges = {f"__rs_r{i}": F.pmod(F.shiftrightunsigned("__rs_place", 12 * i), F.lit(FANOUT)) for i in range(level)}
-        work = every.withColumns(ranges)
+    width = reduce(lambda a, b: a + b, [_width(T.StructField(n.replace("`", "``"), kinds[n])) for n in names], F.lit(16))
+    differ, held, left_over = None, [], None
+    while True:
+        level = len(held) + 1
+        places = [F.pmod(F.shiftrightunsigned("__rs_place", 12 * i), F.lit(FANOUT)) for i in range(level + 1)]
+        ranges = [f"__rs_r{i}" for i in range(level)]
+        work = every.withColumns(dict(zip(ranges, places)))
         if differ is not None:
             work = work.join(differ.side(differ.frame.select(*held)), held, "left_semi")
-        held = list(ranges)
-        totals = work.groupBy(*held).agg(F.sum("__rs_sign").alias("n"), F.count("*").alias("rows"), *sums)
-        differ = sized_side(totals.where("n <> 0 OR s2 <> 0 OR s3 <> 0").select(*held, "rows"), policy)
-        before, rows_left = rows_left, differ.frame.agg(F.sum("rows")).first()[0] or 0
-        if rows_left <= DRILL_ROWS or (before is not None and rows_left > 0.9 * before):
+        tried = F.col(ranges[-1]) % TRIAL == 0
+        parts = work.withColumn("__rs_part", F.when(tried, places[-1])).groupBy(*ranges, "__rs_part")
+        parts = parts.agg(F.sum("__rs_sign").alias("n"), F.count("*").alias("rows"), F.sum(F.when(tried, width)).alias("bytes"), *sums)
+        parts = parts.withColumns({"differs": F.expr("n <> 0 OR s2 <> 0 OR s3 <> 0"), "tried": F.col("__rs_part").isNotNull()})
+        totals = parts.groupBy(*ranges).agg(
+            F.sum("rows").alias("rows"), F.bool_or("differs").alias("differs"), F.sum(F.expr("IF(tried, rows, 0)")).alias("tried"),
+            F.sum(F.expr("IF(tried AND differs, rows, 0)")).alias("finer"), F.count_if(F.expr("tried AND differs")).alias("parts"), F.sum("bytes").alias("bytes"),
+        )
+        found = sized_side(totals.where("differs").drop("differs"), policy)
+        if differ is not None and differ.broadcast and not found.broadcast:
+            break
+        differ, held = found, ranges
+        left_over = differ.frame.agg(F.count("*").alias("ranges"), *[F.sum(c).alias(c) for c in ("rows", "tried", "finer", "parts", "bytes")]).first()
+        if (left_over["rows"] or 0) <= DRILL_ROWS or level == LEVELS or not _cutting_pays(left_over, level, policy):
             break
-    some = every.withColumns(ranges).join(differ.side(differ.frame.select(*held)), held, "left_semi")
+    if len(held) == 1 and left_over["ranges"] > 0.9 * FANOUT:
+        some = every.withColumns(dict(zip(held, places)))
+    else:
+        some = every.withColumns(dict(zip(held, places))).join(differ.side(differ.frame.select(*held)), held, "left_semi")
     # maps cannot be grouped by: their entries stand for them
     maps = {n for n in names if isinstance(kinds[n], T.MapType)}
-    grouped = some.groupBy(*[_hashable(qcol(n), kinds[n]).alias(n) if n in maps else qcol(n) for n in names])
-    counted = grouped.agg(F.sum("__rs_sign").alias("n")).where("n <> 0")
+    some = some.select(*[_hashable(qcol(n), kinds[n]).alias(n) if n in maps else qcol(n) for n in names], "__rs_sign", *held)
+    counted = _counted(some, names, differ, held, left_over["rows"] or 0)
     out = [F.map_from_entries(qcol(n)).alias(n) if n in maps else qcol(n) for n in names]
     return counted.select(*out, F.when(F.col("n") > 0, "left").otherwise("right").alias("side"), F.abs("n").alias("copies"))
 

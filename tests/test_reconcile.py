@@ -84,3 +84,60 @@ def test_equal_ranges_are_not_shuffled(spark):
     assert {r.side for r in diff.collect()} <= {"left", "right"} and diff.count() == 2 * a.where("l_orderkey = 5 AND l_linenumber = 1").count()
     plan = pi.physical(diff)
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "partial_sum" in plan and "NestedLoop" not in plan
+
+
+def many(n, seed=3):
+    """Keys that mostly differ, one content with very many copies, and a key with very many contents."""
+    rng = random.Random(seed)
+    left = [(i, rng.choice([None, "a", "b"]), rng.choice([0.0, -0.0, float("nan"), None]), None) for i in range(n)]
+    left += [(-1, "hot", 1.0, [1])] * n + [(-2, str(i), 1.0, None) for i in range(n)]
+    right = [(k, "z" if k >= 0 and k % 3 == 0 else s, x, a) for k, s, x, a in left if k % 7 != 1] + left[n : n + 5]
+    rng.shuffle(right)
+    return left, right
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+@pytest.mark.parametrize("ranges", [8, 64])
+def test_many_rows_left_and_hot_ranges(spark, monkeypatch, keys, ranges):
+    """Rows dealt by content before they are counted, those of hot ranges folded first."""
+    monkeypatch.setattr(R, "FANOUT", ranges)
+    monkeypatch.setattr(R, "DRILL_ROWS", 100)
+    monkeypatch.setattr(R, "TRIAL", 2)
+    left, right = many(300)
+    a, b = spark.createDataFrame(left, SCHEMA).repartition(3), spark.createDataFrame(right, SCHEMA)
+    for tasks in (2_000_000, 20):
+        monkeypatch.setattr(R, "TASK_ROWS", tasks)
+        assert found(R.reconcile(a, b, keys)) == difference(left, right)
+        assert found(R.reconcile(a, b, keys, policy=JoinPolicy(broadcast_max_rows=1))) == difference(left, right)
+
+
+def levels(monkeypatch):
+    seen, sized = [], R.sized_side
+    monkeypatch.setattr(R, "sized_side", lambda side, policy: seen.append(side.columns) or sized(side, policy))
+    return seen
+
+
+def test_narrow_rows_that_differ_everywhere_are_moved_once(spark, monkeypatch):
+    """A third of the keys changed: one level of sums, no join, one shuffle of the rows."""
+    monkeypatch.setattr(R, "FANOUT", 64)
+    monkeypatch.setattr(R, "DRILL_ROWS", 100)
+    seen = levels(monkeypatch)
+    a = spark.range(20_000).selectExpr("id AS k", "id % 7 AS v", "id + 0.5D AS x")
+    b = a.withColumn("v", F.expr("IF(k % 3 = 0, v + 1, v)"))
+    diff = R.reconcile(a, b, ["k"])
+    plan = pi.physical(diff)
+    assert len(seen) == 1 and plan.count("Exchange") == 1 and "Join" not in plan
+    assert diff.count() == 2 * a.where("k % 3 = 0").count()
+
+
+def test_wide_rows_with_few_differences_are_cut_again(spark, monkeypatch):
+    """Moving sums is cheaper than wide rows: ranges are cut until few rows are left."""
+    monkeypatch.setattr(R, "FANOUT", 16)
+    monkeypatch.setattr(R, "DRILL_ROWS", 100)
+    monkeypatch.setattr(R, "TRIAL", 2)
+    seen = levels(monkeypatch)
+    a = spark.range(5_000).selectExpr("id AS k", "repeat(CAST(id AS STRING), 200) AS `te``xt`", "map(id, 1) AS m")
+    b = a.where("k <> 3").withColumn("te`xt", F.expr("IF(k % 200 = 1, 'new', `te``xt`)"))
+    rows = R.reconcile(a, b, ["k"]).collect()
+    assert len(seen) > 1 and "LeftSemi" in pi.physical(R.reconcile(a, b, ["k"]))
+    assert sorted((r.k, r.side) for r in rows) == sorted([(3, "left"), *[(k, s) for k in range(1, 5_000, 200) for s in ("left", "right")]])
