@@ -141,3 +141,20 @@ def test_wide_rows_with_few_differences_are_cut_again(spark, monkeypatch):
     rows = R.reconcile(a, b, ["k"]).collect()
     assert len(seen) > 1 and "LeftSemi" in pi.physical(R.reconcile(a, b, ["k"]))
     assert sorted((r.k, r.side) for r in rows) == sorted([(3, "left"), *[(k, s) for k in range(1, 5_000, 200) for s in ("left", "right")]])
+
+
+def test_changed_keys_of_many_rows(spark, monkeypatch):
+    """What became of each key, hot ones too; besides the rows, only differences are shuffled."""
+    monkeypatch.setattr(R, "FANOUT", 64)
+    monkeypatch.setattr(R, "DRILL_ROWS", 100)
+    seen = levels(monkeypatch)
+    left, right = many(300)
+    a, b = spark.createDataFrame(left, SCHEMA).repartition(3), spark.createDataFrame(right, SCHEMA)
+    changes = R.changed_keys(R.reconcile(a, b, ["k"]), ["k"])
+    expected = {}
+    for row, n in difference(left, right).items():
+        copies = expected.setdefault(row[0], {"left": 0, "right": 0})
+        copies[row[-1]] += n
+    said = {k: ("removed" if not c["right"] else "added" if not c["left"] else "changed", c["left"], c["right"]) for k, c in expected.items()}
+    assert {r.k: (r.change, r.left_copies, r.right_copies) for r in changes.collect()} == said
+    assert len(seen) == 1 and "SortMergeJoin" not in pi.physical(changes)
